@@ -38,6 +38,8 @@ class KeySpec:
     match: str = "tuple"
     broadcast: bool | None = None
     distinct: bool = True        # False when the keys are already distinct
+    hot: DataFrame | None = None  # tuple mode, shuffle join: keys holding very many rows
+    salt_buckets: int = 64
 
     def __post_init__(self):
         if self.match not in MATCH_MODES:
@@ -78,10 +80,20 @@ def flag_matches(df: DataFrame, specs: list[KeySpec], scope: Column | None = Non
     flags = []
     for i, spec in enumerate(specs):
         parts = []
+        if spec.hot is not None and spec.match == "tuple" and not spec.broadcast:
+            out, hot_flag, salt = _salt_hot(out, spec, i, cols)
+            parts_hot = [F.coalesce(F.col(hot_flag), F.lit(False))]
+        else:
+            salt, parts_hot = None, []
         for j, (rel, on) in enumerate(zip(_columns(spec), _join_cols(spec))):
             name = f"_hit_{i}_{j}"
-            out = out.join(_hinted(rel.withColumn(name, F.lit(True)), spec.broadcast), on=on, how="left")
+            rel = rel.withColumn(name, F.lit(True))
+            if salt is not None:
+                rel, on = rel.withColumn(salt, F.lit(0)), on + [salt]
+            out = out.join(_hinted(rel, spec.broadcast), on=on, how="left")
             parts.append(F.coalesce(F.col(name), F.lit(False)))
+        if parts_hot:
+            parts = [reduce(lambda a, b: a & b, parts) | parts_hot[0]]
         flag = f"_hit_{i}"
         out = out.withColumn(flag, reduce(lambda a, b: a & b, parts))
         flags.append(flag)
@@ -90,6 +102,26 @@ def flag_matches(df: DataFrame, specs: list[KeySpec], scope: Column | None = Non
     return out.select(*cols, *[(F.col(f) & in_scope).alias(f) for f in flags], hit.alias(hit_col))
 
 
+def _salt_hot(out: DataFrame, spec: KeySpec, i: int, cols: list[str]) -> tuple[DataFrame, str, str]:
+    """Split hot keys off a shuffle join.
+
+    The few keys that hold very many rows (a bounded list, so it is
+    broadcast) are flagged without a shuffle; their rows then get a salt
+    1..N from a hash of the row (deterministic, so task retries agree) while
+    every other row and every key on the other side gets salt 0. Joining on
+    (key, salt) spreads a hot key's rows over N reducers, where they match
+    nothing, and leaves the other rows' matches unchanged.
+    """
+    hot_flag, salt = f"_hot_{i}", f"_salt_{i}"
+    out = out.join(F.broadcast(spec.hot.select(*spec.key_cols).distinct().withColumn(hot_flag, F.lit(True))),
+                   on=spec.key_cols, how="left")
+    atomic = [c for c in cols if out.schema[c].dataType.typeName() not in ("map", "array", "struct", "variant")]
+    seed = F.xxhash64(*[F.col(c) for c in atomic]) if atomic else F.monotonically_increasing_id()
+    out = out.withColumn(salt, F.when(F.col(hot_flag).isNotNull(),
+                                      F.pmod(seed, F.lit(spec.salt_buckets)) + 1).otherwise(F.lit(0)))
+    return out, hot_flag, salt
+
+
 def _semi_or_anti(df: DataFrame, spec: KeySpec, how: str) -> DataFrame:
     rels, ons = _columns(spec), _join_cols(spec)
     if how == "left_semi":

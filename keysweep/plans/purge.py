@@ -31,6 +31,7 @@ copy), ``side_impacted`` / ``side_full`` (survivors of the impacted partitions
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -111,6 +112,7 @@ class PurgeResult:
     key_paths: list[tuple] = field(default_factory=list)
     audit: DataFrame | None = None
     message: str = ""
+    timings: dict = field(default_factory=dict)
 
     def effect(self, spark: SparkSession) -> DataFrame:
         """A7 for the impacted partitions (bounded by the partition count)."""
@@ -136,9 +138,9 @@ class PurgeResult:
         return req.join(found, on=req.columns, how="left_anti")
 
     def rejects(self, spark: SparkSession, index: int = 0) -> DataFrame:
-        path = f"{self.run_dir}/keys_in_{index}/_ok=false"
-        schema = StructType([StructField("_raw", StringType(), True)])
-        return read_stage(spark, path, schema).withColumnRenamed("_raw", "key_text")
+        """Key lines that were blank or did not cast to the key type, as text."""
+        schema = StructType([StructField("key_text", StringType(), True)])
+        return read_stage(spark, f"{self.run_dir}/rejects_{index}", schema)
 
 
 def broadcast_limit(spark: SparkSession, explicit: int | None) -> int:
@@ -179,22 +181,21 @@ def prepare_keys(spark: SparkSession, ks: KeySet, index: int, info: TableInfo, r
         raise ValueError(f"key columns {missing} are not columns of {info.name}")
     if ks.match not in MATCH_MODES:
         raise ValueError(f"match must be one of {MATCH_MODES}")
-    typed = type_keys(raw, kc, {c: info.dtype(c) for c in kc})
+    typed0 = type_keys(raw, kc, {c: info.dtype(c) for c in kc})
     obs_in = Observation(f"keys_in_{index}")
-    typed = typed.observe(obs_in, F.count(F.lit(1)).alias("n"), F.count_if(~F.col("_ok")).alias("bad"))
-    in_path = f"{run_dir}/keys_in_{index}"
-    typed.write.mode("overwrite").partitionBy("_ok").parquet(in_path)
-    got = obs_in.get
-    in_schema = StructType([typed.schema[c] for c in kc] + [StructField("_raw", StringType(), True),
-                                                           StructField("_ok", typed.schema["_ok"].dataType, True)])
-    valid = spark.read.schema(in_schema).parquet(in_path).where(F.col("_ok")).select(*kc).distinct()
+    typed = typed0.observe(obs_in, F.count(F.lit(1)).alias("n"), F.count_if(~F.col("_ok")).alias("bad"))
     str_cols = [c for c in kc if isinstance(info.dtype(c), StringType)]
     obs = Observation(f"keys_{index}")
+    valid = typed.where(F.col("_ok")).select(*kc).distinct()
     valid = valid.observe(obs, F.count(F.lit(1)).alias("n"),
                           *([F.sum(sum(F.octet_length(c) for c in str_cols)).alias("chars")] if str_cols else
                             [F.lit(0).alias("chars")]))
     path = f"{run_dir}/keys_{index}"
-    valid.write.mode("overwrite").parquet(path)
+    valid.write.mode("overwrite").parquet(path)          # one pass over the input
+    got = obs_in.get
+    if int(got["bad"]):                                  # second pass only when there are rejects
+        typed0.where(~F.col("_ok")).select(F.col("_raw").alias("key_text")).write.mode("overwrite") \
+            .parquet(f"{run_dir}/rejects_{index}")
     out = obs.get
     n_valid = int(out["n"])
     est = n_valid * (16 + sum(_fixed_width(info.dtype(c)) for c in kc) + 8 * len(str_cols)) + int(out["chars"] or 0)
@@ -222,7 +223,8 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
                 work_dir: str | None = None, run_id: str | None = None, dry_run: bool = False,
                 backup: bool = True, audit_dir: str | None = None, side_dir: str | None = None,
                 input_name: str | None = None, broadcast_max_bytes: int | None = None,
-                inline_keys: int = 1000, verify: bool = True, rebalance: bool | None = None) -> PurgeResult:
+                inline_keys: int = 1000, verify: bool = True, rebalance: bool | None = None,
+                hot_key_rows: int | None = None) -> PurgeResult:
     """O1: delete from ``table`` every row whose key is listed (see module doc)."""
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
@@ -235,6 +237,13 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
     audit_dir = audit_dir or f"{root}/_AUDIT"
     res = PurgeResult(run_id=run_id, table=info.name, status=STATUS_FAILED, strategy=strategy,
                       partition_cols=parts, run_dir=run_dir, audit_dir=audit_dir)
+    clock = [time.perf_counter()]
+
+    def lap(step: str) -> None:
+        now = time.perf_counter()
+        res.timings[step] = round(now - clock[0], 3)
+        clock[0] = now
+
     sets = _key_sets(keys, key_cols, key_sets, match)
     scope_col = resolve_scope(scope, info)
     limit = broadcast_limit(spark, broadcast_max_bytes)
@@ -244,6 +253,7 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
     res.keys_requested = sum(p.n_input for p in prepared)
     res.keys_rejected = sum(p.n_rejected for p in prepared)
     res.key_paths = [(p.path, p.schema) for p in prepared]
+    lap("keys")
     sources = [p.source for p in prepared if p.source]
     input_label = input_name or (", ".join(sources) if sources else None)
 
@@ -265,43 +275,59 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
     detail_path = f"{run_dir}/effect"
     detail.write.mode("overwrite").parquet(detail_path)
     detail = spark.read.parquet(detail_path)
-
-    per_part = (detail.groupBy(*parts)
-                .agg(F.sum("_n").alias("rows_before"),
-                     F.sum(F.when(F.col("_hit"), F.col("_n")).otherwise(0)).alias("rows_deleted")))
-    impacted_rows = per_part.where(F.col("rows_deleted") > 0).collect()
-    totals = detail.agg(F.sum("_n").alias("before"),
-                        F.sum(F.when(F.col("_hit"), F.col("_n")).otherwise(0)).alias("deleted")).first()
-    res.rows_before = int(totals["before"] or 0)
-    res.rows_deleted = int(totals["deleted"] or 0)
+    lap("effect")
+
+    counts = [F.sum("_n").alias("rows_before"),
+              F.sum(F.when(F.col("_hit"), F.col("_n")).otherwise(0)).alias("rows_deleted")]
+    if parts:   # impacted partitions and the table total in one job
+        rows = (detail.groupingSets([parts, []], *parts).agg(*counts, F.grouping_id().alias("_gid"))
+                .where((F.col("_gid") != 0) | (F.col("rows_deleted") > 0)).collect())
+        impacted_rows = [r for r in rows if r["_gid"] == 0]
+        totals = next((r for r in rows if r["_gid"] != 0), None)
+    else:
+        totals = detail.agg(*counts).first()
+        impacted_rows = [totals] if totals and (totals["rows_deleted"] or 0) > 0 else []
+    res.rows_before = int((totals["rows_before"] if totals else 0) or 0)
+    res.rows_deleted = int((totals["rows_deleted"] if totals else 0) or 0)
     res.rows_after = res.rows_before - res.rows_deleted
     res.impacted = [{"spec": _spec(r, parts), "rows_before": int(r["rows_before"]),
                      "rows_deleted": int(r["rows_deleted"])} for r in impacted_rows]
     res.emptied = [r["spec"] for r in res.impacted if r["rows_before"] == r["rows_deleted"]]
     impacted_specs = [r["spec"] for r in res.impacted]
     surviving_specs = [r["spec"] for r in res.impacted if r["rows_before"] > r["rows_deleted"]]
+    lap("effect_collect")
 
     # Step 3: found keys -> audit keys side table.
     inline_texts: list[str] = []
     found_specs = []
+    scope_rows = sum(r["rows_before"] for r in res.impacted) if parts else res.rows_before
+    shuffle_parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    hot_rows = max(hot_key_rows if hot_key_rows is not None else 10_000, scope_rows // (2 * shuffle_parts))
     for p in prepared:
         loc = keys_location(audit_dir, run_id, p.index)
-        found = (detail.where(F.col(f"_hit_{p.index}")).select(*p.key_cols).distinct()
+        found = (detail.where(F.col(f"_hit_{p.index}")).groupBy(*p.key_cols)
+                 .agg(F.sum("_n").cast("bigint").alias("rows_deleted"))
                  .withColumn("key_text", key_text(*p.key_cols)))
         obs = Observation(f"found_{p.index}")
-        found.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(loc)
-        n_found = int(obs.get["n"])
+        found.observe(obs, F.count(F.lit(1)).alias("n"),
+                      F.count_if(F.col("rows_deleted") >= hot_rows).alias("hot")).write.mode("overwrite").parquet(loc)
+        n_found, n_hot = int(obs.get["n"]), int(obs.get["hot"])
         res.keys_found += n_found
         res.found_paths.append(loc)
         if n_found and len(inline_texts) <= inline_keys:
             fdf = spark.read.parquet(loc)
             inline_texts += [r[0] for r in fdf.select("key_text").orderBy(*p.key_cols).limit(inline_keys + 1).collect()]
-        fdf = spark.read.parquet(loc).select(*p.key_cols)
+        fdf = spark.read.parquet(loc)
         est = n_found * (16 + 8 * len(p.key_cols)) + (p.est_bytes // max(p.n_valid, 1)) * n_found
-        found_specs.append(KeySpec(fdf, p.key_cols, "tuple", est <= limit, distinct=False))
+        bcast = est <= limit
+        # Hot keys: at most scope_rows / hot_rows <= 2 x shuffle partitions of them, so broadcasting is bounded.
+        hot = fdf.where(F.col("rows_deleted") >= hot_rows).select(*p.key_cols) if (n_hot and not bcast) else None
+        found_specs.append(KeySpec(fdf.select(*p.key_cols), p.key_cols, "tuple", bcast, distinct=False, hot=hot))
     keys_text = join_key_texts(inline_texts) if len(inline_texts) <= inline_keys else None
+    lap("found_keys")
 
     def finish(status: str, message: str = "") -> PurgeResult:
+        lap("before_audit")
         res.status, res.message = status, message
         res.audit = write_audit(audit_row(spark, {
             "spark_application_id": spark.sparkContext.applicationId,
@@ -318,6 +344,7 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
             "deleted_keys_location": f"{audit_dir}/keys/{run_id}",
             "message": message or (f"{res.rows_deleted} rows would be deleted" if status == STATUS_DRY_RUN else ""),
         }), audit_dir)
+        lap("audit")
         return res
 
     if res.rows_deleted == 0:
@@ -354,6 +381,7 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
     publish.write_split(rewritten, split, info,
                         rebalance=bool(rebalance) if rebalance is not None else (any_shuffle and bool(parts)))
     got = obs.get
+    lap("split_write")
     want_kept = expected_kept if parts else res.rows_after
     if int(got["d"]) != res.rows_deleted or int(got["n"]) - int(got["d"]) != want_kept:
         publish.cleanup(spark, split)
@@ -375,8 +403,10 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
             publish.publish_static(spark, info, stage, surviving_specs)
         elif strategy == "set_location":
             publish.publish_set_location(spark, info, stage_dir, surviving_specs)
+        lap("publish")
         publish.drop_emptied(spark, info, res.emptied)
         publish.refresh(spark, info)
+        lap("drop_emptied")
     except Exception as exc:  # the stage and backup stay for a rerun or manual repair
         finish(STATUS_FAILED, f"publish failed: {exc}")
         raise PurgeError(f"publish of {info.name} failed; stage {stage_dir} and backup {res.backup_dir} kept",
@@ -387,6 +417,7 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
         if now != want_kept:
             finish(STATUS_FAILED, f"after publish the impacted partitions hold {now} rows, expected {want_kept}")
             raise PurgeError(f"verification of {info.name} failed", res)
+        lap("verify")
     if not backup:
         fs.delete(spark, publish.deleted_path(split))
     if strategy != "set_location":
