@@ -113,6 +113,7 @@ class PurgeResult:
     audit: DataFrame | None = None
     message: str = ""
     timings: dict = field(default_factory=dict)
+    plans: dict = field(default_factory=dict)
 
     def effect(self, spark: SparkSession) -> DataFrame:
         """A7 for the impacted partitions (bounded by the partition count)."""
@@ -213,6 +214,12 @@ def _key_sets(keys, key_cols, key_sets, match) -> list[KeySet]:
     return sets
 
 
+def _plan(df: DataFrame) -> str:
+    """The formatted physical plan of a DataFrame (for ``explain=True``)."""
+    jvm = df.sparkSession._jvm
+    return jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+
+
 def _spec(row, parts: list[str]) -> dict:
     return {c: row[c] for c in parts}
 
@@ -224,7 +231,7 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
                 backup: bool = True, audit_dir: str | None = None, side_dir: str | None = None,
                 input_name: str | None = None, broadcast_max_bytes: int | None = None,
                 inline_keys: int = 1000, verify: bool = True, rebalance: bool | None = None,
-                hot_key_rows: int | None = None) -> PurgeResult:
+                hot_key_rows: int | None = None, explain: bool = False) -> PurgeResult:
     """O1: delete from ``table`` every row whose key is listed (see module doc)."""
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
@@ -273,6 +280,8 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
     detail = (flagged.groupBy(*parts, "_hit", *hit_cols, *[F.when(F.col("_hit"), F.col(k)).alias(k) for k in all_keys])
               .agg(F.sum("_n").alias("_n")))
     detail_path = f"{run_dir}/effect"
+    if explain:
+        res.plans["effect"] = _plan(detail)
     detail.write.mode("overwrite").parquet(detail_path)
     detail = spark.read.parquet(detail_path)
     lap("effect")
@@ -302,7 +311,8 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
     found_specs = []
     scope_rows = sum(r["rows_before"] for r in res.impacted) if parts else res.rows_before
     shuffle_parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    hot_rows = max(hot_key_rows if hot_key_rows is not None else 10_000, scope_rows // (2 * shuffle_parts))
+    # A key is hot when its rows would overload one reducer of the shuffle join.
+    hot_rows = hot_key_rows if hot_key_rows is not None else max(10_000, scope_rows // (2 * shuffle_parts))
     for p in prepared:
         loc = keys_location(audit_dir, run_id, p.index)
         found = (detail.where(F.col(f"_hit_{p.index}")).groupBy(*p.key_cols)
@@ -378,6 +388,8 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
         return finish(STATUS_SIDE, f"survivors written to {res.side_dir}")
 
     split = f"{run_dir}/split"
+    if explain:
+        res.plans["split"] = _plan(rewritten)
     publish.write_split(rewritten, split, info,
                         rebalance=bool(rebalance) if rebalance is not None else (any_shuffle and bool(parts)))
     got = obs.get

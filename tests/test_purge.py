@@ -118,7 +118,8 @@ def test_shuffle_path_with_hot_keys(spark, sf, scratch):
     t1 = scratch.table(S.orders_p(spark, sf), "orders_p", ["order_month"])
     t2 = scratch.table(S.orders_p(spark, sf), "orders_p", ["order_month"])
     a = purge_table(spark, t1, S.k_automobile(spark, sf))
-    b = purge_table(spark, t2, S.k_automobile(spark, sf), broadcast_max_bytes=0, hot_key_rows=1)
+    b = purge_table(spark, t2, S.k_automobile(spark, sf), broadcast_max_bytes=0, hot_key_rows=2, explain=True)
+    assert "_salt_0" in b.plans["split"] and "SortMergeJoin" in b.plans["split"]
     assert a.rows_deleted == b.rows_deleted and rows(spark.table(t1)) == rows(spark.table(t2))
 
 
