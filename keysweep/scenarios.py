@@ -448,7 +448,7 @@ _MANIFEST_TABLES = {"orders_p": (orders_p, ["order_month"], "o_orderkey"),
                     "documents_p": (documents_p, ["lang"], "doc_id")}
 
 
-def _manifest_purge(spark, d, strategy):
+def _manifest_purge(spark, d, strategy, stream=False):
     sc = Scratch(spark)
     names = {}
     m = manifest_df(spark, d)
@@ -458,7 +458,12 @@ def _manifest_purge(spark, d, strategy):
                          .otherwise(F.col("TABLE_NAME")))
     path = sc.path("manifest")
     m.write.option("header", True).csv(path)
-    purge_manifest(spark, path, strategy=strategy)
+    if stream:
+        from keysweep.streaming.requests import purge_requests_stream
+        q = purge_requests_stream(spark, path, checkpoint_location=sc.path("stream_checkpoint"), strategy=strategy)
+        q.awaitTermination()
+    else:
+        purge_manifest(spark, path, strategy=strategy)
     out = None
     for logical, (_, _, key) in _MANIFEST_TABLES.items():
         s = spark.table(names[logical]).agg(F.lit(logical).alias("target"), F.count(F.lit(1)).alias("rows_after"),
@@ -467,6 +472,10 @@ def _manifest_purge(spark, d, strategy):
     return out
 
 
+def purge_manifest_stream(spark, d):                           # O2 fed by a file-arrival stream
+    return _manifest_purge(spark, d, "dynamic", stream=True)
+
+
 def purge_manifest_append(spark, d):                           # O2
     return _manifest_purge(spark, d, "dynamic")
 
@@ -575,6 +584,7 @@ ORACLE_SQL: dict[str, str] = {
     "purge_manifest_append": _MANIFEST_AFTER,
     "purge_manifest_insert": _MANIFEST_AFTER,
     "purge_manifest_move": _MANIFEST_AFTER,
+    "purge_manifest_stream": _MANIFEST_AFTER,
 }
 
 SCENARIOS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
