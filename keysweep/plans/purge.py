@@ -44,7 +44,7 @@ from keysweep.session import new_run_id, work_root
 from keysweep.sinks import fs, publish
 from keysweep.sinks.audit import (STATUS_DONE, STATUS_DRY_RUN, STATUS_FAILED, STATUS_NOOP, STATUS_SIDE,
                                   audit_row, keys_location, write_audit)
-from keysweep.sources.catalog import TableInfo, describe_table, spec_predicate
+from keysweep.sources.catalog import TableInfo, column_refs, describe_table, spec_predicate
 from keysweep.sources.keys import read_key_list, type_keys
 from keysweep.sources.stage import read_stage
 
@@ -269,7 +269,12 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
     for p in prepared:
         all_keys += [c for c in p.key_cols if c not in all_keys and c not in parts]
     in_scope = F.lit(True) if scope_col is None else F.coalesce(scope_col, F.lit(False))
-    slim = spark.table(info.name).select(*parts, *all_keys, in_scope.alias("_in_scope"))
+    source = spark.table(info.name)
+    # A scope over partition columns only (e.g. active = 0) prunes the effect scan itself.
+    prune = bool(scope_col is not None and parts and column_refs(source, scope_col) <= set(parts))
+    if prune:
+        source = source.where(in_scope)
+    slim = source.select(*parts, *all_keys, in_scope.alias("_in_scope"))
     if all(p.broadcast for p in prepared):
         base_df = slim.withColumn("_n", F.lit(1).cast("long"))
     else:
@@ -297,6 +302,8 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
         totals = detail.agg(*counts).first()
         impacted_rows = [totals] if totals and (totals["rows_deleted"] or 0) > 0 else []
     res.rows_before = int((totals["rows_before"] if totals else 0) or 0)
+    if prune:   # rows of the partitions outside the scope: a count answered from file footers
+        res.rows_before += spark.table(info.name).where(~in_scope).count()
     res.rows_deleted = int((totals["rows_deleted"] if totals else 0) or 0)
     res.rows_after = res.rows_before - res.rows_deleted
     res.impacted = [{"spec": _spec(r, parts), "rows_before": int(r["rows_before"]),

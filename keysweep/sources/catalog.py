@@ -97,6 +97,12 @@ def manifest_partition_column(info: TableInfo, declared: str | None) -> tuple[li
     return info.partition_cols, wanted == info.partition_cols[: len(wanted)]
 
 
+def column_refs(df: DataFrame, expr: Column) -> set[str]:
+    """Names of the columns of ``df`` that an expression reads (from the analysed plan)."""
+    refs = df.select(expr.alias("_e"))._jdf.queryExecution().analyzed().references().toSeq()
+    return {refs.apply(i).name() for i in range(refs.size())}
+
+
 def scan_table(spark: SparkSession, name: str) -> DataFrame:
     """The whole table, by catalog name."""
     return spark.table(name)

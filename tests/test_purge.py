@@ -147,9 +147,12 @@ def test_multilevel_and_plain(spark, sf, scratch):
 def test_active_scope(spark, sf, scratch):
     t = scratch.table(S.orders_active(spark, sf), "orders_active", ["active"])
     open_before = spark.table(t).where("active = '1'").count()
-    r = purge_table(spark, t, S.k_building(spark, sf))
+    n = spark.table(t).count()
+    r = purge_table(spark, t, S.k_building(spark, sf), explain=True)
     assert r.status == "DONE" and spark.table(t).where("active = '1'").count() == open_before
-    assert [x["spec"] for x in r.impacted] == [{"active": "0"}]
+    assert [x["spec"] for x in r.impacted] == [{"active": "0"}] and r.rows_before == n
+    pf = [ln for ln in r.plans["effect"].splitlines() if ln.startswith("PartitionFilters")]
+    assert pf and "active" in pf[0]                                          # scope prunes the effect scan
 
 
 def test_manifest_two_groups_and_bad_row(spark, sf, scratch, tmp_path):
