@@ -214,6 +214,11 @@ def _key_sets(keys, key_cols, key_sets, match) -> list[KeySet]:
     return sets
 
 
+def _written_rows(spark: SparkSession, path: str, info: TableInfo) -> int:
+    """Rows in a written folder, counted from the files (exact under task retries)."""
+    return read_stage(spark, path, info.schema).count()
+
+
 def _plan(df: DataFrame) -> str:
     """The formatted physical plan of a DataFrame (for ``explain=True``)."""
     jvm = df.sparkSession._jvm
@@ -378,8 +383,6 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
         source = table_df
     rewritten = flag_matches(source, found_specs, scope_col)
     any_shuffle = not all(s.broadcast for s in found_specs)
-    obs = Observation("split")
-    rewritten = rewritten.observe(obs, F.count(F.lit(1)).alias("n"), F.count_if(F.col("_hit")).alias("d"))
     expected_kept = sum(r["rows_before"] - r["rows_deleted"] for r in res.impacted)
 
     if strategy in SIDE_STRATEGIES:
@@ -388,7 +391,7 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
         if rebalance or (rebalance is None and any_shuffle and parts):
             out = out.hint("rebalance", *parts)
         out.write.mode("overwrite").partitionBy(*parts).parquet(res.side_dir)
-        got = obs.get
+        got = {"d": res.rows_deleted, "n": res.rows_deleted + _written_rows(spark, res.side_dir, info)}
         want = res.rows_after if (strategy == "side_full" or not parts) else expected_kept
         if int(got["d"]) != res.rows_deleted or int(got["n"]) - int(got["d"]) != want:
             return finish(STATUS_FAILED, f"side copy counts {got} differ from the effect ({res.rows_deleted} deleted)")
@@ -399,7 +402,7 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
         res.plans["split"] = _plan(rewritten)
     publish.write_split(rewritten, split, info,
                         rebalance=bool(rebalance) if rebalance is not None else (any_shuffle and bool(parts)))
-    got = obs.get
+    got = publish.split_counts(spark, split)
     lap("split_write")
     want_kept = expected_kept if parts else res.rows_after
     if int(got["d"]) != res.rows_deleted or int(got["n"]) - int(got["d"]) != want_kept:

@@ -41,6 +41,19 @@ def write_split(flagged: DataFrame, path: str, info: TableInfo, rebalance: bool
         .partitionBy(DELETED, *info.partition_cols).save(path))
 
 
+def split_counts(spark: SparkSession, split_path: str) -> dict:
+    """Rows written to each half of the split, counted from the committed files.
+
+    Only the ``_deleted`` folder names and Parquet footers are read, and the
+    count is exact even when tasks or stages were retried (which can count an
+    in-flight metric twice)."""
+    if not fs.has_data_files(spark, split_path):
+        return {"n": 0, "d": 0}
+    df = spark.read.option("basePath", split_path).parquet(split_path)
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(DELETED)).alias("d")).first()
+    return {"n": int(row["n"]), "d": int(row["d"] or 0)}
+
+
 def stage_path(split_path: str) -> str:
     return f"{split_path}/{DELETED}=false"
 
@@ -54,30 +67,34 @@ def refresh(spark: SparkSession, info: TableInfo) -> None:
     spark.catalog.refreshTable(info.name)
 
 
-def _empty_view(spark: SparkSession, info: TableInfo, name: str) -> str:
-    spark.createDataFrame([], info.schema).select(*info.data_cols).createOrReplaceTempView(name)
-    return name
+DROP_BATCH = 500
 
 
-def drop_emptied(spark: SparkSession, info: TableInfo, specs: list[dict]) -> None:
+def drop_emptied(spark: SparkSession, info: TableInfo, specs: list[dict]) -> list[str]:
     """W4 + W18 for partitions that lost every row.
 
     Dynamic overwrite never touches such a partition, so it would keep its
-    deleted rows. A static overwrite with no rows removes its files (also for
-    an external table, where ``DROP PARTITION`` alone keeps them and a later
-    partition repair would bring the rows back); then the partition is dropped.
+    deleted rows. Their locations are looked up (catalog metadata), the
+    partitions are dropped in batched ``ALTER TABLE ... DROP PARTITION``
+    statements, and any folder still present afterwards is deleted: on an
+    external table ``DROP PARTITION`` keeps the files, and a later partition
+    repair would bring the erased rows back. No Spark job is started.
+
+    Returns the removed locations.
     """
     if not specs:
-        return
-    view = _empty_view(spark, info, "_keysweep_empty")
-    cols = ", ".join(quote_ident(c) for c in info.data_cols)
-    try:
-        for spec in specs:
-            body = partition_spec_sql(spec)
-            spark.sql(f"INSERT OVERWRITE TABLE {info.quoted} PARTITION ({body}) SELECT {cols} FROM {view}")
-            spark.sql(f"ALTER TABLE {info.quoted} DROP IF EXISTS PARTITION ({body})")
-    finally:
-        spark.catalog.dropTempView(view)
+        return []
+    locations = [partition_location(spark, info, spec) for spec in specs]
+    for i in range(0, len(specs), DROP_BATCH):
+        chunk = specs[i:i + DROP_BATCH]
+        body = ", ".join(f"PARTITION ({partition_spec_sql(spec)})" for spec in chunk)
+        spark.sql(f"ALTER TABLE {info.quoted} DROP IF EXISTS {body}")
+    removed = []
+    for loc in locations:
+        if loc and fs.exists(spark, loc):
+            fs.delete(spark, loc)
+            removed.append(loc)
+    return removed
 
 
 def publish_dynamic(spark: SparkSession, info: TableInfo, stage: DataFrame | None) -> None:

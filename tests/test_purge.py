@@ -186,3 +186,13 @@ def test_publish_failure_keeps_live_data(spark, sf, scratch, monkeypatch):
         purge_table(spark, t, S.k_automobile(spark, sf))
     assert err.value.result.status == "FAILED"
     assert rows(spark.table(t)) == original
+
+
+def test_null_partition_emptied(spark, scratch):
+    df = spark.createDataFrame([(1, "007"), (4, None), (5, None)], "k long, p string")
+    t = scratch.table(df, "null_keys", ["p"], external=True)
+    r = purge_table(spark, t, spark.createDataFrame([(4,), (5,)], "k long"))
+    assert r.emptied == [{"p": None}]
+    assert rows(spark.table(t), ["k", "p"]) == [(1, "007")]
+    spark.sql(f"MSCK REPAIR TABLE {t}")
+    assert spark.table(t).count() == 1
