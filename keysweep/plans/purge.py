@@ -214,11 +214,6 @@ def _key_sets(keys, key_cols, key_sets, match) -> list[KeySet]:
     return sets
 
 
-def _written_rows(spark: SparkSession, path: str, info: TableInfo) -> int:
-    """Rows in a written folder, counted from the files (exact under task retries)."""
-    return read_stage(spark, path, info.schema).count()
-
-
 def _plan(df: DataFrame) -> str:
     """The formatted physical plan of a DataFrame (for ``explain=True``)."""
     jvm = df.sparkSession._jvm
@@ -390,8 +385,10 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
         out = rewritten.where(~F.col("_hit")).select(*info.columns)
         if rebalance or (rebalance is None and any_shuffle and parts):
             out = out.hint("rebalance", *parts)
+        obs = Observation("side")                 # after the last exchange: exact (see write_split)
+        out = out.observe(obs, F.count(F.lit(1)).alias("n"))
         out.write.mode("overwrite").partitionBy(*parts).parquet(res.side_dir)
-        got = {"d": res.rows_deleted, "n": res.rows_deleted + _written_rows(spark, res.side_dir, info)}
+        got = {"d": res.rows_deleted, "n": res.rows_deleted + int(obs.get["n"])}
         want = res.rows_after if (strategy == "side_full" or not parts) else expected_kept
         if int(got["d"]) != res.rows_deleted or int(got["n"]) - int(got["d"]) != want:
             return finish(STATUS_FAILED, f"side copy counts {got} differ from the effect ({res.rows_deleted} deleted)")
@@ -400,9 +397,8 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
     split = f"{run_dir}/split"
     if explain:
         res.plans["split"] = _plan(rewritten)
-    publish.write_split(rewritten, split, info,
-                        rebalance=bool(rebalance) if rebalance is not None else (any_shuffle and bool(parts)))
-    got = publish.split_counts(spark, split)
+    got = publish.write_split(rewritten, split, info,
+                              rebalance=bool(rebalance) if rebalance is not None else (any_shuffle and bool(parts)))
     lap("split_write")
     want_kept = expected_kept if parts else res.rows_after
     if int(got["d"]) != res.rows_deleted or int(got["n"]) - int(got["d"]) != want_kept:
