@@ -8,8 +8,8 @@ one table are folded into a single purge (their keys are OR-ed), so two
 groups can never overwrite each other's result.
 
 The publishing strategy stands for the original variants: ``dynamic`` for
-stage-then-append (O2), ``set_location`` for moving staged partition folders
-(O3), ``static`` for per-partition ``INSERT OVERWRITE`` (O4), ``side_impacted``
+stage-then-append (O2), ``move`` (or ``set_location``) for moving staged
+partition folders (O3), ``static`` for per-partition ``INSERT OVERWRITE`` (O4), ``side_impacted``
 for rebuilding the impacted partitions into a side folder (O5) and
 ``side_full`` for the full refresh into a side folder (O6).
 """

@@ -24,8 +24,9 @@ the driver):
 
 Strategies: ``dynamic`` (dynamic partition overwrite from the stage; also the
 non-partitioned path), ``static`` (one ``INSERT OVERWRITE ... PARTITION`` per
-partition), ``set_location`` (repoint partitions at the stage, no second
-copy), ``side_impacted`` / ``side_full`` (survivors of the impacted partitions
+partition), ``move`` (staged partition folders renamed into the partitions'
+own locations, no second copy), ``set_location`` (repoint partitions at the
+stage, no second copy), ``side_impacted`` / ``side_full`` (survivors of the impacted partitions
 / of the whole table to a side folder; the live table is not changed).
 """
 
@@ -48,7 +49,7 @@ from keysweep.sources.catalog import TableInfo, column_refs, describe_table, spe
 from keysweep.sources.keys import read_key_list, type_keys
 from keysweep.sources.stage import read_stage
 
-STRATEGIES = ("dynamic", "static", "set_location", "side_impacted", "side_full")
+STRATEGIES = ("dynamic", "static", "move", "set_location", "side_impacted", "side_full")
 SIDE_STRATEGIES = ("side_impacted", "side_full")
 # Partition column that marks Type-2 history versions; by default only its
 # closed versions (value 0) are erased.
@@ -421,6 +422,8 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
             publish.publish_static(spark, info, stage, surviving_specs)
         elif strategy == "set_location":
             publish.publish_set_location(spark, info, stage_dir, surviving_specs)
+        elif strategy == "move":
+            publish.publish_move(spark, info, stage_dir, surviving_specs, f"{run_dir}/replaced")
         lap("publish")
         publish.drop_emptied(spark, info, res.emptied)
         publish.refresh(spark, info)

@@ -401,6 +401,12 @@ def purge_set_location(spark, d):                              # O3, W10
     return _purged(spark, t)
 
 
+def purge_move(spark, d):                                      # O3 as a folder move, W10
+    t = _copy(spark, lineitem_p(spark, d), "lineitem_p", ["ship_month"], external=True)
+    purge_table(spark, t, k_returned_jan95(spark, d), strategy="move")
+    return _purged(spark, t)
+
+
 def rebuild_impacted_side(spark, d):                           # O5, W12
     t = _copy(spark, lineitem_p(spark, d), "lineitem_p", ["ship_month"])
     r = purge_table(spark, t, k_returned_jan95(spark, d), strategy="side_impacted")
@@ -485,7 +491,7 @@ def purge_manifest_insert(spark, d):                           # O4 from a manif
 
 
 def purge_manifest_move(spark, d):                             # O3 from a manifest
-    return _manifest_purge(spark, d, "set_location")
+    return _manifest_purge(spark, d, "move")
 
 
 # ---------------------------------------------------------------- oracle SQL
@@ -561,6 +567,7 @@ ORACLE_SQL: dict[str, str] = {
     "purge_multilevel": _survivors_sql("lineitem_ml", "q1_items", _LI_KEYS),
     "purge_static_insert": _survivors_sql("lineitem_p", "returned_jan95", _LI_KEYS),
     "purge_set_location": _survivors_sql("lineitem_p", "returned_jan95", _LI_KEYS),
+    "purge_move": _survivors_sql("lineitem_p", "returned_jan95", _LI_KEYS),
     "rebuild_impacted_side": _with(t=SQL_TABLES["lineitem_p"], k=SQL_KEYS["returned_jan95"])
     + f"SELECT * FROM t WHERE ship_month IN ({_IMPACTED}) AND {_survive_tuple(_LI_KEYS)}",
     "full_refresh_side": _survivors_sql("orders_p", "automobile", ["o_custkey"]),

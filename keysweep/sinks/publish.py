@@ -154,6 +154,26 @@ def publish_set_location(spark: SparkSession, info: TableInfo, stage_dir: str, s
     return removed
 
 
+def publish_move(spark: SparkSession, info: TableInfo, stage_dir: str, specs: list[dict], trash_dir: str) -> None:
+    """W10 as a file move: each surviving impacted partition's staged folder
+    replaces the partition's own folder (rename old -> trash, stage -> old
+    location), so the catalog entry stays valid and no second copy is
+    written. The replaced folders hold the erased rows and are deleted.
+    Renames are metadata operations on HDFS; on object stores they copy.
+    """
+    for spec in specs:
+        loc = partition_location(spark, info, spec)
+        rel = partition_path(spark, spec)
+        staged = f"{stage_dir}/{rel}"
+        if not loc or not fs.exists(spark, staged):
+            raise RuntimeError(f"cannot move partition {spec}: location {loc}, stage {staged}")
+        fs.rename(spark, loc, f"{trash_dir}/{rel}")
+        if not fs.rename(spark, staged, loc):
+            fs.rename(spark, f"{trash_dir}/{rel}", loc)          # put the old data back
+            raise RuntimeError(f"could not move {staged} to {loc}")
+    fs.delete(spark, trash_dir)
+
+
 def append(spark: SparkSession, info: TableInfo, rows: DataFrame) -> None:
     """W6 / W7 (restore): append through the catalog; new partitions are registered."""
     rows.select(*info.columns).write.insertInto(info.name, overwrite=False)

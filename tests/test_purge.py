@@ -93,7 +93,7 @@ def test_rejects_do_not_block(spark, sf, scratch, tmp_path):
 
 def test_strategies_agree(spark, sf, scratch):
     expected = None
-    for strategy in ("dynamic", "static", "set_location"):
+    for strategy in ("dynamic", "static", "move", "set_location"):
         t = scratch.table(S.lineitem_p(spark, sf), "lineitem_p", ["ship_month"])
         r = purge_table(spark, t, S.k_returned_jan95(spark, sf), strategy=strategy)
         got = rows(spark.table(t))
