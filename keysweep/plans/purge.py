@@ -177,10 +177,14 @@ def prepare_keys(spark: SparkSession, ks: KeySet, index: int, info: TableInfo, r
         raw = read_key_list(spark, ks.keys)
     else:
         raw = ks.keys
-    kc = list(ks.key_cols or raw.columns)
-    missing = [c for c in kc if c not in info.columns]
+    by_lower = {c.lower(): c for c in info.columns}
+    wanted = list(ks.key_cols or raw.columns)
+    missing = [c for c in wanted if c.lower() not in by_lower]
     if missing:
         raise ValueError(f"key columns {missing} are not columns of {info.name}")
+    kc = [by_lower[c.lower()] for c in wanted]           # the table's spelling (names are case-insensitive)
+    raw_cols = {c.lower(): c for c in raw.columns}
+    raw = raw.select(*[F.col(raw_cols[c.lower()]).alias(c) for c in kc])
     if ks.match not in MATCH_MODES:
         raise ValueError(f"match must be one of {MATCH_MODES}")
     typed0 = type_keys(raw, kc, {c: info.dtype(c) for c in kc})

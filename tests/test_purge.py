@@ -196,3 +196,12 @@ def test_null_partition_emptied(spark, scratch):
     assert rows(spark.table(t), ["k", "p"]) == [(1, "007")]
     spark.sql(f"MSCK REPAIR TABLE {t}")
     assert spark.table(t).count() == 1
+
+
+def test_key_header_case_insensitive(spark, sf, scratch, tmp_path):
+    t = scratch.table(S.orders_p(spark, sf), "orders_p", ["order_month"])
+    k = spark.table(t).select("o_custkey").first()[0]
+    p = tmp_path / "keys.csv"
+    p.write_text(f"O_CUSTKEY\n{k}\n")
+    r = purge_table(spark, t, str(p))
+    assert r.status == "DONE" and spark.table(t).where(F.col("o_custkey") == k).count() == 0
