@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, MapType, StringType, StructField, StructType
 
 from keysweep.session import new_run_id, work_root
 from keysweep.sinks import fs, publish
@@ -28,8 +28,23 @@ RESTORE_SCHEMA = StructType([
 ])
 
 
+def _has_map(dtype) -> bool:
+    if isinstance(dtype, MapType):
+        return True
+    if isinstance(dtype, StructType):
+        return any(_has_map(f.dataType) for f in dtype.fields)
+    if isinstance(dtype, ArrayType):
+        return _has_map(dtype.elementType)
+    return False
+
+
 def restore_backup(spark: SparkSession, table: str, backup_dir: str, *, work_dir: str | None = None,
-                   run_id: str | None = None, delete_backup: bool = True, guard: bool = True) -> DataFrame:
+                   run_id: str | None = None, delete_backup: bool = True, guard: bool = True,
+                   key_cols: list[str] | None = None) -> DataFrame:
+    """Put a purge's backup back. ``guard`` (default) restores only rows missing
+    from the live table (multiset difference over all columns); with
+    ``key_cols`` it restores the backed-up rows of every (partition, key) that
+    has no live row at all -- cheaper, and usable when a column is a map."""
     info = describe_table(spark, table)
     parts = info.partition_cols
     run_id = run_id or new_run_id(spark)
@@ -45,7 +60,13 @@ def restore_backup(spark: SparkSession, table: str, backup_dir: str, *, work_dir
             live = scan_partitions(spark, info.name, specs, parts)
         else:
             live = spark.table(info.name)
-        rows = backup.exceptAll(live.select(*info.columns))
+        if key_cols:
+            on = list(dict.fromkeys([*parts, *key_cols]))
+            rows = backup.join(live.select(*on).distinct(), on=on, how="left_anti").select(*info.columns)
+        elif _has_map(info.schema):
+            raise ValueError(f"{info.name} has a map column, which EXCEPT ALL cannot compare; pass key_cols")
+        else:
+            rows = backup.exceptAll(live.select(*info.columns))
     obs = Observation("restore")
     rows.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").partitionBy(*parts).parquet(stage_dir)
     restored = int(obs.get["n"])

@@ -205,3 +205,13 @@ def test_key_header_case_insensitive(spark, sf, scratch, tmp_path):
     p.write_text(f"O_CUSTKEY\n{k}\n")
     r = purge_table(spark, t, str(p))
     assert r.status == "DONE" and spark.table(t).where(F.col("o_custkey") == k).count() == 0
+
+
+def test_restore_by_keys(spark, sf, scratch):
+    t = scratch.table(S.orders_p(spark, sf), "orders_p", ["order_month"])
+    original = rows(spark.table(t))
+    r = purge_table(spark, t, S.k_automobile(spark, sf))
+    out = restore_backup(spark, t, r.backup_dir, key_cols=["o_custkey"], delete_backup=False).first()
+    assert out.rows_restored == r.rows_deleted and rows(spark.table(t)) == original
+    again = restore_backup(spark, t, r.backup_dir, key_cols=["o_custkey"]).first()
+    assert again.rows_restored == 0 and rows(spark.table(t)) == original
