@@ -215,3 +215,17 @@ def test_restore_by_keys(spark, sf, scratch):
     assert out.rows_restored == r.rows_deleted and rows(spark.table(t)) == original
     again = restore_backup(spark, t, r.backup_dir, key_cols=["o_custkey"]).first()
     assert again.rows_restored == 0 and rows(spark.table(t)) == original
+
+
+def test_typed_multilevel_partitions(spark, sf, scratch):
+    o = spark.read.parquet(f"{sf}/orders.parquet")
+    df = (o.withColumn("o_year", F.when(F.col("o_orderpriority") == "5-LOW", F.lit(None).cast("int"))
+                       .otherwise(F.year("o_orderdate")))
+          .withColumn("o_day", F.to_date(F.date_trunc("month", "o_orderdate"))))
+    t = scratch.table(df, "orders_typed", ["o_year", "o_day"])
+    assert dict(spark.table(t).dtypes)["o_year"] == "int" and dict(spark.table(t).dtypes)["o_day"] == "date"
+    keys = S.k_automobile(spark, sf)
+    expected = rows(df.join(keys, "o_custkey", "left_anti").select(*spark.table(t).columns))
+    r = purge_table(spark, t, keys)
+    assert r.status == "DONE" and any(x["spec"]["o_year"] is None for x in r.impacted)
+    assert rows(spark.table(t)) == expected
