@@ -45,7 +45,7 @@ from keysweep.session import new_run_id, work_root
 from keysweep.sinks import fs, publish
 from keysweep.sinks.audit import (STATUS_DONE, STATUS_DRY_RUN, STATUS_FAILED, STATUS_NOOP, STATUS_SIDE,
                                   audit_row, keys_location, write_audit)
-from keysweep.sources.catalog import TableInfo, column_refs, describe_table, spec_predicate
+from keysweep.sources.catalog import TableInfo, column_refs, describe_table, files_fingerprint, spec_predicate
 from keysweep.sources.keys import read_key_list, type_keys
 from keysweep.sources.stage import read_stage
 
@@ -400,6 +400,8 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
         return finish(STATUS_SIDE, f"survivors written to {res.side_dir}")
 
     split = f"{run_dir}/split"
+    snap_specs = impacted_specs if parts else None
+    before_fp = files_fingerprint(spark, info.name, snap_specs, parts)
     if explain:
         res.plans["split"] = _plan(rewritten)
     got = publish.write_split(rewritten, split, info,
@@ -412,6 +414,11 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
         return finish(STATUS_FAILED, f"rewrite counts {dict(got)} differ from the effect "
                                      f"({res.rows_deleted} deleted, {want_kept} kept): table changed, nothing published")
 
+    # Optimistic concurrency: the impacted partitions must still hold exactly the files we read.
+    if files_fingerprint(spark, info.name, snap_specs, parts) != before_fp:
+        publish.cleanup(spark, split)
+        res.rows_after = res.rows_before
+        return finish(STATUS_FAILED, "impacted partitions changed while the purge ran; nothing published")
     if backup:
         res.backup_dir = f"{base}/_BACKUP/backup_{run_id}"
         fs.rename(spark, publish.deleted_path(split), res.backup_dir)

@@ -153,6 +153,25 @@ def partition_list(spark: SparkSession, name: str) -> DataFrame:
             .withColumn("partition_column", split_partition("partition")))
 
 
+def files_fingerprint(spark: SparkSession, name: str, specs: list[dict] | None,
+                      partition_cols: list[str]) -> tuple[int, int]:
+    """(number of files, hash of their paths, sizes and modification times)
+    for the listed partitions (whole table when ``specs`` is None).
+
+    Files are immutable, so an unchanged fingerprint means unchanged data.
+    Only file metadata is read (no data columns).
+    """
+    df = spark.table(name)
+    if partition_cols and specs is not None:
+        df = df.where(spec_predicate(specs, partition_cols))
+    m = "_metadata"
+    files = df.select(F.col(f"{m}.file_path").alias("p"), F.col(f"{m}.file_size").alias("s"),
+                      F.col(f"{m}.file_modification_time").alias("t")).distinct()
+    row = files.agg(F.count(F.lit(1)).alias("n"),
+                    F.sum(F.pmod(F.xxhash64("p", "s", "t"), F.lit(2147483647))).alias("h")).first()
+    return int(row["n"]), int(row["h"] or 0)
+
+
 def data_files(df: DataFrame) -> DataFrame:
     """Distinct data files behind a DataFrame read from a file table.
 

@@ -229,3 +229,20 @@ def test_typed_multilevel_partitions(spark, sf, scratch):
     r = purge_table(spark, t, keys)
     assert r.status == "DONE" and any(x["spec"]["o_year"] is None for x in r.impacted)
     assert rows(spark.table(t)) == expected
+
+
+def test_concurrent_change_aborts(spark, sf, scratch, monkeypatch):
+    from keysweep.sinks import publish as PB
+    t = scratch.table(S.orders_p(spark, sf), "orders_p", ["order_month"])
+    real = PB.write_split
+
+    def write_then_interfere(flagged, path, info, rebalance=False):
+        got = real(flagged, path, info, rebalance)
+        extra = spark.table(t).limit(1)                     # another writer appends to an impacted partition
+        rows_ = extra.collect()
+        spark.createDataFrame(rows_, spark.table(t).schema).write.insertInto(t)
+        return got
+    monkeypatch.setattr(PB, "write_split", write_then_interfere)
+    n = spark.table(t).count()
+    r = purge_table(spark, t, S.k_automobile(spark, sf))
+    assert r.status == "FAILED" and spark.table(t).count() == n + 1      # nothing published
