@@ -22,8 +22,10 @@ the driver):
    partitions are overwritten empty and dropped; then refresh and a
    partition-pruned re-count of the impacted partitions.
 
-Strategies: ``dynamic`` (dynamic partition overwrite from the stage; also the
-non-partitioned path), ``static`` (one ``INSERT OVERWRITE ... PARTITION`` per
+Strategies: ``direct`` (default: backup pass, then one dynamic partition
+overwrite that reads the table itself -- survivors written once),
+``dynamic`` (split into backup + stage, verify, then dynamic partition
+overwrite from the stage; also the non-partitioned path), ``static`` (one ``INSERT OVERWRITE ... PARTITION`` per
 partition), ``move`` (staged partition folders renamed into the partitions'
 own locations, no second copy), ``set_location`` (repoint partitions at the
 stage, no second copy), ``side_impacted`` / ``side_full`` (survivors of the impacted partitions
@@ -49,7 +51,7 @@ from keysweep.sources.catalog import TableInfo, column_refs, describe_table, fil
 from keysweep.sources.keys import read_key_list, type_keys
 from keysweep.sources.stage import read_stage
 
-STRATEGIES = ("dynamic", "static", "move", "set_location", "side_impacted", "side_full")
+STRATEGIES = ("dynamic", "direct", "static", "move", "set_location", "side_impacted", "side_full")
 SIDE_STRATEGIES = ("side_impacted", "side_full")
 # Partition column that marks Type-2 history versions; by default only its
 # closed versions (value 0) are erased.
@@ -231,7 +233,7 @@ def _spec(row, parts: list[str]) -> dict:
 
 def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None = None, *,
                 key_cols: list[str] | None = None, key_sets: list[KeySet] | None = None,
-                match: str = "tuple", scope: Column | str | None = "auto", strategy: str = "dynamic",
+                match: str = "tuple", scope: Column | str | None = "auto", strategy: str = "direct",
                 work_dir: str | None = None, run_id: str | None = None, dry_run: bool = False,
                 backup: bool = True, audit_dir: str | None = None, side_dir: str | None = None,
                 input_name: str | None = None, broadcast_max_bytes: int | None = None,
@@ -402,8 +404,12 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
     split = f"{run_dir}/split"
     snap_specs = impacted_specs if parts else None
     before_fp = files_fingerprint(spark, info.name, snap_specs, parts)
+    want_rebalance = bool(rebalance) if rebalance is not None else (any_shuffle and bool(parts))
+    if strategy == "direct" and parts:
+        return _direct(spark, info, res, source, found_specs, scope_col, impacted_specs, expected_kept,
+                       before_fp, backup, base, run_id, want_rebalance, explain, lap, finish)
     if explain:
-        res.plans["split"] = _plan(rewritten)
+        res.plans["rewrite"] = _plan(rewritten)
     got = publish.write_split(rewritten, split, info,
                               rebalance=bool(rebalance) if rebalance is not None else (any_shuffle and bool(parts)))
     lap("split_write")
@@ -457,6 +463,65 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
     return finish(STATUS_DONE)
 
 
+def _direct(spark, info: TableInfo, res: PurgeResult, source: DataFrame, found_specs, scope_col, specs,
+            expected_kept: int, before_fp, backup: bool, base: str, run_id: str, rebalance: bool, explain: bool,
+            lap, finish) -> PurgeResult:
+    """``strategy="direct"``: survivors are written once, straight into the table.
+
+    1. backup pass: the matched rows of the impacted partitions are written to
+       the backup folder and counted (must equal the effect pass) -- nothing
+       live has changed yet; skipped with ``backup=False``;
+    2. concurrency check (file fingerprint of the impacted partitions);
+    3. one dynamic partition overwrite reads the impacted partitions, drops the
+       matched rows and replaces those partitions at job commit (Spark writes
+       to a staging folder first, so reading the target is allowed). A
+       failure before commit leaves the table unchanged.
+    """
+    parts = info.partition_cols
+    if backup:
+        res.backup_dir = f"{base}/_BACKUP/backup_{run_id}"
+        matched = flag_matches(source, found_specs, scope_col).where(F.col("_hit")).select(*info.columns)
+        if rebalance:
+            matched = matched.hint("rebalance", *parts)
+        obs = Observation("backup")
+        matched = matched.observe(obs, F.count(F.lit(1)).alias("d"))
+        matched.write.mode("overwrite").partitionBy(*parts).parquet(res.backup_dir)
+        lap("backup_write")
+        if int(obs.get["d"]) != res.rows_deleted:
+            fs.delete(spark, res.backup_dir)
+            res.backup_dir, res.rows_after = None, res.rows_before
+            return finish(STATUS_FAILED, f"backup holds {obs.get['d']} rows, the effect found {res.rows_deleted}: "
+                                         "table changed, nothing published")
+    if files_fingerprint(spark, info.name, specs, parts) != before_fp:
+        res.rows_after = res.rows_before
+        return finish(STATUS_FAILED, "impacted partitions changed while the purge ran; nothing published")
+    kept = flag_matches(spark.table(info.name).where(spec_predicate(specs, parts)), found_specs, scope_col) \
+        .where(~F.col("_hit")).select(*info.columns)
+    if rebalance:
+        kept = kept.hint("rebalance", *parts)
+    if explain:
+        res.plans["rewrite"] = _plan(kept)
+    obs_k = Observation("kept")
+    kept = kept.observe(obs_k, F.count(F.lit(1)).alias("n"))
+    try:
+        publish.publish_dynamic(spark, info, kept)
+        lap("publish")
+        emptied = [r["spec"] for r in res.impacted if r["rows_before"] == r["rows_deleted"]]
+        publish.drop_emptied(spark, info, emptied)
+        publish.refresh(spark, info)
+    except Exception as exc:
+        finish(STATUS_FAILED, f"publish failed: {exc}")
+        raise PurgeError(f"direct publish of {info.name} failed; backup {res.backup_dir} kept", res) from exc
+    written = int(obs_k.get["n"])
+    now = publish.count_partitions(spark, info, specs)
+    lap("verify")
+    if written != expected_kept or now != expected_kept:
+        res.rows_after = res.rows_before - (sum(r["rows_before"] for r in res.impacted) - now)
+        return finish(STATUS_FAILED, f"impacted partitions hold {now} rows after publish ({written} written), "
+                                     f"expected {expected_kept}: the table changed during the purge")
+    return finish(STATUS_DONE)
+
+
 def dry_run(spark: SparkSession, table: str, keys=None, **kwargs) -> PurgeResult:
     """Counts only -- before, keys found, rows to delete, impacted partitions."""
     kwargs["dry_run"] = True

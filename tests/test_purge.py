@@ -33,6 +33,7 @@ def test_invariants_orders(spark, sf, scratch):
     backup = spark.read.schema(spark.table(t).schema).parquet(r.backup_dir)
     assert backup.count() == r.rows_deleted                                   # backup = deleted
     assert not fs.exists(spark, f"{r.run_dir}/split/_deleted=false")           # no stage left
+    assert "publish" in r.timings and "split_write" not in r.timings            # direct: survivors written once
     audit = r.audit.first()
     assert audit.total_records_deleted == r.rows_deleted and audit.status == "DONE"
     again = purge_table(spark, t, S.k_automobile(spark, sf))                  # purge twice = once
@@ -93,7 +94,7 @@ def test_rejects_do_not_block(spark, sf, scratch, tmp_path):
 
 def test_strategies_agree(spark, sf, scratch):
     expected = None
-    for strategy in ("dynamic", "static", "move", "set_location"):
+    for strategy in ("dynamic", "direct", "static", "move", "set_location"):
         t = scratch.table(S.lineitem_p(spark, sf), "lineitem_p", ["ship_month"])
         r = purge_table(spark, t, S.k_returned_jan95(spark, sf), strategy=strategy)
         got = rows(spark.table(t))
@@ -119,7 +120,7 @@ def test_shuffle_path_with_hot_keys(spark, sf, scratch):
     t2 = scratch.table(S.orders_p(spark, sf), "orders_p", ["order_month"])
     a = purge_table(spark, t1, S.k_automobile(spark, sf))
     b = purge_table(spark, t2, S.k_automobile(spark, sf), broadcast_max_bytes=0, hot_key_rows=2, explain=True)
-    assert "_salt_0" in b.plans["split"] and "SortMergeJoin" in b.plans["split"]
+    assert "_salt_0" in b.plans["rewrite"] and "SortMergeJoin" in b.plans["rewrite"]
     assert a.rows_deleted == b.rows_deleted and rows(spark.table(t1)) == rows(spark.table(t2))
 
 
@@ -244,5 +245,22 @@ def test_concurrent_change_aborts(spark, sf, scratch, monkeypatch):
         return got
     monkeypatch.setattr(PB, "write_split", write_then_interfere)
     n = spark.table(t).count()
-    r = purge_table(spark, t, S.k_automobile(spark, sf))
+    r = purge_table(spark, t, S.k_automobile(spark, sf), strategy="dynamic")
     assert r.status == "FAILED" and spark.table(t).count() == n + 1      # nothing published
+
+
+def test_concurrent_change_aborts_direct(spark, sf, scratch, monkeypatch):
+    from keysweep.plans import purge as P
+    t = scratch.table(S.orders_p(spark, sf), "orders_p", ["order_month"])
+    real, calls = P.files_fingerprint, []
+
+    def fingerprint_with_interference(*args, **kwargs):
+        calls.append(1)
+        if len(calls) == 2:                                  # after the backup pass, before the overwrite
+            rows_ = spark.table(t).limit(1).collect()
+            spark.createDataFrame(rows_, spark.table(t).schema).write.insertInto(t)
+        return real(*args, **kwargs)
+    monkeypatch.setattr(P, "files_fingerprint", fingerprint_with_interference)
+    n = spark.table(t).count()
+    r = purge_table(spark, t, S.k_automobile(spark, sf), strategy="direct")
+    assert r.status == "FAILED" and spark.table(t).count() == n + 1
