@@ -45,6 +45,7 @@ from keysweep.functions.text import join_key_texts, key_text
 from keysweep.operators.match import MATCH_MODES, KeySpec, flag_matches
 from keysweep.session import new_run_id, work_root
 from keysweep.sinks import fs, publish
+from keysweep.sinks.observe import observed
 from keysweep.sinks.audit import (STATUS_DONE, STATUS_DRY_RUN, STATUS_FAILED, STATUS_NOOP, STATUS_SIDE,
                                   audit_row, keys_location, write_audit)
 from keysweep.sources.catalog import TableInfo, column_refs, describe_table, files_fingerprint, spec_predicate
@@ -200,11 +201,11 @@ def prepare_keys(spark: SparkSession, ks: KeySet, index: int, info: TableInfo, r
                             [F.lit(0).alias("chars")]))
     path = f"{run_dir}/keys_{index}"
     valid.write.mode("overwrite").parquet(path)          # one pass over the input
-    got = obs_in.get
+    got = observed(obs_in, n=0, bad=0)
     if int(got["bad"]):                                  # second pass only when there are rejects
         typed0.where(~F.col("_ok")).select(F.col("_raw").alias("key_text")).write.mode("overwrite") \
             .parquet(f"{run_dir}/rejects_{index}")
-    out = obs.get
+    out = observed(obs, n=0, chars=0)
     n_valid = int(out["n"])
     est = n_valid * (16 + sum(_fixed_width(info.dtype(c)) for c in kc) + 8 * len(str_cols)) + int(out["chars"] or 0)
     schema = StructType([StructField(c, info.dtype(c), True) for c in kc])
@@ -322,6 +323,7 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
 
     # Step 3: found keys -> audit keys side table.
     inline_texts: list[str] = []
+    overflow = False
     found_specs = []
     scope_rows = sum(r["rows_before"] for r in res.impacted) if parts else res.rows_before
     shuffle_parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
@@ -335,19 +337,22 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
         obs = Observation(f"found_{p.index}")
         found.observe(obs, F.count(F.lit(1)).alias("n"),
                       F.count_if(F.col("rows_deleted") >= hot_rows).alias("hot")).write.mode("overwrite").parquet(loc)
-        n_found, n_hot = int(obs.get["n"]), int(obs.get["hot"])
+        got_f = observed(obs, n=0, hot=0)
+        n_found, n_hot = int(got_f["n"]), int(got_f["hot"])
         res.keys_found += n_found
         res.found_paths.append(loc)
-        if n_found and len(inline_texts) <= inline_keys:
+        if len(inline_texts) + n_found > inline_keys:
+            overflow = True                       # the keys side table holds them all
+        elif n_found:
             fdf = spark.read.parquet(loc)
-            inline_texts += [r[0] for r in fdf.select("key_text").orderBy(*p.key_cols).limit(inline_keys + 1).collect()]
+            inline_texts += [r[0] for r in fdf.select("key_text").orderBy(*p.key_cols).collect()]
         fdf = spark.read.parquet(loc)
         est = n_found * (16 + 8 * len(p.key_cols)) + (p.est_bytes // max(p.n_valid, 1)) * n_found
         bcast = est <= limit
         # Hot keys: at most scope_rows / hot_rows <= 2 x shuffle partitions of them, so broadcasting is bounded.
         hot = fdf.where(F.col("rows_deleted") >= hot_rows).select(*p.key_cols) if (n_hot and not bcast) else None
         found_specs.append(KeySpec(fdf.select(*p.key_cols), p.key_cols, "tuple", bcast, distinct=False, hot=hot))
-    keys_text = join_key_texts(inline_texts) if len(inline_texts) <= inline_keys else None
+    keys_text = None if overflow else join_key_texts(inline_texts)
     lap("found_keys")
 
     def finish(status: str, message: str = "") -> PurgeResult:
@@ -395,7 +400,7 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
         obs = Observation("side")                 # after the last exchange: exact (see write_split)
         out = out.observe(obs, F.count(F.lit(1)).alias("n"))
         out.write.mode("overwrite").partitionBy(*parts).parquet(res.side_dir)
-        got = {"d": res.rows_deleted, "n": res.rows_deleted + int(obs.get["n"])}
+        got = {"d": res.rows_deleted, "n": res.rows_deleted + int(observed(obs, n=0)["n"])}
         want = res.rows_after if (strategy == "side_full" or not parts) else expected_kept
         if int(got["d"]) != res.rows_deleted or int(got["n"]) - int(got["d"]) != want:
             return finish(STATUS_FAILED, f"side copy counts {got} differ from the effect ({res.rows_deleted} deleted)")
@@ -410,8 +415,7 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
                        before_fp, backup, base, run_id, want_rebalance, explain, lap, finish)
     if explain:
         res.plans["rewrite"] = _plan(rewritten)
-    got = publish.write_split(rewritten, split, info,
-                              rebalance=bool(rebalance) if rebalance is not None else (any_shuffle and bool(parts)))
+    got = publish.write_split(rewritten, split, info, rebalance=want_rebalance)
     lap("split_write")
     want_kept = expected_kept if parts else res.rows_after
     if int(got["d"]) != res.rows_deleted or int(got["n"]) - int(got["d"]) != want_kept:
@@ -487,10 +491,11 @@ def _direct(spark, info: TableInfo, res: PurgeResult, source: DataFrame, found_s
         matched = matched.observe(obs, F.count(F.lit(1)).alias("d"))
         matched.write.mode("overwrite").partitionBy(*parts).parquet(res.backup_dir)
         lap("backup_write")
-        if int(obs.get["d"]) != res.rows_deleted:
+        n_backup = int(observed(obs, d=0)["d"])
+        if n_backup != res.rows_deleted:
             fs.delete(spark, res.backup_dir)
             res.backup_dir, res.rows_after = None, res.rows_before
-            return finish(STATUS_FAILED, f"backup holds {obs.get['d']} rows, the effect found {res.rows_deleted}: "
+            return finish(STATUS_FAILED, f"backup holds {n_backup} rows, the effect found {res.rows_deleted}: "
                                          "table changed, nothing published")
     if files_fingerprint(spark, info.name, specs, parts) != before_fp:
         res.rows_after = res.rows_before
@@ -512,7 +517,7 @@ def _direct(spark, info: TableInfo, res: PurgeResult, source: DataFrame, found_s
     except Exception as exc:
         finish(STATUS_FAILED, f"publish failed: {exc}")
         raise PurgeError(f"direct publish of {info.name} failed; backup {res.backup_dir} kept", res) from exc
-    written = int(obs_k.get["n"])
+    written = int(observed(obs_k, n=0)["n"])
     now = publish.count_partitions(spark, info, specs)
     lap("verify")
     if written != expected_kept or now != expected_kept:

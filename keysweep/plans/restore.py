@@ -17,6 +17,7 @@ from pyspark.sql.types import ArrayType, LongType, MapType, StringType, StructFi
 
 from keysweep.session import new_run_id, work_root
 from keysweep.sinks import fs, publish
+from keysweep.sinks.observe import observed
 from keysweep.sources.catalog import describe_table, scan_partitions
 from keysweep.sources.stage import read_backup, read_stage
 
@@ -69,7 +70,7 @@ def restore_backup(spark: SparkSession, table: str, backup_dir: str, *, work_dir
             rows = backup.exceptAll(live.select(*info.columns))
     obs = Observation("restore")
     rows.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").partitionBy(*parts).parquet(stage_dir)
-    restored = int(obs.get["n"])
+    restored = int(observed(obs, n=0)["n"])
     if restored:
         publish.append(spark, info, read_stage(spark, stage_dir, info.schema))   # W6 / W7
     publish.refresh(spark, info)                                               # W15

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from keysweep.functions.text import partition_path, partition_spec_sql, quote_ident, sql_literal
 from keysweep.session import session_conf
 from keysweep.sinks import fs
+from keysweep.sinks.observe import observed
 from keysweep.sources.catalog import TableInfo, spec_predicate, table_location
 
 DELETED = "_deleted"
@@ -43,8 +44,7 @@ def write_split(flagged: DataFrame, path: str, info: TableInfo, rebalance: bool
     out = out.observe(obs, F.count(F.lit(1)).alias("n"), F.count_if(F.col(DELETED)).alias("d"))
     (out.write.mode("overwrite").format("parquet")
         .partitionBy(DELETED, *info.partition_cols).save(path))
-    got = obs.get
-    return {"n": int(got["n"]), "d": int(got["d"])}
+    return observed(obs, n=0, d=0)
 
 
 def stage_path(split_path: str) -> str:

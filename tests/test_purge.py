@@ -264,3 +264,23 @@ def test_concurrent_change_aborts_direct(spark, sf, scratch, monkeypatch):
     n = spark.table(t).count()
     r = purge_table(spark, t, S.k_automobile(spark, sf), strategy="direct")
     assert r.status == "FAILED" and spark.table(t).count() == n + 1
+
+
+def test_header_only_key_list_is_noop(spark, sf, scratch, tmp_path):
+    t = scratch.table(S.orders_p(spark, sf), "orders_p", ["order_month"])
+    p = tmp_path / "empty.csv"
+    p.write_text("o_custkey\n")
+    r = purge_table(spark, t, str(p))
+    assert r.status == "NOOP" and r.keys_requested == 0 and r.audit.first().status == "NOOP"
+
+
+def test_string_keys_with_quotes_and_padding(spark, scratch, tmp_path):
+    df = spark.createDataFrame([("O'Neil", 1, "a"), ("001", 2, "a"), ("1", 3, "b"), ("x", 4, "b")],
+                               "name string, v int, p string")
+    t = scratch.table(df, "names", ["p"])
+    p = tmp_path / "k.csv"
+    p.write_text('name\n"O\'Neil"\n001\n')
+    r = purge_table(spark, t, str(p))
+    assert r.status == "DONE" and r.rows_deleted == 2
+    assert rows(spark.table(t), ["name"]) == [("1",), ("x",)]
+    assert r.audit.first().deleted_keys_and_values == "'001'|'O'Neil'"
