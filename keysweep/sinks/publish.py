@@ -77,7 +77,7 @@ def drop_emptied(spark: SparkSession, info: TableInfo, specs: list[dict]) -> lis
     """
     if not specs:
         return []
-    locations = [partition_location(spark, info, spec) for spec in specs]
+    locations = partition_locations(spark, info, specs)
     for i in range(0, len(specs), DROP_BATCH):
         chunk = specs[i:i + DROP_BATCH]
         body = ", ".join(f"PARTITION ({partition_spec_sql(spec)})" for spec in chunk)
@@ -128,6 +128,21 @@ def publish_static(spark: SparkSession, info: TableInfo, stage: DataFrame | None
         spark.catalog.dropTempView(view)
 
 
+def partition_locations(spark: SparkSession, info: TableInfo, specs: list[dict]) -> list[str | None]:
+    """Folder of each listed (non-empty) partition, in one metadata-only job:
+    the parent directory of the partition's data files. A partition whose
+    files sit in more than one folder, or that has none, is looked up in the
+    catalog instead."""
+    if not specs:
+        return []
+    parts = info.partition_cols
+    folders = (spark.table(info.name).where(spec_predicate(specs, parts))
+               .select(*parts, F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("_dir"))
+               .groupBy(*parts).agg(F.min("_dir").alias("_dir"), F.count_distinct("_dir").alias("_n")))
+    found = {tuple(r[c] for c in parts): r["_dir"] for r in folders.collect() if r["_n"] == 1}
+    return [found.get(tuple(spec[c] for c in parts)) or partition_location(spark, info, spec) for spec in specs]
+
+
 def partition_location(spark: SparkSession, info: TableInfo, spec: dict) -> str | None:
     rows = (spark.sql(f"DESCRIBE FORMATTED {info.quoted} PARTITION ({partition_spec_sql(spec)})")
             .where(F.col("col_name") == "Location").select("data_type").collect())
@@ -143,8 +158,7 @@ def publish_set_location(spark: SparkSession, info: TableInfo, stage_dir: str, s
     Returns the old locations that were removed.
     """
     removed = []
-    for spec in specs:
-        old = partition_location(spark, info, spec)
+    for spec, old in zip(specs, partition_locations(spark, info, specs)):
         new = f"{stage_dir}/{partition_path(spark, spec)}"
         spark.sql(f"ALTER TABLE {info.quoted} PARTITION ({partition_spec_sql(spec)}) "
                   f"SET LOCATION '{fs.qualify(spark, new)}'")
@@ -161,8 +175,7 @@ def publish_move(spark: SparkSession, info: TableInfo, stage_dir: str, specs: li
     written. The replaced folders hold the erased rows and are deleted.
     Renames are metadata operations on HDFS; on object stores they copy.
     """
-    for spec in specs:
-        loc = partition_location(spark, info, spec)
+    for spec, loc in zip(specs, partition_locations(spark, info, specs)):
         rel = partition_path(spark, spec)
         staged = f"{stage_dir}/{rel}"
         if not loc or not fs.exists(spark, staged):
