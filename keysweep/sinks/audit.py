@@ -11,7 +11,6 @@ only when the found keys number at most ``inline_keys``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from keysweep.functions.text import audit_timestamp, audit_user

@@ -21,7 +21,7 @@ from keysweep.functions.text import partition_path, partition_spec_sql, quote_id
 from keysweep.session import session_conf
 from keysweep.sinks import fs
 from keysweep.sinks.observe import observed
-from keysweep.sources.catalog import TableInfo, spec_predicate, table_location
+from keysweep.sources.catalog import TableInfo, spec_predicate
 
 DELETED = "_deleted"
 DYNAMIC = {"spark.sql.sources.partitionOverwriteMode": "dynamic"}
@@ -208,4 +208,4 @@ def cleanup(spark: SparkSession, path: str) -> bool:
 
 __all__ = ["write_split", "stage_path", "deleted_path", "refresh", "drop_emptied", "publish_dynamic",
            "publish_static", "publish_set_location", "append", "count_partitions", "cleanup",
-           "table_location", "partition_location"]
+           "partition_location", "partition_locations", "publish_move"]

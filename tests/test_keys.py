@@ -1,6 +1,5 @@
 """Key typing (F7), key-list and manifest readers (S5-S8), rejects."""
 
-from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType
 
 from keysweep.functions.text import key_text, partition_spec_sql, sql_literal
