@@ -10,7 +10,9 @@ from keysweep.operators.effect import (  # noqa: F401
 )
 from keysweep.operators.match import (  # noqa: F401
     KeySpec,
+    estimate_bytes,
     flag_matches,
+    keys_fit_broadcast,
     keys_found,
     keys_not_found,
     match_keys,

@@ -48,6 +48,28 @@ class KeySpec:
             raise ValueError("at least one key column is required")
 
 
+def estimate_bytes(keys: DataFrame, key_cols: list[str] | None = None) -> int:
+    """In-memory size estimate of a key relation, measured (one aggregation
+    job): rows x (row header + 8 bytes per fixed-width column) + string bytes."""
+    kc = key_cols or keys.columns
+    strings = [c for c in kc if keys.schema[c].dataType.typeName() in ("string", "binary")]
+    fixed = len(kc) - len(strings)
+    agg = [F.count(F.lit(1)).alias("n")]
+    agg.append(F.sum(sum(F.coalesce(F.octet_length(c), F.lit(0)) for c in strings)).alias("b") if strings
+               else F.lit(0).alias("b"))
+    row = keys.select(*kc).agg(*agg).first()
+    n, b = int(row["n"] or 0), int(row["b"] or 0)
+    return n * (16 + 8 * fixed + 8 * len(strings)) + b
+
+
+def keys_fit_broadcast(keys: DataFrame, key_cols: list[str] | None = None, limit_bytes: int | None = None) -> bool:
+    """True when the measured key relation is within the broadcast limit
+    (default: the session's ``spark.sql.autoBroadcastJoinThreshold``)."""
+    if limit_bytes is None:
+        limit_bytes = int(keys.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+    return 0 <= estimate_bytes(keys, key_cols) <= limit_bytes
+
+
 def _hinted(df: DataFrame, broadcast: bool | None) -> DataFrame:
     if broadcast is True:
         return F.broadcast(df)
@@ -162,11 +184,11 @@ def survivors(df: DataFrame, keys: DataFrame, key_cols: list[str] | None = None,
 
 
 def rows_in_partitions(df: DataFrame, partitions: DataFrame, partition_cols: list[str],
-                       broadcast_partitions: bool | None = True) -> DataFrame:
+                       broadcast_partitions: bool | None = None) -> DataFrame:
     """Rows of the listed partitions, as a null-safe semi-join on the
-    partition columns. (The partition list has one row per partition, so it is
-    bounded by the table's partition count.) The purge job itself uses literal
-    specs instead (see ``scan_partitions``), which prune statically."""
+    partition columns (the join strategy is Spark's unless the caller checked
+    the list's size). The purge job itself uses literal specs instead (see
+    ``scan_partitions``), which prune statically."""
     p = partitions.select(*partition_cols).distinct()
     p = _hinted(p, broadcast_partitions)
     cond = reduce(lambda a, b: a & b, [df[c].eqNullSafe(p[c]) for c in partition_cols])

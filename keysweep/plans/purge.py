@@ -347,10 +347,19 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
             fdf = spark.read.parquet(loc)
             inline_texts += [r[0] for r in fdf.select("key_text").orderBy(*p.key_cols).collect()]
         fdf = spark.read.parquet(loc)
-        est = n_found * (16 + 8 * len(p.key_cols)) + (p.est_bytes // max(p.n_valid, 1)) * n_found
-        bcast = est <= limit
-        # Hot keys: at most scope_rows / hot_rows <= 2 x shuffle partitions of them, so broadcasting is bounded.
-        hot = fdf.where(F.col("rows_deleted") >= hot_rows).select(*p.key_cols) if (n_hot and not bcast) else None
+        per_key = 16 + 8 * len(p.key_cols) + p.est_bytes // max(p.n_valid, 1)
+        bcast = n_found * per_key <= limit
+        hot = None
+        if n_hot and not bcast and limit > 0:
+            # Hot keys are broadcast, so their number must fit the limit: by default there are at most
+            # scope_rows / hot_rows <= 2 x shuffle partitions of them; if an explicit threshold makes
+            # more, only the heaviest that fit are split off (top-k) -- the others stay in the shuffle join.
+            fit = max(limit // per_key, 0)
+            cut = hot_rows
+            if n_hot > fit:
+                top = fdf.orderBy(F.col("rows_deleted").desc()).limit(fit + 1).select("rows_deleted").collect()
+                cut = (top[-1][0] + 1) if len(top) > fit else hot_rows
+            hot = fdf.where(F.col("rows_deleted") >= cut).select(*p.key_cols) if fit else None
         found_specs.append(KeySpec(fdf.select(*p.key_cols), p.key_cols, "tuple", bcast, distinct=False, hot=hot))
     keys_text = None if overflow else join_key_texts(inline_texts)
     lap("found_keys")

@@ -182,8 +182,10 @@ def inactive_only(spark, d):                                   # P4
                        scope=F.col("active") == "0")
 
 
-def survivors_single(spark, d):                                # J2 (size-checked broadcast)
-    return M.survivors(_t(spark, d, "orders"), k_automobile(spark, d), ["o_custkey"], broadcast_keys=True)
+def survivors_single(spark, d):                                # J2 (broadcast behind a measured size check)
+    keys = k_automobile(spark, d)
+    return M.survivors(_t(spark, d, "orders"), keys, ["o_custkey"],
+                       broadcast_keys=M.keys_fit_broadcast(keys, ["o_custkey"]))
 
 
 def survivors_unhinted(spark, d):                              # J4 (shuffle join)
