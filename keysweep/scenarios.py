@@ -448,7 +448,7 @@ def dry_run_report(spark, d):                                  # O9
     t = _copy(spark, orders_p(spark, d), "orders_p", ["order_month"])
     r = dry_run(spark, t, k_automobile(spark, d))
     rows_now = spark.table(t).count()
-    return r.audit.select(*_AUDIT_COLS).withColumn("rows_in_table_after", F.lit(rows_now))
+    return r.audit.select(*_AUDIT_COLS).withColumn("rows_in_table_after", F.lit(rows_now).cast("bigint"))
 
 
 _MANIFEST_TABLES = {"orders_p": (orders_p, ["order_month"], "o_orderkey"),
