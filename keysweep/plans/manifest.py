@@ -17,6 +17,7 @@ for rebuilding the impacted partitions into a side folder (O5) and
 from __future__ import annotations
 
 from collections import OrderedDict
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from keysweep.operators.effect import group_manifest
 from keysweep.plans.purge import KeySet, PurgeResult, purge_table
-from keysweep.session import new_run_id, work_root
+from keysweep.session import child_session, new_run_id, work_root
 from keysweep.sinks.audit import STATUS_FAILED, audit_row, write_audit
 from keysweep.sources.catalog import describe_table, manifest_partition_column
 from keysweep.sources.keys import MANIFEST_SCHEMA, manifest_keys, read_manifest, split_manifest
@@ -61,8 +62,9 @@ def _resolve(name: str, columns: list[str]) -> str | None:
 
 def purge_manifest(spark: SparkSession, manifest: DataFrame | str, *, strategy: str = "direct",
                    work_dir: str | None = None, run_id: str | None = None, audit_dir: str | None = None,
-                   **kwargs) -> ManifestResult:
-    """Purge every table named in the manifest; returns one result per table."""
+                   parallelism: int = 4, **kwargs) -> ManifestResult:
+    """Purge every table named in the manifest; returns one result per table
+    (in target order). Up to ``parallelism`` tables are purged at once."""
     label = manifest if isinstance(manifest, str) else None
     m = read_manifest(spark, manifest) if isinstance(manifest, str) else manifest
     run_id = run_id or new_run_id(spark)
@@ -80,7 +82,7 @@ def purge_manifest(spark: SparkSession, manifest: DataFrame | str, *, strategy:
     for row in group_manifest(valid).collect():
         targets.setdefault((row["DATABASE_NAME"], row["TABLE_NAME"]), []).append(row)
 
-    for i, ((db, tbl), rows) in enumerate(targets.items()):
+    def one(i: int, db: str, tbl: str, rows: list, session: SparkSession):
         name = f"{db}.{tbl}"
         try:
             info = describe_table(spark, name)
@@ -93,19 +95,36 @@ def purge_manifest(spark: SparkSession, manifest: DataFrame | str, *, strategy:
                 if not agrees:
                     notes.append(f"manifest partition column {row['PARTITION_COL']!r} ignored; "
                                  f"catalog has {info.partition_cols}")
-                keys = manifest_keys(valid, db, tbl, row["PK"]).withColumnRenamed(row["PK"], col)
+                keys = manifest_keys(session.read.parquet(f"{mdir}/valid"), db, tbl, row["PK"]) \
+                    .withColumnRenamed(row["PK"], col)
                 key_sets.append(KeySet(keys, [col], "tuple", source=label))
-            res = purge_table(spark, name, key_sets=key_sets, strategy=strategy, work_dir=root,
+            res = purge_table(session, name, key_sets=key_sets, strategy=strategy, work_dir=root,
                               run_id=f"{run_id}-t{i}", audit_dir=audit_dir, input_name=label, **kwargs)
             if notes:
                 res.message = "; ".join([res.message] + notes) if res.message else "; ".join(notes)
-            out.results.append(res)
+            return "ok", res
         except Exception as exc:  # one bad target does not stop the others
-            audit = write_audit(audit_row(spark, {
+            audit = write_audit(audit_row(session, {
                 "spark_application_id": spark.sparkContext.applicationId, "input_file_name": label,
                 "run_id": f"{run_id}-t{i}", "table_name": name, "status": STATUS_FAILED, "strategy": strategy,
                 "message": str(exc).splitlines()[0][:500]}), audit_dir)
-            out.failures.append({"table": name, "error": str(exc), "audit": audit})
+            return "failed", {"table": name, "error": str(exc), "audit": audit}
+
+    jobs = [(i, db, tbl, rows) for i, ((db, tbl), rows) in enumerate(targets.items())]
+    workers = max(1, min(parallelism, len(jobs)))
+    if workers == 1:
+        outcomes = [one(i, db, tbl, rows, spark) for i, db, tbl, rows in jobs]
+    else:
+        # Independent tables run as concurrent Spark jobs, each in its own child session.
+        with ThreadPoolExecutor(max_workers=workers) as pool:
+            futures = [pool.submit(one, i, db, tbl, rows, child_session(spark)) for i, db, tbl, rows in jobs]
+            outcomes = [f.result() for f in futures]
+    for kind, value in outcomes:
+        (out.results if kind == "ok" else out.failures).append(value)
+    if workers > 1:
+        # Each session caches its own file listing of a table: refresh the caller's view of what changed.
+        for r in out.results:
+            spark.catalog.refreshTable(r.table)
     return out
 
 

@@ -57,6 +57,20 @@ def session_conf(spark: SparkSession, **settings: str):
                 spark.conf.set(k, v)
 
 
+def child_session(spark: SparkSession) -> SparkSession:
+    """A session sharing the caller's SparkContext and catalog, with a copy of
+    its runtime SQL settings but its own configuration and temporary views --
+    so a purge running in a thread can change session settings (the dynamic
+    partition-overwrite mode) without touching the caller or other threads."""
+    child = spark.newSession()
+    for k, v in spark.conf.getAll.items():
+        try:
+            child.conf.set(k, v)
+        except Exception:  # static or read-only settings are already shared through the context
+            pass
+    return child
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "keysweep") -> SparkSession:
     """Session used by tests and the local benchmark (no UI, AQE on)."""
     builder = (

@@ -53,19 +53,23 @@ def audit_row(spark: SparkSession, values: dict) -> DataFrame:
 
 
 def write_audit(row: DataFrame, audit_dir: str) -> DataFrame:
-    """Append the row (one small file) to ``<audit_dir>/log``.
+    """Write the row (one small CSV file with header) to
+    ``<audit_dir>/log/<run_id>/``.
 
-    The row is materialised first so that the file and the returned DataFrame
-    agree on time and user."""
+    One folder per run, so purges running at the same time never share a
+    commit folder. The row is materialised first so that the file and the
+    returned DataFrame agree on time and user."""
     local = row.collect()
     spark = row.sparkSession
     fixed = spark.createDataFrame(local, AUDIT_SCHEMA)
-    fixed.coalesce(1).write.mode("append").option("header", True).csv(f"{audit_dir}/log")
+    run_id = local[0]["run_id"] if local and local[0]["run_id"] else "unknown"
+    fixed.coalesce(1).write.mode("append").option("header", True).csv(f"{audit_dir}/log/{run_id}")
     return fixed
 
 
 def read_audit(spark: SparkSession, audit_dir: str) -> DataFrame:
-    return spark.read.schema(AUDIT_SCHEMA).option("header", True).csv(f"{audit_dir}/log")
+    """Every audit row written under ``audit_dir``."""
+    return spark.read.schema(AUDIT_SCHEMA).option("header", True).csv(f"{audit_dir}/log/*")
 
 
 def keys_location(audit_dir: str, run_id: str, index: int) -> str:
