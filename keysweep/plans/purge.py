@@ -43,7 +43,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from keysweep.functions.text import join_key_texts, key_text
 from keysweep.operators.match import MATCH_MODES, KeySpec, flag_matches
-from keysweep.session import new_run_id, work_root
+from keysweep.session import child_session, new_run_id, work_root
 from keysweep.sinks import fs, publish
 from keysweep.sinks.observe import observed
 from keysweep.sinks.audit import (STATUS_DONE, STATUS_DRY_RUN, STATUS_FAILED, STATUS_NOOP, STATUS_SIDE,
@@ -240,9 +240,16 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
                 input_name: str | None = None, broadcast_max_bytes: int | None = None,
                 inline_keys: int = 1000, verify: bool = True, rebalance: bool | None = None,
                 hot_key_rows: int | None = None, explain: bool = False) -> PurgeResult:
-    """O1: delete from ``table`` every row whose key is listed (see module doc)."""
+    """O1: delete from ``table`` every row whose key is listed (see module doc).
+
+    Runs in a private child session (the caller's settings copied), so the
+    session-scoped settings and temporary views a publish needs never touch
+    the caller's session; the caller's view of the table is refreshed at the end.
+    """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
+    caller, spark = spark, child_session(spark)
+    spark.catalog.refreshTable(table)              # start from the table's current files
     info = describe_table(spark, table)
     parts = info.partition_cols
     run_id = run_id or new_run_id(spark)
@@ -382,6 +389,7 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
             "deleted_keys_location": f"{audit_dir}/keys/{run_id}",
             "message": message or (f"{res.rows_deleted} rows would be deleted" if status == STATUS_DRY_RUN else ""),
         }), audit_dir)
+        caller.catalog.refreshTable(info.name)
         lap("audit")
         return res
 

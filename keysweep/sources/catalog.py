@@ -159,8 +159,10 @@ def files_fingerprint(spark: SparkSession, name: str, specs: list[dict] | None,
     for the listed partitions (whole table when ``specs`` is None).
 
     Files are immutable, so an unchanged fingerprint means unchanged data.
-    Only file metadata is read (no data columns).
+    Only file metadata is read (no data columns). The table is refreshed
+    first: other applications' writes are not in this session's cached listing.
     """
+    spark.catalog.refreshTable(name)
     df = spark.table(name)
     if partition_cols and specs is not None:
         df = df.where(spec_predicate(specs, partition_cols))
