@@ -425,7 +425,7 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
 
     split = f"{run_dir}/split"
     snap_specs = impacted_specs if parts else None
-    before_fp = files_fingerprint(spark, info.name, snap_specs, parts)
+    before_fp = files_fingerprint(spark, info.name, snap_specs, parts, refresh=False)   # the listing the effect read
     want_rebalance = bool(rebalance) if rebalance is not None else (any_shuffle and bool(parts))
     if strategy == "direct" and parts:
         return _direct(spark, info, res, source, found_specs, scope_col, impacted_specs, expected_kept,

@@ -154,15 +154,18 @@ def partition_list(spark: SparkSession, name: str) -> DataFrame:
 
 
 def files_fingerprint(spark: SparkSession, name: str, specs: list[dict] | None,
-                      partition_cols: list[str]) -> tuple[int, int]:
+                      partition_cols: list[str], refresh: bool = True) -> tuple[int, int]:
     """(number of files, hash of their paths, sizes and modification times)
     for the listed partitions (whole table when ``specs`` is None).
 
     Files are immutable, so an unchanged fingerprint means unchanged data.
-    Only file metadata is read (no data columns). The table is refreshed
-    first: other applications' writes are not in this session's cached listing.
+    Only file metadata is read (no data columns). With ``refresh`` the table
+    is re-listed first: other applications' writes are not in this session's
+    cached listing. Without it, the fingerprint is of the listing this session
+    already uses (e.g. the one a purge read).
     """
-    spark.catalog.refreshTable(name)
+    if refresh:
+        spark.catalog.refreshTable(name)
     df = spark.table(name)
     if partition_cols and specs is not None:
         df = df.where(spec_predicate(specs, partition_cols))
