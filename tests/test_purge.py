@@ -285,3 +285,14 @@ def test_string_keys_with_quotes_and_padding(spark, scratch, tmp_path):
     assert r.status == "DONE" and r.rows_deleted == 2
     assert rows(spark.table(t), ["name"]) == [("1",), ("x",)]
     assert r.audit.first().deleted_keys_and_values == "'001'|'O'Neil'"
+
+
+def test_nothing_written_inside_table_folder(spark, sf, scratch):
+    for strategy in ("direct", "dynamic", "move"):
+        t = scratch.table(S.events_p(spark, sf), "events_p", ["event_type"], external=True)
+        loc = _local(spark.sql(f"DESCRIBE FORMATTED {t}").where("col_name = 'Location'").first().data_type)
+        r = purge_table(spark, t, S.k_errors(spark, sf).where(F.col("event_id") % 2 == 0), strategy=strategy)
+        assert r.status == "DONE"
+        entries = sorted(e for e in os.listdir(loc) if not e.startswith((".", "_")))   # hidden, as Spark reads
+        assert entries and all(e.startswith("event_type=") for e in entries), (strategy, entries)
+        assert not r.backup_dir.startswith(loc)
