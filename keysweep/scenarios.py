@@ -343,6 +343,12 @@ def purge_single_key(spark, d):                                # O1 / O7, dynami
     return _purged(spark, t)
 
 
+def purge_without_backup(spark, d):                            # O1, single pass (retention clean-up)
+    t = _copy(spark, lineitem_p(spark, d), "lineitem_p", ["ship_month"])
+    purge_table(spark, t, k_q1_items(spark, d), backup=False)
+    return _purged(spark, t)
+
+
 def purge_external_table(spark, d):                            # O1 on an EXTERNAL table
     t = _copy(spark, orders_p(spark, d), "orders_p_ext", ["order_month"], external=True)
     purge_table(spark, t, k_automobile(spark, d))
@@ -557,6 +563,7 @@ ORACLE_SQL: dict[str, str] = {
                       "'ship_month' AS partition_column FROM lineitem",
     "purge_single_key": _survivors_sql("orders_p", "automobile", ["o_custkey"]),
     "purge_external_table": _survivors_sql("orders_p", "automobile", ["o_custkey"]),
+    "purge_without_backup": _survivors_sql("lineitem_p", "q1_items", _LI_KEYS),
     "purge_composite_tuple": _survivors_sql("lineitem_p", "returned_jan95", _LI_KEYS),
     "purge_composite_per_column": _with(t=SQL_TABLES["lineitem_p"], k=SQL_KEYS["returned_jan95"])
     + "SELECT * FROM t WHERE NOT (l_orderkey IN (SELECT l_orderkey FROM k) "
