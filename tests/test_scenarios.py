@@ -10,7 +10,7 @@ from keysweep import scenarios as S
 
 FAST = ["scan_matched", "keys_per_column", "inactive_only", "survivors_composite", "keys_not_found",
         "purge_effect", "emptied_partitions", "key_text_found", "group_manifest", "read_key_list",
-        "purge_documents", "purge_plain_table", "write_audit"]
+        "purge_documents", "purge_plain_table", "purge_without_backup", "write_audit"]
 
 
 def _norm(v):
