@@ -150,3 +150,17 @@ def lowered(texts: list) -> list[bytes]:
 
 
 U_WINDOW3 = _WINDOW[8:11]
+
+
+def slices(batch, column: str, rows: int = 4096, size: int = 1 << 24):
+    """The Arrow batch cut into pieces of at most ``rows`` rows and about ``size`` bytes of ``column``."""
+    import pyarrow.compute as pc
+
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    at, n = 0, len(lengths)
+    ends = np.cumsum(lengths, dtype=np.int64)
+    while at < n:
+        base = ends[at] - lengths[at]
+        stop = min(n, at + rows, max(at + 1, int(np.searchsorted(ends, base + size, "right"))))
+        yield batch.slice(at, stop - at)
+        at = stop

@@ -7,9 +7,11 @@ Documents are sets of distinct 5-word shingles. Two documents link when
    with one signature have the same set: they form one *class*, and everything below runs
    on classes;
 2. a second pass deals the shingle hashes out by hash range, packed (not one row per
-   shingle); one task per range counts in how many classes a shingle occurs and drops the
-   shingles of a single class, which can neither generate a candidate nor overlap.
-   Shingles that some batch shows to be in a large part of all classes (proved to be at
+   shingle: 6 bytes, 2 for the class's place in its batch and a few compressed bits); one task
+   per range counts in how many classes a shingle occurs and drops those of a single class,
+   which can neither generate a candidate nor overlap. (Copies are joined inside a batch; a
+   copy in another batch makes its shingles look shared, which only costs a little.)
+   The rest goes back to the batch it came from. Shingles that some batch shows to be in a large part of all classes (proved to be at
    most ``hot_share`` times the mean set size) skip this exchange: their order is known,
    so no range gets a hot shingle's classes;
 3. per class the remaining shingles are put into several global orders (all start with
@@ -35,12 +37,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lowered, mix, partitions, shingles, word_hashes, written
+from .common import lowered, mix, partitions, shingles, slices, word_hashes, written
 from .components import components
 
 U = np.uint64
 BLOCK = 512  # classes of one block in step 5
-RANGE_ITEMS = 1_000_000  # shingles a range task holds on average
+RANGE_ITEMS = 2_000_000  # shingles a range task holds on average
 HOT_FREQUENCY = 2**31 - 1
 
 
@@ -60,7 +62,7 @@ def _distinct(sets: list[np.ndarray]) -> dict[int, np.ndarray]:
 
 def _scan(k: int, hot_share: int):
     def run(batches):
-        for b in batches:
+        for b in (x for whole in batches for x in slices(whole, "text")):
             sets = _sets(b.column("text").to_pylist(), k)
             sigs = [_signature(s) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays([pa.array([0] * len(sets), pa.int8()), b.column("doc_id").cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(sigs, pa.int64())], names=["kind", "doc_id", "n", "sig"])
@@ -74,85 +76,78 @@ def _scan(k: int, hot_share: int):
     return run
 
 
-PACKED = "kind byte, bucket int, sigs binary, sizes binary, counts binary, tokens binary, freqs binary"
+#: One packed row: ``kind`` 0 shingles on the way to their range, 1 hot or shared shingles on the
+#: way back to their batch, 2 the classes of a batch. ``to`` is the range or the batch. A shingle is
+#: cut into its top 16 bits (sorted, so they compress) and the rest.
+PACKED = "kind byte, to long, batch long, high binary, low binary, own binary, freqs binary"
+_ARROW = pa.schema([("kind", pa.int8()), ("to", pa.int64()), ("batch", pa.int64()), *((c, pa.binary()) for c in ("high", "low", "own", "freqs"))])
 
 
-def _packed(kind: int, bucket: int, sigs, sizes, counts, tokens, freqs) -> dict:
-    return {"kind": kind, "bucket": bucket, "sigs": sigs.astype(np.int64).tobytes(), "sizes": sizes.astype(np.uint32).tobytes(), "counts": counts.astype(np.uint32).tobytes(), "tokens": tokens.astype(U).tobytes(), "freqs": freqs.astype(np.int32).tobytes()}
+def _packed(kind: int, to: int, batch: int, tokens: np.ndarray, own: np.ndarray, freqs: np.ndarray) -> dict:
+    """``tokens`` in rising order; ``own`` is the place of the class in its batch."""
+    six = tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+    return {"kind": kind, "to": to, "batch": batch, "high": (tokens >> U(48)).astype(np.uint16).tobytes(), "low": np.ascontiguousarray(six).tobytes(), "own": own.astype(np.uint16).tobytes(), "freqs": freqs.astype(np.int32).tobytes()}
 
 
-_ARROW = pa.schema([("kind", pa.int8()), ("bucket", pa.int32()), ("sigs", pa.binary()), ("sizes", pa.binary()), ("counts", pa.binary()), ("tokens", pa.binary()), ("freqs", pa.binary())])
+def _unpack(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Batch, place in the batch, token and frequency of all entries."""
+    whole = lambda c, kind: np.frombuffer(b"".join(t.column(c).to_pylist()), kind)
+    own, high = whole("own", np.uint16), whole("high", np.uint16)
+    eight = np.zeros((len(own), 8), np.uint8)
+    eight[:, :6] = whole("low", np.uint8).reshape(-1, 6)
+    sizes = [len(x) // 2 for x in t.column("own").to_pylist()]
+    return np.repeat(t.column("batch").to_numpy(), sizes), own, eight.reshape(-1).view("<u8") | high.astype(U) << U(48), whole("freqs", np.int32)
 
 
-def _rows(rows: list[dict]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pylist(rows, schema=_ARROW)
+_NONE = np.empty(0, np.int32)
 
 
-def _deal_out(kind: int, bucket: np.ndarray, sigs, sizes, tokens, freqs) -> list[dict]:
-    """One packed row for each bucket; the inputs are one entry per (class, token)."""
-    order = np.lexsort((sigs, bucket))
-    bucket, sigs, sizes, tokens = bucket[order], sigs[order], sizes[order], tokens[order]
-    freqs = freqs[order] if len(freqs) else freqs
-    out, edges = [], np.flatnonzero(np.diff(bucket, prepend=-1, append=-1))
-    for lo, hi in zip(edges[:-1], edges[1:]):
-        head = np.flatnonzero(np.diff(sigs[lo:hi], prepend=sigs[lo] ^ 1))
-        out.append(_packed(kind, int(bucket[lo]), sigs[lo:hi][head], sizes[lo:hi][head], np.diff(head, append=hi - lo), tokens[lo:hi], freqs[lo:hi]))
-    return out
-
-
-def _class_bucket(sigs: np.ndarray, n: int) -> np.ndarray:
-    return (mix(sigs.view(U)) % U(n)).astype(np.int64)
-
-
-def _emit(k: int, hot: bytes, ranges: int, buckets: int):
+def _emit(k: int, hot: bytes, ranges: int):
     def run(batches):
-        hots = np.frombuffer(hot, U)
-        for b in batches:
+        from pyspark import TaskContext
+
+        hots, number = np.frombuffer(hot, U), TaskContext.get().partitionId() << 32
+        for b in (x for whole in batches for x in slices(whole, "text")):
             own = _distinct(_sets(b.column("text").to_pylist(), k))
             if not own:
                 continue
+            number += 1
             sizes = np.array([len(s) for s in own.values()])
-            sigs = np.repeat(np.fromiter(own, np.int64, len(own)), sizes)
-            tokens, each = np.concatenate(list(own.values())), np.repeat(sizes, sizes)
-            is_hot = np.isin(tokens, hots) if len(hots) else np.zeros(len(tokens), bool)
-            cold = ~is_hot
-            # the top bits deal the ranges; 32 of them are enough for any number of ranges
-            at = ((tokens[cold] >> U(32)) * U(ranges) >> U(32)).astype(np.int64)
-            rows = _deal_out(0, at, sigs[cold], each[cold], tokens[cold], np.empty(0, np.int32))
-            if is_hot.any():
-                rows += _deal_out(1, _class_bucket(sigs[is_hot], buckets), sigs[is_hot], each[is_hot], tokens[is_hot], np.full(int(is_hot.sum()), HOT_FREQUENCY, np.int32))
+            tokens, place = np.concatenate(list(own.values())), np.repeat(np.arange(len(own), dtype=np.uint16), sizes)
+            by = np.argsort(tokens, kind="stable")
+            tokens, place = tokens[by], place[by]
+            rows = [{"kind": 2, "to": number, "batch": number, "high": b"", "low": np.fromiter(own, np.int64, len(own)).tobytes(), "own": b"", "freqs": sizes.astype(np.int32).tobytes()}]
+            if len(hots):
+                is_hot = np.isin(tokens, hots)
+                if is_hot.any():
+                    rows.append(_packed(1, number, number, tokens[is_hot], place[is_hot], np.full(int(is_hot.sum()), HOT_FREQUENCY)))
+                    tokens, place = tokens[~is_hot], place[~is_hot]
+            # the top 32 bits deal the ranges, in rising order
+            at = ((tokens >> U(32)) * U(ranges) >> U(32)).astype(np.int64)
+            edges = np.flatnonzero(np.diff(at, prepend=-1, append=-1)) if len(at) else []
+            rows += [_packed(0, int(at[lo]), number, tokens[lo:hi], place[lo:hi], _NONE) for lo, hi in zip(edges[:-1], edges[1:])]
             for i in range(0, len(rows), 256):
-                yield _rows(rows[i : i + 256])
+                yield pa.RecordBatch.from_pylist(rows[i : i + 256], schema=_ARROW)
 
     return run
 
 
-def _unpack(t: pa.Table):
-    def whole(name, kind):
-        return np.frombuffer(b"".join(t.column(name).to_pylist()), kind)
-
-    counts = whole("counts", np.uint32)
-    return np.repeat(whole("sigs", np.int64), counts), np.repeat(whole("sizes", np.uint32), counts), whole("tokens", U), whole("freqs", np.int32)
-
-
-def _shared_only(buckets: int):
-    def run(t: pa.Table) -> pa.Table:
-        if t.column("kind")[0].as_py():  # hot shingles go on to their classes
-            return t
-        sigs, sizes, tokens, _ = _unpack(t)
-        order = np.lexsort((sigs, tokens))
-        sigs, sizes, tokens = sigs[order], sizes[order], tokens[order]
-        first = np.ones(len(tokens), bool)  # a class can come from several batches
-        first[1:] = (tokens[1:] != tokens[:-1]) | (sigs[1:] != sigs[:-1])
-        sigs, sizes, tokens = sigs[first], sizes[first], tokens[first]
-        _, inverse, freqs = np.unique(tokens, return_inverse=True, return_counts=True)
-        freqs = freqs[inverse]
-        keep = freqs > 1
-        sigs, sizes, tokens, freqs = sigs[keep], sizes[keep], tokens[keep], np.minimum(freqs[keep], HOT_FREQUENCY - 1).astype(np.int32)
-        rows = _deal_out(1, _class_bucket(sigs, buckets), sigs, sizes, tokens, freqs) if len(sigs) else []
-        return pa.Table.from_pylist(rows, schema=_ARROW)
-
-    return run
+def _shared_only(t: pa.Table) -> pa.Table:
+    """The shingles of one range that more than one class has, back to the batches."""
+    if t.column("kind")[0].as_py():  # hot shingles and classes go on to their batch
+        return t
+    batch, place, tokens, _ = _unpack(t)
+    by = np.argsort(tokens, kind="stable")
+    batch, place, tokens = batch[by], place[by], tokens[by]
+    head = np.flatnonzero(np.diff(tokens, prepend=tokens[:1] ^ U(1)))
+    freqs = np.diff(head, append=len(tokens))
+    freqs = np.repeat(np.minimum(freqs, HOT_FREQUENCY - 1), freqs)
+    keep = np.flatnonzero(freqs > 1)
+    keep = keep[np.argsort(batch[keep], kind="stable")]  # tokens stay in rising order inside a batch
+    batch, place, tokens, freqs = batch[keep], place[keep], tokens[keep], freqs[keep]
+    edges = np.flatnonzero(np.diff(batch, prepend=-1, append=-1)) if len(batch) else []
+    rows = [_packed(1, int(batch[lo]), int(batch[lo]), tokens[lo:hi], place[lo:hi], freqs[lo:hi]) for lo, hi in zip(edges[:-1], edges[1:])]
+    return pa.Table.from_pylist(rows, schema=_ARROW)
 
 
 def _fingerprint(tokens: np.ndarray) -> int:
@@ -164,22 +159,23 @@ CLASS = "sig long, n long, shared long, tokens binary, prefix array<long>, fb lo
 
 
 def _prefixes(t: pa.Table) -> pa.Table:
-    sigs, sizes, tokens, freqs = _unpack(t)
-    order = np.lexsort((tokens, freqs, sigs))
-    sigs, sizes, tokens, freqs = sigs[order], sizes[order], tokens[order], freqs[order]
-    first = np.ones(len(sigs), bool)  # hot shingles of a class can come from several batches
-    first[1:] = (sigs[1:] != sigs[:-1]) | (tokens[1:] != tokens[:-1])
-    sigs, sizes, tokens, freqs = sigs[first], sizes[first], tokens[first], freqs[first]
-    heads = np.flatnonzero(np.diff(sigs, prepend=sigs[:1] ^ 1)) if len(sigs) else np.empty(0, int)
+    """The classes of one batch that have a shared shingle in their prefix."""
+    kinds = t.column("kind").to_numpy()
+    table = t.slice(int(np.flatnonzero(kinds == 2)[0]), 1)
+    sigs, sizes = np.frombuffer(table.column("low")[0].as_py(), np.int64), np.frombuffer(table.column("freqs")[0].as_py(), np.int32)
+    _, place, tokens, freqs = _unpack(t.filter(pa.array(kinds == 1)))
+    order = np.lexsort((tokens, freqs, place))
+    place, tokens, freqs = place[order], tokens[order], freqs[order]
+    heads = np.flatnonzero(np.diff(place.astype(int), prepend=-1))
     out = []
-    for lo, hi in zip(heads, [*heads[1:], len(sigs)]):
-        n, shared = int(sizes[lo]), hi - lo
+    for lo, hi in zip(heads, [*heads[1:], len(place)]):
+        n, shared = int(sizes[place[lo]]), int(hi - lo)
         take = n - (3 * n + 3) // 4 + 1 - (n - shared)  # what the unshared shingles leave of the prefix
         if take <= 0:
             continue
         own, octave = tokens[lo:hi], np.log2(freqs[lo:hi]).astype(int)
         b, c = (own[np.lexsort((mix(own ^ U(salt)), octave))][:take] for salt in (11, 23))
-        out.append({"sig": int(sigs[lo]), "n": n, "shared": int(shared), "tokens": own.tobytes(), "prefix": own[:take].view(np.int64).tolist(), "fb": _fingerprint(b), "fc": _fingerprint(c)})
+        out.append({"sig": int(sigs[place[lo]]), "n": n, "shared": shared, "tokens": own.tobytes(), "prefix": own[:take].view(np.int64).tolist(), "fb": _fingerprint(b), "fc": _fingerprint(c)})
     return pa.Table.from_pylist(out, schema=pa.schema([("sig", pa.int64()), ("n", pa.int64()), ("shared", pa.int64()), ("tokens", pa.binary()), ("prefix", pa.list_(pa.int64())), ("fb", pa.int64()), ("fc", pa.int64())]))
 
 
@@ -245,11 +241,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, hot_share: int = 32) -> DataFra
     # at most 2 * hot_share * (mean set size) shingles reach this share of the classes
     hot = scan.filter("kind = 1").groupBy("sig").agg(F.sum("n").alias("m")).filter(F.col("m") >= max(64, classes / (2 * hot_share))).select("sig")
     hot_bytes = np.sort(np.array([r.sig for r in hot.collect()], np.int64).view(U)).tobytes()
-    parts = max(partitions(spark), -(-items // RANGE_ITEMS))
+    ranges = max(partitions(spark), -(-items // RANGE_ITEMS))
 
-    dealt = text.mapInArrow(_emit(k, hot_bytes, parts, parts), PACKED)
-    shared = dealt.groupBy("kind", "bucket").applyInArrow(_shared_only(parts), PACKED)
-    table = written(shared.groupBy("bucket").applyInArrow(_prefixes, CLASS), "classes")
+    dealt = text.mapInArrow(_emit(k, hot_bytes, ranges), PACKED)
+    shared = dealt.groupBy("kind", "to").applyInArrow(_shared_only, PACKED)
+    # copies of a set in several batches give equal rows
+    table = written(shared.groupBy("to").applyInArrow(_prefixes, CLASS).dropDuplicates(["sig"]), "classes")
 
     slim = table.select("sig", "n", "shared", "fb", "fc", F.explode("prefix").alias("token"))
     # round 1: each class against one pivot for each of its tokens, the class with the fewest unshared shingles
