@@ -9,8 +9,8 @@ Documents are sets of distinct 5-word shingles. Two documents link when
 2. a second pass deals the shingle hashes out by hash range, packed (not one row per
    shingle: 6 bytes, 2 for the class's place in its batch and a few compressed bits); one task
    per range counts in how many classes a shingle occurs and drops those of a single class,
-   which can neither generate a candidate nor overlap. (Copies are joined inside a batch; a
-   copy in another batch makes its shingles look shared, which only costs a little.)
+   which can neither generate a candidate nor overlap. (Copies are joined inside a batch;
+   copies in other batches are known in step 3 by their number.)
    The rest goes back to the batch it came from. Shingles that some batch shows to be in a large part of all classes (proved to be at
    most ``hot_share`` times the mean set size) skip this exchange: their order is known,
    so no range gets a hot shingle's classes;
@@ -158,8 +158,8 @@ def _fingerprint(tokens: np.ndarray) -> int:
 CLASS = "sig long, n long, shared long, tokens binary, prefix array<long>, fb long, fc long"
 
 
-def _prefixes(t: pa.Table) -> pa.Table:
-    """The classes of one batch that have a shared shingle in their prefix."""
+def _of_batch(t: pa.Table) -> pa.Table:
+    """The classes of one batch that can have a shared shingle in their prefix, shingles in order A."""
     kinds = t.column("kind").to_numpy()
     table = t.slice(int(np.flatnonzero(kinds == 2)[0]), 1)
     sigs, sizes = np.frombuffer(table.column("low")[0].as_py(), np.int64), np.frombuffer(table.column("freqs")[0].as_py(), np.int32)
@@ -169,14 +169,32 @@ def _prefixes(t: pa.Table) -> pa.Table:
     heads = np.flatnonzero(np.diff(place.astype(int), prepend=-1))
     out = []
     for lo, hi in zip(heads, [*heads[1:], len(place)]):
-        n, shared = int(sizes[place[lo]]), int(hi - lo)
-        take = n - (3 * n + 3) // 4 + 1 - (n - shared)  # what the unshared shingles leave of the prefix
-        if take <= 0:
-            continue
-        own, octave = tokens[lo:hi], np.log2(freqs[lo:hi]).astype(int)
-        b, c = (own[np.lexsort((mix(own ^ U(salt)), octave))][:take] for salt in (11, 23))
-        out.append({"sig": int(sigs[place[lo]]), "n": n, "shared": shared, "tokens": own.tobytes(), "prefix": own[:take].view(np.int64).tolist(), "fb": _fingerprint(b), "fc": _fingerprint(c)})
-    return pa.Table.from_pylist(out, schema=pa.schema([("sig", pa.int64()), ("n", pa.int64()), ("shared", pa.int64()), ("tokens", pa.binary()), ("prefix", pa.list_(pa.int64())), ("fb", pa.int64()), ("fc", pa.int64())]))
+        n = int(sizes[place[lo]])
+        if _take(n, hi - lo) > 0:
+            out.append({"sig": int(sigs[place[lo]]), "n": n, "tokens": tokens[lo:hi].tobytes(), "freqs": freqs[lo:hi].tobytes()})
+    return pa.Table.from_pylist(out, schema=pa.schema([("sig", pa.int64()), ("n", pa.int64()), ("tokens", pa.binary()), ("freqs", pa.binary())]))
+
+
+def _take(n: int, shared: int) -> int:
+    """What the unshared shingles leave of a prefix."""
+    return n - (3 * n + 3) // 4 + 1 - (n - shared)
+
+
+def _prefixes(batches):
+    """Shared shingles and prefixes of the classes; a shingle no more frequent than the class's own
+    copies (``copies`` batches have one) is its own."""
+    for b in batches:
+        out = []
+        for sig, copies, n, tokens, freqs in zip(*(b.column(c).to_pylist() for c in ("sig", "copies", "n", "tokens", "freqs"))):
+            tokens, freqs = np.frombuffer(tokens, U), np.frombuffer(freqs, np.int32)
+            tokens, freqs = tokens[freqs > copies], freqs[freqs > copies]
+            take = _take(n, len(tokens))
+            if take <= 0:
+                continue
+            octave = np.log2(freqs).astype(int)
+            two, three = (tokens[np.lexsort((mix(tokens ^ U(salt)), octave))][:take] for salt in (11, 23))
+            out.append({"sig": sig, "n": n, "shared": len(tokens), "tokens": tokens.tobytes(), "prefix": tokens[:take].view(np.int64).tolist(), "fb": _fingerprint(two), "fc": _fingerprint(three)})
+        yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("sig", pa.int64()), ("n", pa.int64()), ("shared", pa.int64()), ("tokens", pa.binary()), ("prefix", pa.list_(pa.int64())), ("fb", pa.int64()), ("fc", pa.int64())]))
 
 
 def _verify(t: pa.Table) -> pa.Table:
@@ -245,8 +263,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, hot_share: int = 32) -> DataFra
 
     dealt = text.mapInArrow(_emit(k, hot_bytes, ranges), PACKED)
     shared = dealt.groupBy("kind", "to").applyInArrow(_shared_only, PACKED)
+    of_batch = shared.groupBy("to").applyInArrow(_of_batch, "sig long, n long, tokens binary, freqs binary")
     # copies of a set in several batches give equal rows
-    table = written(shared.groupBy("to").applyInArrow(_prefixes, CLASS).dropDuplicates(["sig"]), "classes")
+    of_class = of_batch.groupBy("sig").agg(F.count("*").alias("copies"), F.first("n").alias("n"), F.first("tokens").alias("tokens"), F.first("freqs").alias("freqs"))
+    table = written(of_class.mapInArrow(_prefixes, CLASS), "classes")
 
     slim = table.select("sig", "n", "shared", "fb", "fc", F.explode("prefix").alias("token"))
     # round 1: each class against one pivot for each of its tokens, the class with the fewest unshared shingles
