@@ -208,7 +208,9 @@ def _verify(t: pa.Table) -> pa.Table:
     codes = np.unique(np.concatenate(arrays), return_inverse=True)[1]
     offsets = np.concatenate(([0], np.cumsum(lengths)))
     mark = np.zeros(codes.max() + 1, np.int64)
-    root = list(range(len(sigs)))
+    known = t.column("root").to_numpy()[order]
+    root = np.unique(known, return_index=True, return_inverse=True)  # classes already connected count as one
+    root = root[1][root[2]].tolist()
 
     def find(x):
         while root[x] != x:
@@ -280,19 +282,23 @@ def near_duplicates(docs: DataFrame, k: int = 5, hot_share: int = 32) -> DataFra
 
     # round 2: token groups that still hold several components, in blocks
     slim = written(slim.join(roots, slim.sig == roots.v, "left").select("sig", "n", "shared", "fb", "fc", "token", F.coalesce("root", "sig").alias("root")), "left")
-    # a class can meet another only where the smallest size and the smallest deficit of its group allow it
+    # a class goes on where a class of another component can fit its size and its shared shingles: the least
+    # size and the least deficit in the group, each over the other components
     deficit = 3 * F.col("n") - 7 * F.col("shared")
-    stat = slim.groupBy("token").agg(F.count("*").alias("m"), F.min("n").alias("least"), F.min(deficit).alias("deficit"), F.min("root").alias("r0"), F.max("root").alias("r1"))
-    stat = stat.filter("m > 1 and r0 <> r1")
-    # what keeps a class: a partner no smaller than `least` must fit its own shared count, and one with the least deficit its size
-    slim = slim.join(stat, "token").filter((3 * (F.col("n") + F.col("least")) <= 7 * F.col("shared")) & (3 * F.col("n") + F.col("deficit") <= 0))
-    again = slim.groupBy("token").agg(F.count("*").alias("kept"), F.min("root").alias("k0"), F.max("root").alias("k1")).filter("kept > 1 and k0 <> k1")
-    slim = slim.select("sig", "n", "shared", "fb", "fc", "token").join(again, "token")
+    each = written(slim.groupBy("token", "root").agg(F.min("n").alias("least"), F.min(deficit).alias("deficit")), "group-stats")
+    first_of = each.groupBy("token").agg(F.min(F.struct("least", "root")).alias("l"), F.min(F.struct("deficit", "root")).alias("d"), F.count("*").alias("roots")).filter("roots > 1")
+    stat = each.join(first_of, "token").groupBy("token", "l", "d").agg(F.min(F.when(F.col("root") != F.col("l.root"), F.col("least"))).alias("l2"), F.min(F.when(F.col("root") != F.col("d.root"), F.col("deficit"))).alias("d2"))
+    other_least = F.when(F.col("root") == F.col("l.root"), F.col("l2")).otherwise(F.col("l.least"))
+    other_deficit = F.when(F.col("root") == F.col("d.root"), F.col("d2")).otherwise(F.col("d.deficit"))
+    slim = slim.join(stat, "token").filter((3 * (F.col("n") + other_least) <= 7 * F.col("shared")) & (3 * F.col("n") + other_deficit <= 0))
+    slim = written(slim.select("sig", "n", "shared", "fb", "fc", "token", "root"), "crossing")
+    again = slim.groupBy("token").agg(F.count("*").alias("kept"), F.min("root").alias("k0"), F.max("root").alias("k1")).filter("k0 <> k1")
+    slim = slim.join(again, "token")
     blocks = F.ceil(F.col("kept") / BLOCK).cast("long")
     slim = slim.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("sig"), F.col("blocks")))
     # each class goes to every block pair that its block is part of; a class of block b meets (i, j) with i = b or j = b
     slim = slim.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    slim = slim.select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "sig", "shared", "fb", "fc")
+    slim = slim.select("token", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "sig", "root", "shared", "fb", "fc")
     work = slim.join(table.select("sig", "n", "tokens"), "sig")
     second = written(work.groupBy("token", "i", "j").applyInArrow(_verify, "a long, b long"), "links")
     links = first.unionByName(second)
