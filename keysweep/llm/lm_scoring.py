@@ -32,8 +32,8 @@ WORDS = 896  # own ids; the other 128 of 1024 are shared by hash
 HIDDEN, SIDE = 16, 2
 MASK_ONE_IN = 8
 ROUNDS = 2
-RATE = 0.05
-STEP = 4096  # positions of one descent step
+RATE = 0.1
+STEP = 512  # positions of one descent step
 V, PAD = CLASSES * IN_CLASS, CLASSES * IN_CLASS
 BLOCKS = 16  # pieces the parameters travel in
 

@@ -292,7 +292,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, hot_share: int = 32) -> DataFra
     other_deficit = F.when(F.col("root") == F.col("d.root"), F.col("d2")).otherwise(F.col("d.deficit"))
     slim = slim.join(stat, "token").filter((3 * (F.col("n") + other_least) <= 7 * F.col("shared")) & (3 * F.col("n") + other_deficit <= 0))
     slim = written(slim.select("sig", "n", "shared", "fb", "fc", "token", "root"), "crossing")
-    again = slim.groupBy("token").agg(F.count("*").alias("kept"), F.min("root").alias("k0"), F.max("root").alias("k1")).filter("k0 <> k1")
+    again = slim.groupBy("token").agg(F.count("*").alias("kept"), F.min("root").alias("k0"), F.max("root").alias("k1"), F.bit_xor(F.xxhash64("sig")).alias("m0"), F.bit_xor(F.xxhash64("sig", F.lit(3))).alias("m1")).filter("k0 <> k1")
+    # the tokens of one passage mostly have the same classes: equal groups (by size and a 128-bit hash of the members) are checked once
+    again = again.groupBy("kept", "m0", "m1").agg(F.min("token").alias("token")).select("token", "kept")
     slim = slim.join(again, "token")
     blocks = F.ceil(F.col("kept") / BLOCK).cast("long")
     slim = slim.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("sig"), F.col("blocks")))
