@@ -80,7 +80,8 @@ def purge_manifest(spark: SparkSession, manifest: DataFrame | str, *, strategy:
 
     targets: "OrderedDict[tuple[str, str], list]" = OrderedDict()
     for row in group_manifest(valid).collect():
-        targets.setdefault((row["DATABASE_NAME"], row["TABLE_NAME"]), []).append(row)
+        # names differ in case only: one table, one purge
+        targets.setdefault((row["DATABASE_NAME"].lower(), row["TABLE_NAME"].lower()), []).append(row)
 
     def one(i: int, db: str, tbl: str, rows: list, session: SparkSession):
         name = f"{db}.{tbl}"
@@ -107,7 +108,7 @@ def purge_manifest(spark: SparkSession, manifest: DataFrame | str, *, strategy:
             audit = write_audit(audit_row(session, {
                 "spark_application_id": spark.sparkContext.applicationId, "input_file_name": label,
                 "run_id": f"{run_id}-t{i}", "table_name": name, "status": STATUS_FAILED, "strategy": strategy,
-                "message": str(exc).splitlines()[0][:500]}), audit_dir)
+                "message": " | ".join(str(exc).splitlines())}), audit_dir)
             return "failed", {"table": name, "error": str(exc), "audit": audit}
 
     jobs = [(i, db, tbl, rows) for i, ((db, tbl), rows) in enumerate(targets.items())]

@@ -448,7 +448,10 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
         return finish(STATUS_FAILED, "impacted partitions changed while the purge ran; nothing published")
     if backup:
         res.backup_dir = f"{base}/_BACKUP/backup_{run_id}"
-        fs.rename(spark, publish.deleted_path(split), res.backup_dir)
+        if fs.exists(spark, res.backup_dir) or not fs.rename(spark, publish.deleted_path(split), res.backup_dir):
+            publish.cleanup(spark, split)
+            res.rows_after = res.rows_before
+            return finish(STATUS_FAILED, f"no backup could be put at {res.backup_dir}; nothing published")
     stage_dir = publish.stage_path(split)
     stage = read_stage(spark, stage_dir, info.schema) if want_kept > 0 else None
 
@@ -506,7 +509,7 @@ def _direct(spark, info: TableInfo, res: PurgeResult, source: DataFrame, found_s
             matched = matched.hint("rebalance", *parts)
         obs = Observation("backup")
         matched = matched.observe(obs, F.count(F.lit(1)).alias("d"))
-        matched.write.mode("overwrite").partitionBy(*parts).parquet(res.backup_dir)
+        matched.write.mode("errorifexists").partitionBy(*parts).parquet(res.backup_dir)
         lap("backup_write")
         n_backup = int(observed(obs, d=0)["d"])
         if n_backup != res.rows_deleted:

@@ -11,6 +11,8 @@ registered).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, MapType, StringType, StructField, StructType
@@ -63,7 +65,9 @@ def restore_backup(spark: SparkSession, table: str, backup_dir: str, *, work_dir
             live = spark.table(info.name)
         if key_cols:
             on = list(dict.fromkeys([*parts, *key_cols]))
-            rows = backup.join(live.select(*on).distinct(), on=on, how="left_anti").select(*info.columns)
+            there = live.select(*[F.col(c).alias(f"_live_{i}") for i, c in enumerate(on)]).distinct()
+            same = reduce(lambda a, b: a & b, [backup[c].eqNullSafe(F.col(f"_live_{i}")) for i, c in enumerate(on)])
+            rows = backup.join(there, same, "left_anti").select(*info.columns)
         elif _has_map(info.schema):
             raise ValueError(f"{info.name} has a map column, which EXCEPT ALL cannot compare; pass key_cols")
         else:
@@ -76,7 +80,8 @@ def restore_backup(spark: SparkSession, table: str, backup_dir: str, *, work_dir
     publish.refresh(spark, info)                                               # W15
     after = spark.table(info.name).count()
     fs.delete(spark, stage_dir)
-    if delete_backup and after == before + restored:
+    # by keys, rows left out may differ from what is live: their backup stays
+    if delete_backup and after == before + restored and (not key_cols or restored == in_backup):
         fs.delete(spark, backup_dir)
     status = "DONE" if after == before + restored else "FAILED"
     return spark.createDataFrame([(info.name, backup_dir, before, in_backup, restored, after, status)], RESTORE_SCHEMA)

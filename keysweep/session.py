@@ -68,6 +68,9 @@ def child_session(spark: SparkSession) -> SparkSession:
             child.conf.set(k, v)
         except Exception:  # static or read-only settings are already shared through the context
             pass
+    # unqualified names must mean the same tables as in the caller's session
+    child.catalog.setCurrentCatalog(spark.catalog.currentCatalog())
+    child.catalog.setCurrentDatabase(spark.catalog.currentDatabase())
     return child
 
 

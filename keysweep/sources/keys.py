@@ -14,20 +14,34 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType, StructField, StructType
 
+from keysweep.functions.text import quote_ident
+
 # Fixed manifest layout: key column, key value, database, table, partition column.
 MANIFEST_COLUMNS = ["PK", "PK_VALUE", "DATABASE_NAME", "TABLE_NAME", "PARTITION_COL"]
 MANIFEST_SCHEMA = StructType([StructField(c, StringType(), True) for c in MANIFEST_COLUMNS])
 # Fixed name of the value column in single-key lists.
 PK_VALUE = "PK_VALUE"
+_CORRUPT = "_keysweep_corrupt"
 # Key types that can be matched by equality.
 _ATOMIC_KEY_TYPES = ("string", "varchar", "char", "bigint", "int", "smallint", "tinyint",
                      "decimal", "date", "timestamp", "timestamp_ntz", "boolean")
 
 
 def read_key_list(spark: SparkSession, path: str) -> DataFrame:
-    """CSV whose header names the key columns; every value read as text."""
-    return (spark.read.option("header", True).option("inferSchema", False)
-            .option("mode", "PERMISSIVE").csv(path))
+    """CSV whose header names the key columns; every value read as text.
+
+    Quotes follow RFC 4180. A line with too many or too few values becomes a row of
+    nulls, so that :func:`type_keys` rejects it. Files of one folder must have
+    the same header: another order is refused, never read by position.
+    """
+    reader = spark.read.option("header", True).option("inferSchema", False).option("escape", '"')
+    columns = reader.csv(path).columns
+    if not columns:
+        return reader.csv(path)
+    schema = StructType([StructField(c, StringType()) for c in [*columns, _CORRUPT]])
+    rows = (reader.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _CORRUPT)
+            .option("enforceSchema", False).option("columnPruning", False).csv(path))
+    return rows.select(*[F.when(F.col(_CORRUPT).isNull(), F.col(quote_ident(c))).alias(c) for c in columns])
 
 
 def read_key_values(spark: SparkSession, path: str, key_col: str) -> DataFrame:
@@ -36,9 +50,8 @@ def read_key_values(spark: SparkSession, path: str, key_col: str) -> DataFrame:
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """The five-column multi-table manifest, fixed all-text schema."""
-    return (spark.read.schema(MANIFEST_SCHEMA).option("header", True)
-            .option("mode", "PERMISSIVE").csv(path))
+    """The multi-table manifest, by header name (any column order, extra columns ignored)."""
+    return read_key_list(spark, path).select(*MANIFEST_COLUMNS)
 
 
 def _blank(c: Column) -> Column:
@@ -75,6 +88,22 @@ def check_key_type(name: str, dtype: DataType) -> None:
         raise ValueError(f"key column {name!r} has type {dtype.simpleString()}; only atomic types can be keys")
 
 
+def _exact(src: Column, src_type: DataType, val: Column, to: DataType) -> Column:
+    """True where the cast kept the value: a key that was rounded or cut is a key nobody listed."""
+    if src_type == to or isinstance(to, StringType):
+        return F.lit(True)
+    if not isinstance(src_type, StringType):
+        return val.cast(src_type) == src
+    text, kind = F.trim(src), to.simpleString().split("(")[0]
+    if kind in ("bigint", "int", "smallint", "tinyint"):
+        return text.rlike(r"^[+-]?\d+$")
+    if kind == "decimal":
+        return F.length(F.rtrim(F.regexp_extract(text, r"\.(\d*?)0*$", 1))) <= to.scale
+    if kind == "date":
+        return text.rlike(r"^[+-]?\d+-\d{1,2}-\d{1,2}$")
+    return F.lit(True)
+
+
 def type_keys(keys: DataFrame, key_cols: list[str], types: dict[str, DataType]) -> DataFrame:
     """cast each key column to the table's type with ``try_cast``.
 
@@ -94,6 +123,7 @@ def type_keys(keys: DataFrame, key_cols: list[str], types: dict[str, DataType])
         else:
             val = src.try_cast(types[c])
         typed.append(val.alias(c))
+        val = F.when(_exact(src, src_type, val, types[c]), val)
         blank = src.isNull() | ((F.trim(src.cast("string")) == "") if isinstance(src_type, StringType) else F.lit(False))
         ok_terms.append(~blank & val.isNotNull())
     raw = F.concat_ws("~", *[F.coalesce(keys[c].cast("string"), F.lit("")) for c in key_cols])

@@ -51,3 +51,47 @@ def test_key_text_and_literals(spark):
     assert sql_literal("O'Neil") == "'O\\'Neil'"
     assert partition_spec_sql({"p": "007", "n": 3}) == "`p` = '007', `n` = 3"
     assert spark.sql(f"SELECT {sql_literal(chr(92) + chr(39))} AS v").first().v == chr(92) + chr(39)
+
+
+def test_key_csv_quotes_and_malformed_lines(spark, tmp_path):
+    from pyspark.sql.types import StringType
+
+    from keysweep.sources.keys import read_key_list, type_keys
+    (tmp_path / "k.csv").write_text('name\n"say ""hi"""\nSmith, John\n"Smith, John"\n')
+    keys = type_keys(read_key_list(spark, str(tmp_path / "k.csv")), ["name"], {"name": StringType()})
+    assert sorted(r.name for r in keys.where("_ok").collect()) == ["Smith, John", 'say "hi"']
+    assert keys.where("not _ok").count() == 1
+
+
+def test_manifest_by_header_name(spark, tmp_path):
+    from keysweep.sources.keys import read_manifest
+    (tmp_path / "m.csv").write_text("TABLE_NAME,extra,PK,PARTITION_COL,PK_VALUE,DATABASE_NAME\nt,x,id,p,7,db\n")
+    assert [tuple(r) for r in read_manifest(spark, str(tmp_path / "m.csv")).collect()] == [("id", "7", "db", "t", "p")]
+
+
+def test_lossy_casts_are_rejects(spark):
+    from pyspark.sql.types import DateType, DecimalType, LongType
+
+    from keysweep.sources.keys import type_keys
+    cases = [(LongType(), ["1.9", "7", "1e2"], [7]), (DecimalType(10, 2), ["1.005", "1.500", "3"], [1.5, 3.0]), (DateType(), ["2024-01-01 10:00:00", "2024-01-02"], ["2024-01-02"])]
+    for kind, values, kept in cases:
+        keys = type_keys(spark.createDataFrame([(v,) for v in values], "k string"), ["k"], {"k": kind})
+        got = [r.k for r in keys.where("_ok").collect()]
+        assert [float(g) if isinstance(k, float) else str(g) if isinstance(k, str) else g for g, k in zip(got, kept)] == kept and len(got) == len(kept)
+    doubles = type_keys(spark.createDataFrame([(1.9,), (2.0,)], "k double"), ["k"], {"k": LongType()})
+    assert [r.k for r in doubles.where("_ok").collect()] == [2]
+
+
+def test_unqualified_name_means_the_callers_database(spark):
+    from keysweep import purge_table
+    spark.sql("CREATE DATABASE IF NOT EXISTS cur_db")
+    for t in ("default.same_name", "cur_db.same_name"):
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+        spark.sql(f"CREATE TABLE {t} USING parquet AS SELECT id FROM range(5)")
+    spark.sql("USE cur_db")
+    try:
+        res = purge_table(spark, "same_name", spark.createDataFrame([(1,)], "id long"))
+        assert res.status == "DONE"
+        assert spark.table("cur_db.same_name").count() == 4 and spark.table("default.same_name").count() == 5
+    finally:
+        spark.sql("USE default")
