@@ -9,6 +9,7 @@ DataFrame jobs.
 
 from keysweep.plans.manifest import purge_manifest  # noqa: F401
 from keysweep.plans.purge import KeySet, PurgeError, PurgeResult, dry_run, purge_table  # noqa: F401
+from keysweep.plans.repair import repair_publish  # noqa: F401
 from keysweep.plans.restore import restore_backup  # noqa: F401
 from keysweep.session import local_session, work_root  # noqa: F401
 from keysweep.streaming import purge_requests_stream  # noqa: F401,E402

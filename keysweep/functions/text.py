@@ -85,6 +85,8 @@ def partition_spec_sql(spec: dict) -> str:
 def _value_text(value) -> str | None:
     if value is None:
         return None
+    if isinstance(value, bool):
+        return "true" if value else "false"
     if isinstance(value, _dt.datetime):
         return value.isoformat(sep=" ")
     if isinstance(value, _dt.date):

@@ -135,12 +135,14 @@ def _salt_hot(out: DataFrame, spec: KeySpec, i: int, cols: list[str]) -> tuple[D
     nothing, and leaves the other rows' matches unchanged.
     """
     hot_flag, salt = f"_hot_{i}", f"_salt_{i}"
-    out = out.join(F.broadcast(spec.hot.select(*spec.key_cols).distinct().withColumn(hot_flag, F.lit(True))),
-                   on=spec.key_cols, how="left")
+    # how many reducers a key gets: its own number where the hot list carries one
+    size, buckets = (F.col("_buckets") if "_buckets" in spec.hot.columns else F.lit(spec.salt_buckets)), f"_buckets_{i}"
+    hot = spec.hot.groupBy(*spec.key_cols).agg(F.max(size).cast("bigint").alias(buckets)).withColumn(hot_flag, F.lit(True))
+    out = out.join(F.broadcast(hot), on=spec.key_cols, how="left")
     atomic = [c for c in cols if out.schema[c].dataType.typeName() not in ("map", "array", "struct", "variant")]
     seed = F.xxhash64(*[F.col(c) for c in atomic]) if atomic else F.monotonically_increasing_id()
     out = out.withColumn(salt, F.when(F.col(hot_flag).isNotNull(),
-                                      F.pmod(seed, F.lit(spec.salt_buckets)) + 1).otherwise(F.lit(0)))
+                                      F.pmod(seed, F.col(buckets)) + 1).otherwise(F.lit(0)))
     return out, hot_flag, salt
 
 

@@ -44,7 +44,8 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from keysweep.functions.text import join_key_texts, key_text
 from keysweep.operators.match import MATCH_MODES, KeySpec, flag_matches
 from keysweep.session import child_session, new_run_id, work_root
-from keysweep.sinks import fs, publish
+from keysweep.plans.repair import RepairError, repair_record
+from keysweep.sinks import fs, journal, publish
 from keysweep.sinks.observe import observed
 from keysweep.sinks.audit import (STATUS_DONE, STATUS_DRY_RUN, STATUS_FAILED, STATUS_NOOP, STATUS_SIDE,
                                   audit_row, keys_location, write_audit)
@@ -54,6 +55,10 @@ from keysweep.sources.stage import read_stage
 
 STRATEGIES = ("dynamic", "direct", "static", "move", "set_location", "side_impacted", "side_full")
 SIDE_STRATEGIES = ("side_impacted", "side_full")
+# The hot keys of a shuffle join are broadcast; they may take this much even where key lists may not be.
+HOT_KEYS_BYTES = 8 << 20
+# Runs of this driver that are publishing now.
+_ACTIVE: set[str] = set()
 # Partition column that marks Type-2 history versions; by default only its
 # closed versions (value 0) are erased.
 ACTIVE_COLUMN = "active"
@@ -232,6 +237,29 @@ def _spec(row, parts: list[str]) -> dict:
     return {c: row[c] for c in parts}
 
 
+def _recover(spark: SparkSession, info: TableInfo, base: str) -> None:
+    """Finish or roll back earlier publishes of this driver that broke off; those of other
+    drivers may still run, so they are left to ``repair_publish``."""
+    for record in journal.unfinished(spark, base):
+        run, app = record["run_id"], record["app"]
+        if run in _ACTIVE or app != spark.sparkContext.applicationId:
+            raise PurgeError(f"publish {run} of {info.name} by application {app} is not finished; "
+                             "when it no longer runs, call repair_publish first")
+        try:
+            repair_record(spark, info, base, record)
+        except RepairError as exc:
+            raise PurgeError(str(exc)) from exc
+
+
+def _begin(spark: SparkSession, info: TableInfo, base: str, res: "PurgeResult", stage: str | None, **more) -> None:
+    """Journal what a publish is about to do (before the first live file is touched)."""
+    impacted = [{"spec": r["spec"], "before": r["rows_before"], "kept": r["rows_before"] - r["rows_deleted"]} for r in res.impacted] \
+        if info.partition_cols else [{"spec": {}, "before": res.rows_before, "kept": res.rows_before - res.rows_deleted}]
+    _ACTIVE.add(res.run_id)
+    journal.begin(spark, base, {"run_id": res.run_id, "app": spark.sparkContext.applicationId, "strategy": res.strategy,
+                                "stage": stage, "backup": res.backup_dir, "impacted": impacted, **more})
+
+
 def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None = None, *,
                 key_cols: list[str] | None = None, key_sets: list[KeySet] | None = None,
                 match: str = "tuple", scope: Column | str | None = "auto", strategy: str = "direct",
@@ -259,6 +287,10 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
     audit_dir = audit_dir or f"{root}/_AUDIT"
     res = PurgeResult(run_id=run_id, table=info.name, status=STATUS_FAILED, strategy=strategy,
                       partition_cols=parts, run_dir=run_dir, audit_dir=audit_dir)
+    if strategy in ("move", "set_location") and (info.provider or "").lower() != "parquet":
+        raise ValueError(f"{strategy} puts Parquet folders into the table, but {info.name} is {info.provider}; use dynamic or direct")
+    if not dry_run and strategy not in SIDE_STRATEGIES:
+        _recover(spark, info, base)
     clock = [time.perf_counter()]
 
     def lap(step: str) -> None:
@@ -335,7 +367,7 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
     scope_rows = sum(r["rows_before"] for r in res.impacted) if parts else res.rows_before
     shuffle_parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     # A key is hot when its rows would overload one reducer of the shuffle join.
-    hot_rows = hot_key_rows if hot_key_rows is not None else max(10_000, scope_rows // (2 * shuffle_parts))
+    hot_rows = hot_key_rows if hot_key_rows is not None else max(1, scope_rows // (2 * shuffle_parts))
     for p in prepared:
         loc = keys_location(audit_dir, run_id, p.index)
         found = (detail.where(F.col(f"_hit_{p.index}")).groupBy(*p.key_cols)
@@ -357,16 +389,17 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
         per_key = 16 + 8 * len(p.key_cols) + p.est_bytes // max(p.n_valid, 1)
         bcast = n_found * per_key <= limit
         hot = None
-        if n_hot and not bcast and limit > 0:
-            # Hot keys are broadcast, so their number must fit the limit: by default there are at most
+        if n_hot and not bcast:
+            # Hot keys are broadcast, so their number must fit a bound of its own (the key limit may be 0): by default there are at most
             # scope_rows / hot_rows <= 2 x shuffle partitions of them; if an explicit threshold makes
             # more, only the heaviest that fit are split off (top-k) -- the others stay in the shuffle join.
-            fit = max(limit // per_key, 0)
+            fit = max(limit, HOT_KEYS_BYTES) // per_key
             cut = hot_rows
             if n_hot > fit:
                 top = fdf.orderBy(F.col("rows_deleted").desc()).limit(fit + 1).select("rows_deleted").collect()
                 cut = (top[-1][0] + 1) if len(top) > fit else hot_rows
-            hot = fdf.where(F.col("rows_deleted") >= cut).select(*p.key_cols) if fit else None
+            buckets = F.ceil(F.col("rows_deleted") / F.lit(max(hot_rows, 1))).cast("bigint")
+            hot = fdf.where(F.col("rows_deleted") >= cut).select(*p.key_cols, buckets.alias("_buckets")) if fit else None
         found_specs.append(KeySpec(fdf.select(*p.key_cols), p.key_cols, "tuple", bcast, distinct=False, hot=hot))
     keys_text = None if overflow else join_key_texts(inline_texts)
     lap("found_keys")
@@ -456,20 +489,25 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
     stage = read_stage(spark, stage_dir, info.schema) if want_kept > 0 else None
 
     # Step 5: publish.
+    trash, replaced = f"{run_dir}/replaced", []
+    old = publish.partition_locations(spark, info, surviving_specs) if strategy == "set_location" else []
     try:
+        _begin(spark, info, base, res, stage_dir, trash=trash, old=old)
         if strategy == "dynamic" or not parts:
             publish.publish_dynamic(spark, info, stage)
         elif strategy == "static":
             publish.publish_static(spark, info, stage, surviving_specs)
         elif strategy == "set_location":
-            publish.publish_set_location(spark, info, stage_dir, surviving_specs)
+            replaced = publish.publish_set_location(spark, info, stage_dir, surviving_specs)
         elif strategy == "move":
-            publish.publish_move(spark, info, stage_dir, surviving_specs, f"{run_dir}/replaced")
+            publish.publish_move(spark, info, stage_dir, surviving_specs, trash)
+            replaced = [trash]
         lap("publish")
         publish.drop_emptied(spark, info, res.emptied)
         publish.refresh(spark, info)
         lap("drop_emptied")
-    except Exception as exc:  # the stage and backup stay for a rerun or manual repair
+    except Exception as exc:  # the journal, stage and backup stay: a rerun repairs the publish
+        _ACTIVE.discard(run_id)
         finish(STATUS_FAILED, f"publish failed: {exc}")
         raise PurgeError(f"publish of {info.name} failed; stage {stage_dir} and backup {res.backup_dir} kept",
                          res) from exc
@@ -477,13 +515,18 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
     if verify:
         now = publish.count_partitions(spark, info, impacted_specs if parts else None)
         if now != want_kept:
+            _ACTIVE.discard(run_id)
             finish(STATUS_FAILED, f"after publish the impacted partitions hold {now} rows, expected {want_kept}")
             raise PurgeError(f"verification of {info.name} failed", res)
         lap("verify")
+    for path in replaced:                          # the replaced folders hold the erased rows
+        publish.remove_folder(spark, path)
     if not backup:
         fs.delete(spark, publish.deleted_path(split))
     if strategy != "set_location":
         publish.cleanup(spark, stage_dir)
+    journal.end(spark, base, run_id)
+    _ACTIVE.discard(run_id)
     return finish(STATUS_DONE)
 
 
@@ -529,21 +572,25 @@ def _direct(spark, info: TableInfo, res: PurgeResult, source: DataFrame, found_s
     obs_k = Observation("kept")
     kept = kept.observe(obs_k, F.count(F.lit(1)).alias("n"))
     try:
+        _begin(spark, info, base, res, None)
         publish.publish_dynamic(spark, info, kept)
         lap("publish")
         emptied = [r["spec"] for r in res.impacted if r["rows_before"] == r["rows_deleted"]]
         publish.drop_emptied(spark, info, emptied)
         publish.refresh(spark, info)
     except Exception as exc:
+        _ACTIVE.discard(run_id)
         finish(STATUS_FAILED, f"publish failed: {exc}")
         raise PurgeError(f"direct publish of {info.name} failed; backup {res.backup_dir} kept", res) from exc
     written = int(observed(obs_k, n=0)["n"])
     now = publish.count_partitions(spark, info, specs)
     lap("verify")
+    _ACTIVE.discard(run_id)
     if written != expected_kept or now != expected_kept:
         res.rows_after = res.rows_before - (sum(r["rows_before"] for r in res.impacted) - now)
         return finish(STATUS_FAILED, f"impacted partitions hold {now} rows after publish ({written} written), "
                                      f"expected {expected_kept}: the table changed during the purge")
+    journal.end(spark, base, run_id)
     return finish(STATUS_DONE)
 
 

@@ -37,6 +37,32 @@ def rename(spark: SparkSession, src: str, dst: str) -> bool:
     return bool(fs.rename(s, d))
 
 
+def from_uri(spark: SparkSession, uri: str) -> str:
+    """The path of a URL-encoded file name such as ``_metadata.file_path``."""
+    jvm = spark._jvm
+    return str(jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri)).toString())
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Create a small file; an existing one is an error."""
+    p, fs = _path(spark, path)
+    fs.mkdirs(p.getParent())
+    out = fs.create(p, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    p, fs = _path(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
 def qualify(spark: SparkSession, path: str) -> str:
     p, fs = _path(spark, path)
     return str(fs.makeQualified(p))

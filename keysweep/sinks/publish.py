@@ -7,9 +7,9 @@ complete and counted):
    ``_deleted=true`` (the backup) and ``_deleted=false`` (the stage);
 2. the stage is re-read with the table schema and swapped in -- per partition,
    through the catalog, so the metastore and the files always agree;
-3. partitions that lost every row get a static empty overwrite (their files
-   go) and are dropped from the catalog;
-4. the table is refreshed and the impacted partitions re-counted.
+3. partitions that lost every row are dropped from the catalog and their folders deleted;
+4. the table is refreshed and the impacted partitions re-counted; only then are replaced
+   folders, the stage and the publish journal removed.
 """
 
 from __future__ import annotations
@@ -85,11 +85,18 @@ def drop_emptied(spark: SparkSession, info: TableInfo, specs: list[dict]) -> lis
     removed = []
     for loc in locations:
         if loc and fs.exists(spark, loc):
-            fs.delete(spark, loc)
+            remove_folder(spark, loc)
             removed.append(loc)
     return removed
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder with erased rows, or fail."""
+    fs.delete(spark, path)
+    if fs.exists(spark, path):
+        raise RuntimeError(f"erased rows are still at {path}: the folder could not be deleted")
+
+
 def publish_dynamic(spark: SparkSession, info: TableInfo, stage: DataFrame | None) -> None:
     """W4 + W6 as one catalog operation: dynamic partition overwrite from the stage.
 
@@ -139,7 +146,7 @@ def partition_locations(spark: SparkSession, info: TableInfo, specs: list[dict])
     folders = (spark.table(info.name).where(spec_predicate(specs, parts))
                .select(*parts, F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("_dir"))
                .groupBy(*parts).agg(F.min("_dir").alias("_dir"), F.count_distinct("_dir").alias("_n")))
-    found = {tuple(r[c] for c in parts): r["_dir"] for r in folders.collect() if r["_n"] == 1}
+    found = {tuple(r[c] for c in parts): fs.from_uri(spark, r["_dir"]) for r in folders.collect() if r["_n"] == 1}
     return [found.get(tuple(spec[c] for c in parts)) or partition_location(spark, info, spec) for spec in specs]
 
 
@@ -151,40 +158,44 @@ def partition_location(spark: SparkSession, info: TableInfo, spec: dict) -> str
 
 def publish_set_location(spark: SparkSession, info: TableInfo, stage_dir: str, specs: list[dict]) -> list[str]:
     """Zero-copy publish -- each surviving impacted partition is pointed at
-    its staged directory. The replaced directories still hold the erased rows,
-    so they are deleted once the catalog no longer references them. The stage
-    becomes table data and must never be cleaned up.
+    its staged directory. The stage becomes table data and must never be cleaned up.
 
-    Returns the old locations that were removed.
+    Returns the replaced locations. They still hold the erased rows: the caller
+    deletes them once the published rows are verified.
     """
-    removed = []
+    replaced = []
     for spec, old in zip(specs, partition_locations(spark, info, specs)):
         new = f"{stage_dir}/{partition_path(spark, spec)}"
         spark.sql(f"ALTER TABLE {info.quoted} PARTITION ({partition_spec_sql(spec)}) "
                   f"SET LOCATION '{fs.qualify(spark, new)}'")
         if old and fs.qualify(spark, old) != fs.qualify(spark, new):
-            fs.delete(spark, old)
-            removed.append(old)
-    return removed
+            replaced.append(old)
+    return replaced
 
 
-def publish_move(spark: SparkSession, info: TableInfo, stage_dir: str, specs: list[dict], trash_dir: str) -> None:
+def publish_move(spark: SparkSession, info: TableInfo, stage_dir: str, specs: list[dict], trash_dir: str,
+                 resume: bool = False) -> None:
     """W10 as a file move: each surviving impacted partition's staged folder
     replaces the partition's own folder (rename old -> trash, stage -> old
     location), so the catalog entry stays valid and no second copy is
-    written. The replaced folders hold the erased rows and are deleted.
+    written. The replaced folders hold the erased rows; the caller deletes
+    ``trash_dir`` once the published rows are verified. With ``resume``, partitions
+    whose staged folder is gone were swapped by an earlier attempt.
     Renames are metadata operations on HDFS; on object stores they copy.
     """
     for spec, loc in zip(specs, partition_locations(spark, info, specs)):
         rel = partition_path(spark, spec)
         staged = f"{stage_dir}/{rel}"
+        if resume and not fs.exists(spark, staged):
+            continue
         if not loc or not fs.exists(spark, staged):
             raise RuntimeError(f"cannot move partition {spec}: location {loc}, stage {staged}")
-        fs.rename(spark, loc, f"{trash_dir}/{rel}")
+        # an attempt that broke off between the two renames left the old folder in the trash
+        if fs.exists(spark, loc) and not fs.rename(spark, loc, f"{trash_dir}/{rel}"):
+            raise RuntimeError(f"could not move {loc} to {trash_dir}/{rel}")
         if not fs.rename(spark, staged, loc):
             fs.rename(spark, f"{trash_dir}/{rel}", loc)          # put the old data back
             raise RuntimeError(f"could not move {staged} to {loc}")
-    fs.delete(spark, trash_dir)
 
 
 def append(spark: SparkSession, info: TableInfo, rows: DataFrame) -> None:
@@ -208,4 +219,4 @@ def cleanup(spark: SparkSession, path: str) -> bool:
 
 __all__ = ["write_split", "stage_path", "deleted_path", "refresh", "drop_emptied", "publish_dynamic",
            "publish_static", "publish_set_location", "append", "count_partitions", "cleanup",
-           "partition_location", "partition_locations", "publish_move"]
+           "partition_location", "partition_locations", "publish_move", "remove_folder"]
