@@ -60,7 +60,7 @@ def _resolve(name: str, columns: list[str]) -> str | None:
     return None
 
 
-def purge_manifest(spark: SparkSession, manifest: DataFrame | str, *, strategy: str = "direct",
+def purge_manifest(spark: SparkSession, manifest: DataFrame | str, *, strategy: str = "auto",
                    work_dir: str | None = None, run_id: str | None = None, audit_dir: str | None = None,
                    parallelism: int = 4, **kwargs) -> ManifestResult:
     """Purge every table named in the manifest; returns one result per table

@@ -18,12 +18,15 @@ the driver):
    static pruning) writes every row once: deleted rows become the backup,
    surviving rows the stage. Counts are observed during the write and must
    equal step 2's, otherwise nothing is published.
-5. **publish** -- through the catalog by the chosen strategy; emptied
-   partitions are overwritten empty and dropped; then refresh and a
+5. **publish** -- by the chosen strategy, under a journal; emptied
+   partitions are dropped and their files deleted; then refresh and a
    partition-pruned re-count of the impacted partitions.
 
-Strategies: ``direct`` (default: backup pass, then one dynamic partition
-overwrite that reads the table itself -- survivors written once),
+Strategies: ``auto`` (default: ``move`` where a folder rename is atomic, i.e. a partitioned
+Parquet table on the same HDFS or file system as the work folder, else ``dynamic``; both keep
+the survivors in a stage until the published rows are counted),
+``direct`` (backup pass, then one dynamic partition overwrite that reads the table itself; no
+stage, so a broken commit can only be detected),
 ``dynamic`` (split into backup + stage, verify, then dynamic partition
 overwrite from the stage; also the non-partitioned path), ``static`` (one ``INSERT OVERWRITE ... PARTITION`` per
 partition), ``move`` (staged partition folders renamed into the partitions'
@@ -41,7 +44,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from keysweep.functions.text import join_key_texts, key_text
+from keysweep.functions.text import key_text
 from keysweep.operators.match import MATCH_MODES, KeySpec, flag_matches
 from keysweep.session import child_session, new_run_id, work_root
 from keysweep.plans.repair import RepairError, repair_record
@@ -53,8 +56,10 @@ from keysweep.sources.catalog import TableInfo, column_refs, describe_table, fil
 from keysweep.sources.keys import read_key_list, type_keys
 from keysweep.sources.stage import read_stage
 
-STRATEGIES = ("dynamic", "direct", "static", "move", "set_location", "side_impacted", "side_full")
+STRATEGIES = ("auto", "dynamic", "direct", "static", "move", "set_location", "side_impacted", "side_full")
 SIDE_STRATEGIES = ("side_impacted", "side_full")
+# File systems whose folder rename is one atomic metadata operation.
+ATOMIC_RENAME = ("hdfs", "file")
 # The hot keys of a shuffle join are broadcast; they may take this much even where key lists may not be.
 HOT_KEYS_BYTES = 8 << 20
 # Runs of this driver that are publishing now.
@@ -237,6 +242,14 @@ def _spec(row, parts: list[str]) -> dict:
     return {c: row[c] for c in parts}
 
 
+def _auto_strategy(spark: SparkSession, info: TableInfo, root: str) -> str:
+    """``move`` writes the survivors once and swaps folders; it needs Parquet and a rename that is atomic."""
+    if not info.partition_cols or (info.provider or "").lower() != "parquet" or not info.location:
+        return "dynamic"
+    here, there = (fs.file_system(spark, p) for p in (root, info.location))
+    return "move" if here == there and here[0] in ATOMIC_RENAME else "dynamic"
+
+
 def _recover(spark: SparkSession, info: TableInfo, base: str) -> None:
     """Finish or roll back earlier publishes of this driver that broke off; those of other
     drivers may still run, so they are left to ``repair_publish``."""
@@ -262,11 +275,11 @@ def _begin(spark: SparkSession, info: TableInfo, base: str, res: "PurgeResult",
 
 def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None = None, *,
                 key_cols: list[str] | None = None, key_sets: list[KeySet] | None = None,
-                match: str = "tuple", scope: Column | str | None = "auto", strategy: str = "direct",
+                match: str = "tuple", scope: Column | str | None = "auto", strategy: str = "auto",
                 work_dir: str | None = None, run_id: str | None = None, dry_run: bool = False,
                 backup: bool = True, audit_dir: str | None = None, side_dir: str | None = None,
                 input_name: str | None = None, broadcast_max_bytes: int | None = None,
-                inline_keys: int = 1000, verify: bool = True, rebalance: bool | None = None,
+                verify: bool = True, rebalance: bool | None = None,
                 hot_key_rows: int | None = None, explain: bool = False) -> PurgeResult:
     """O1: delete from ``table`` every row whose key is listed (see module doc).
 
@@ -282,6 +295,8 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
     parts = info.partition_cols
     run_id = run_id or new_run_id(spark)
     root = (work_dir or work_root(spark)).rstrip("/")
+    if strategy == "auto":
+        strategy = _auto_strategy(spark, info, root)
     base = f"{root}/{info.database}/{info.table}"
     run_dir = f"{base}/run_{run_id}"
     audit_dir = audit_dir or f"{root}/_AUDIT"
@@ -361,8 +376,6 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
     lap("effect_collect")
 
     # Step 3: found keys -> audit keys side table.
-    inline_texts: list[str] = []
-    overflow = False
     found_specs = []
     scope_rows = sum(r["rows_before"] for r in res.impacted) if parts else res.rows_before
     shuffle_parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
@@ -380,11 +393,6 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
         n_found, n_hot = int(got_f["n"]), int(got_f["hot"])
         res.keys_found += n_found
         res.found_paths.append(loc)
-        if len(inline_texts) + n_found > inline_keys:
-            overflow = True                       # the keys side table holds them all
-        elif n_found:
-            fdf = spark.read.parquet(loc)
-            inline_texts += [r[0] for r in fdf.select("key_text").orderBy(*p.key_cols).collect()]
         fdf = spark.read.parquet(loc)
         per_key = 16 + 8 * len(p.key_cols) + p.est_bytes // max(p.n_valid, 1)
         bcast = n_found * per_key <= limit
@@ -401,7 +409,6 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
             buckets = F.ceil(F.col("rows_deleted") / F.lit(max(hot_rows, 1))).cast("bigint")
             hot = fdf.where(F.col("rows_deleted") >= cut).select(*p.key_cols, buckets.alias("_buckets")) if fit else None
         found_specs.append(KeySpec(fdf.select(*p.key_cols), p.key_cols, "tuple", bcast, distinct=False, hot=hot))
-    keys_text = None if overflow else join_key_texts(inline_texts)
     lap("found_keys")
 
     def finish(status: str, message: str = "") -> PurgeResult:
@@ -413,7 +420,7 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
             "total_records_before_deletion": res.rows_before,
             "total_records_deleted": res.rows_deleted if status in (STATUS_DONE, STATUS_SIDE) else 0,
             "deleted_records_directory_location": res.backup_dir,
-            "deleted_keys_and_values": keys_text,
+            "deleted_keys_and_values": f"{audit_dir}/keys/{run_id}",
             "run_id": run_id, "table_name": info.name, "status": status, "strategy": strategy,
             "keys_requested": res.keys_requested, "keys_rejected": res.keys_rejected,
             "keys_found": res.keys_found, "partitions_impacted": len(res.impacted),

@@ -4,8 +4,7 @@ The eight fields of the original audit file are kept (same names, same
 order), followed by the run id, the table, a status and the counts a reviewer
 needs. The audit lives outside the table. Every found key tuple is written to
 a keys side table under the audit folder, so the row itself never has to hold
-an unbounded list: ``deleted_keys_and_values`` carries the joined key text
-only when the found keys number at most ``inline_keys``.
+an unbounded list: ``deleted_keys_and_values`` always names that table.
 """
 
 from __future__ import annotations

@@ -63,6 +63,12 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def file_system(spark: SparkSession, path: str) -> tuple[str, str | None]:
+    """Scheme and authority of the file system that holds ``path``."""
+    uri = _path(spark, path)[1].getUri()
+    return uri.getScheme(), uri.getAuthority()
+
+
 def qualify(spark: SparkSession, path: str) -> str:
     p, fs = _path(spark, path)
     return str(fs.makeQualified(p))

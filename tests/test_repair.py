@@ -48,6 +48,38 @@ def test_rerun_finishes_a_broken_publish(spark, scratch, monkeypatch, strategy):
     assert rows(spark.table(t)) == want
 
 
+def test_default_keeps_survivors_between_two_renames(spark, scratch, monkeypatch):
+    """Each rename of the default publish is made to fail once; the rerun has every survivor."""
+    for broken in (1, 2, 3, 4, 5):
+        t = _table(spark, scratch, f"renames_{broken}")
+        want = rows(spark.table(t).where("k not in (0, 1, 100)"))
+        real, calls = publish.fs.rename, []
+
+        def dies(*a, real=real, calls=calls, broken=broken):
+            calls.append(1)
+            if len(calls) == broken:
+                raise RuntimeError("connection lost")
+            return real(*a)
+
+        with monkeypatch.context() as m:
+            m.setattr(publish.fs, "rename", dies)
+            with pytest.raises((P.PurgeError, RuntimeError)):
+                purge_table(spark, t, _keys(spark, 0, 1, 100))
+        assert len(calls) >= broken
+        assert purge_table(spark, t, _keys(spark, 0, 1, 100)).status == ("DONE" if broken == 1 else "NOOP")
+        assert rows(spark.table(t)) == want
+
+
+def test_default_strategy_by_table(spark, scratch):
+    t = _table(spark, scratch, "auto_parquet")
+    assert purge_table(spark, t, _keys(spark, 0), dry_run=True).strategy == "move"
+    plain = _table(spark, scratch, "auto_plain", ())
+    assert purge_table(spark, plain, _keys(spark, 0), dry_run=True).strategy == "dynamic"
+    orc = f"{t}_orc"
+    spark.table(t).write.format("orc").partitionBy("p").saveAsTable(orc)
+    assert purge_table(spark, orc, _keys(spark, 0), dry_run=True).strategy == "dynamic"
+
+
 def test_plain_table_rerun(spark, scratch, monkeypatch):
     t = _table(spark, scratch, "broken_plain", ())
     want = rows(spark.table(t).where("k <> 3"))
@@ -76,7 +108,7 @@ def test_direct_without_stage_never_reports_done(spark, scratch, monkeypatch):
     with monkeypatch.context() as m:
         m.setattr(publish, "publish_dynamic", empties)
         with pytest.raises(P.PurgeError):
-            purge_table(spark, t, _keys(spark, 0, 1))
+            purge_table(spark, t, _keys(spark, 0, 1), strategy="direct")
     with pytest.raises(P.PurgeError, match="missing rows"):
         purge_table(spark, t, _keys(spark, 0, 1))
 
