@@ -5,10 +5,12 @@ places has its own embedding table; their sum goes through tanh, and a two-level
 of the word, word within the class) gives the conditional probability. The score of a
 document is the sum of the log-probabilities of all its words, each given its neighbours.
 
-* Vocabulary: words are counted over the whole corpus; the most frequent get ids of their own,
-  all others share hashed ids, so every word of every text is predicted.
-* Training, in numpy inside the tasks: every document gives the positions a hash of
-  (document, position) masks, one in MASK_ONE_IN, so what is learned from grows with the corpus. Each task
+* Vocabulary: every word of the corpus, with its count, in a Spark table. The most frequent get softmax ids of
+  their own; each other word belongs to one of the hashed groups, and its probability is that of the group times
+  its share of the group: its count over the group's count plus one (the one is the share of unseen words). The
+  shares are joined to the words of the texts, so the vocabulary is never in one place.
+* Training, in numpy inside the tasks, over all positions of every document: a hash of (document, position)
+  deals them to MASK_ONE_IN masks, each used once; a round takes its part of the masks. Each task
   descends from the common start over its rows; the parameters are averaged, weighted by
   the positions seen, over two levels of groups, so that no task gets all of them. ROUNDS rounds.
 * Only the model (a few hundred kB, a size fixed by the constants below) reaches the driver.
@@ -25,10 +27,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lowered, mix, word_hashes
+from .common import lowered, mix, word_hashes, written
 
 CLASSES, IN_CLASS = 32, 32
-WORDS = 896  # own ids; the other 128 of 1024 are shared by hash
+WORDS = 896  # softmax ids of single words; the other 128 of 1024 are groups, with a share for each word in them
 HIDDEN, SIDE = 16, 2
 MASK_ONE_IN = 8
 ROUNDS = 2
@@ -58,6 +60,24 @@ class Vocabulary:
         return np.where(self.words[at] == hashes, self.ids[at], shared)
 
 
+def outside(vocabulary: Vocabulary, texts: list) -> tuple[list, list]:
+    """For each text (as word hashes) its distinct words without an id of their own, and how often each occurs."""
+    found = [np.unique(w[vocabulary.encode(w) >= WORDS], return_counts=True) for w in texts]
+    return [w.view(np.int64) for w, _ in found], [n for _, n in found]
+
+
+def _group_counts(vocabulary: Vocabulary):
+    def run(batches):
+        total = np.zeros(V, np.int64)
+        for b in batches:
+            words = b.column("word").to_numpy().view(np.uint64)
+            np.add.at(total, vocabulary.encode(words), b.column("n").to_numpy())
+        ids = np.flatnonzero(total[WORDS:]) + WORDS
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(total[ids])], names=["id", "n"])
+
+    return run
+
+
 SHAPES = {"embed": (2 * SIDE, V + 1, HIDDEN), "bias": (HIDDEN,), "classes": (HIDDEN + 1, CLASSES), "words": (CLASSES, HIDDEN + 1, IN_CLASS)}
 
 
@@ -120,34 +140,39 @@ def log_probability(p: dict, around: np.ndarray, target: np.ndarray) -> np.ndarr
 def descend(p: dict, square: dict, around: np.ndarray, target: np.ndarray, rate: float = RATE) -> None:
     """One Adagrad step on a batch of masked positions."""
     n = len(target)
+    order = np.argsort(target // IN_CLASS, kind="stable")
+    around, target = around[order], target[order]
+    kind, at = target // IN_CLASS, np.arange(n)
     h = _hidden(p, around)
-    kind = target // IN_CLASS
     g = np.exp(_log_softmax(h @ p["classes"]))
-    g[np.arange(n), kind] -= 1
+    g[at, kind] -= 1
     grads = {"classes": h.T @ g}
     back = g @ p["classes"].T
+    edges = np.searchsorted(kind, np.arange(CLASSES + 1)).tolist()
+    spans = [(c, slice(edges[c], edges[c + 1])) for c in range(CLASSES) if edges[c] < edges[c + 1]]
+    z = np.empty((n, IN_CLASS), np.float32)
+    for c, own in spans:
+        np.dot(h[own], p["words"][c], out=z[own])
+    gw = np.exp(_log_softmax(z))
+    gw[at, target % IN_CLASS] -= 1
     words = np.zeros(SHAPES["words"], np.float32)
-    order = np.argsort(kind, kind="stable")
-    edges = np.searchsorted(kind[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        at = order[edges[c] : edges[c + 1]]
-        if len(at):
-            gw = np.exp(_log_softmax(h[at] @ p["words"][c]))
-            gw[np.arange(len(at)), target[at] % IN_CLASS] -= 1
-            words[c] = h[at].T @ gw
-            back[at] += gw @ p["words"][c].T
+    for c, own in spans:
+        np.dot(h[own].T, gw[own], out=words[c])
+        back[own] += gw[own] @ p["words"][c].T
     grads["words"] = words
     back = (back * (1 - h * h))[:, :HIDDEN]
     grads["bias"] = back.sum(0)
-    embed = np.zeros(SHAPES["embed"], np.float32)
-    for j in range(2 * SIDE):
-        by = np.argsort(around[:, j], kind="stable")
-        ids, first = np.unique(around[by, j], return_index=True)
-        embed[j][ids] = np.add.reduceat(back[by], first)
-    grads["embed"] = embed
     for k, x in grads.items():
         square[k] += x * x
         p[k] -= rate * x / (np.sqrt(square[k]) + 1e-6)
+    # only the embeddings met have a gradient
+    places = (around + np.arange(2 * SIDE) * (V + 1)).ravel()
+    by = np.argsort(places, kind="stable")
+    ids, first = np.unique(places[by], return_index=True)
+    x = np.add.reduceat(back[by // (2 * SIDE)], first)
+    embed, met = p["embed"].reshape(-1, HIDDEN), square["embed"].reshape(-1, HIDDEN)
+    met[ids] += x * x
+    embed[ids] -= rate * x / (np.sqrt(met[ids]) + 1e-6)
 
 
 def _train(vocabulary: Vocabulary, model: np.ndarray, turn: int):
@@ -165,11 +190,12 @@ def _train(vocabulary: Vocabulary, model: np.ndarray, turn: int):
                     continue
                 around, target = contexts(ids)
                 key = np.repeat(np.array([len(d) + int(d[:8].sum()) for d in ids], np.uint64), [len(d) for d in ids])
-                pick = mix(key * np.uint64(2654435761) + np.arange(len(target), dtype=np.uint64) + np.uint64(turn)) % np.uint64(MASK_ONE_IN) == 0
-                around, target = around[pick], target[pick]
-                for j in range(0, len(target), STEP):
-                    descend(p, square, around[j : j + STEP], target[j : j + STEP])
-                seen += len(target)
+                mask = mix(key * np.uint64(2654435761) + np.arange(len(target), dtype=np.uint64)) % np.uint64(MASK_ONE_IN)
+                for m in range(turn, MASK_ONE_IN, ROUNDS):
+                    pick = np.flatnonzero(mask == m)
+                    for j in range(0, len(pick), STEP):
+                        descend(p, square, around[pick[j : j + STEP]], target[pick[j : j + STEP]])
+                    seen += len(pick)
         if seen:
             pieces = np.array_split(flat(p), BLOCKS)
             yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()] * BLOCKS, pa.int32()), pa.array(range(BLOCKS), pa.int32()), pa.array([seen] * BLOCKS, pa.int64()), pa.array([(x * np.float32(seen)).astype(np.float32).tobytes() for x in pieces], pa.binary())], names=["task", "block", "n", "data"])
@@ -182,9 +208,10 @@ def _add(t: pa.Table) -> pa.Table:
     return pa.table({"task": pa.array([0], pa.int32()), "block": t.column("block").slice(0, 1), "n": pa.array([sum(t.column("n").to_pylist())], pa.int64()), "data": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
 
 
-def train_model(docs: DataFrame) -> tuple[Vocabulary, np.ndarray]:
+def train_model(docs: DataFrame) -> tuple[Vocabulary, np.ndarray, DataFrame]:
+    """Words with softmax ids, the parameters, and the table of all words with their counts."""
     text = docs.select("text")
-    counts = text.mapInArrow(_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = written(text.mapInArrow(_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
     top = [r.word for r in counts.orderBy(F.desc("n"), "word").limit(WORDS).collect()]
     vocabulary, model = Vocabulary(np.array(top, np.int64).view(np.uint64)), flat(start())
     schema = "task int, block int, n long, data binary"
@@ -194,20 +221,28 @@ def train_model(docs: DataFrame) -> tuple[Vocabulary, np.ndarray]:
         rows = sorted(some.groupBy("block").applyInArrow(lambda t: _add(t), schema).collect(), key=lambda r: r.block)
         if rows:
             model = np.concatenate([np.frombuffer(bytes(r.data), np.float32) / np.float32(r.n) for r in rows])
-    return vocabulary, model
+    return vocabulary, model, counts
+
+
+_SCORED = "row long, doc_id long, n_words long, log_likelihood double, words array<long>, often array<long>"
+
 
+def _score(vocabulary: Vocabulary, model: np.ndarray, groups: np.ndarray):
+    """Scores with each word outside the softmax counted once in its group; the join adds the log of its count."""
+    share = -np.log(groups + 1.0) * (np.arange(V) >= WORDS)
 
-def _score(vocabulary: Vocabulary, model: np.ndarray):
     def run(batches):
         p = shaped(model)
         for b in batches:
             for i in range(0, len(b), 256):
                 rows = b.slice(i, 256)
-                ids = [vocabulary.encode(w) for w in word_hashes(lowered(rows.column("text").to_pylist()))]
+                hashes = word_hashes(lowered(rows.column("text").to_pylist()))
+                ids = [vocabulary.encode(w) for w in hashes]
                 n = np.array([len(d) for d in ids], np.int64)
-                lp = log_probability(p, *contexts(ids)) if n.sum() else np.empty(0)
+                lp = log_probability(p, *contexts(ids)) + share[np.concatenate(ids)] if n.sum() else np.empty(0)
+                words, often = outside(vocabulary, hashes)
                 total = np.add.reduceat(np.append(lp, 0.0), np.minimum(np.cumsum(n) - n, len(lp))) * (n > 0) if len(n) else np.empty(0)
-                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(n), pa.array(total.astype(float))], names=["doc_id", "n_words", "log_likelihood"])
+                yield pa.RecordBatch.from_arrays([rows.column("row"), rows.column("doc_id"), pa.array(n), pa.array(total.astype(float)), pa.array(words, pa.list_(pa.int64())), pa.array(often, pa.list_(pa.int64()))], names=[c.split()[0] for c in _SCORED.split(", ")])
 
     return run
 
@@ -215,8 +250,17 @@ def _score(vocabulary: Vocabulary, model: np.ndarray):
 def score_documents(docs: DataFrame) -> DataFrame:
     """``doc_id, n_words, log_likelihood, per_word, perplexity`` for every row of ``docs(doc_id, text, ...)``,
     under a model trained on all of ``docs``."""
-    vocabulary, model = train_model(docs)
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    scored = text.mapInArrow(_score(vocabulary, model), "doc_id long, n_words long, log_likelihood double")
+    vocabulary, model, counts = train_model(docs)
+    groups = np.zeros(V)
+    for r in counts.mapInArrow(_group_counts(vocabulary), "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
+        groups[r.id] = r.n
+    text = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    scored = written(text.mapInArrow(_score(vocabulary, model, groups), _SCORED), "scored")
+    pairs = scored.select("row", F.explode(F.arrays_zip("words", "often")).alias("w")).select("row", F.col("w.words").alias("word"), F.col("w.often").alias("often"))
+    # a count of one adds nothing, nor does an unseen word
+    shares = counts.filter("n > 1").select("word", F.log("n").alias("log_n"))
+    added = pairs.join(shares, "word").groupBy("row").agg(F.sum(F.col("often") * F.col("log_n")).alias("added"))
+    scored = scored.drop("words", "often").join(added, "row", "left")
+    scored = scored.select("doc_id", "n_words", (F.col("log_likelihood") + F.coalesce("added", F.lit(0.0))).alias("log_likelihood"))
     per_word = F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words"))
     return scored.withColumn("per_word", per_word).withColumn("perplexity", F.exp(-per_word))

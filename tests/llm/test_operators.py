@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from keysweep.llm.bpe_transducer import Merges, Transducer, encode_decode, token_digests
-from keysweep.llm.common import shared_dir
+from keysweep.llm import lm_scoring
+from keysweep.llm.common import shared_dir, word_hashes
 from keysweep.llm.components import components
 from keysweep.llm.decontamination import contaminated
 from keysweep.llm.html_text import blocks, main_text
@@ -277,6 +278,42 @@ def test_lm_learns(spark):
     assert by[0].per_word > by[999].per_word + 0.5
 
 
+def test_lm_scores_words_outside_the_softmax(spark):
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{int(x)}" for x in np.minimum(rng.zipf(1.3, 60), 4000)) for _ in range(600)]
+    rows = [*enumerate(texts), (1000, " ".join(f"rare{i}" for i in range(60))), (1001, " ".join(f"w{i}" for i in range(150, 210)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    by = {r.doc_id: r for r in score_documents(docs).collect()}
+    assert by[1000].per_word < by[1001].per_word  # words met once, against words met often
+
+    vocabulary, model, counts = lm_scoring.train_model(docs)
+    n = Counter(w for _, t in rows for w in t.split())
+    assert counts.count() == len(n) > lm_scoring.WORDS
+    hashes = {w: word_hashes([w.encode()])[0] for w in n}
+    ids = {w: int(vocabulary.encode(h)[0]) for w, h in hashes.items()}
+    group = Counter()
+    for w, k in n.items():
+        group[ids[w]] += k
+    for doc_id, text in rows[-3:]:
+        words = text.split()
+        lp = lm_scoring.log_probability(lm_scoring.shaped(model), *lm_scoring.contexts([np.array([ids[w] for w in words])])).sum()
+        lp += sum(np.log(n[w] / (group[ids[w]] + 1)) for w in words if ids[w] >= lm_scoring.WORDS)
+        assert abs(by[doc_id].log_likelihood - lp) < 1e-2
+
+
+def test_lm_trains_on_every_position_once(monkeypatch):
+    import pyarrow as pa
+
+    seen = Counter()
+    monkeypatch.setattr(lm_scoring, "descend", lambda p, square, around, target: seen.update(target.tolist()))
+    text = " ".join(f"w{i}" for i in range(500))
+    vocabulary = lm_scoring.Vocabulary(word_hashes([text.encode()])[0])
+    monkeypatch.setattr("pyspark.TaskContext.get", lambda: type("Task", (), {"partitionId": lambda self: 0})())
+    for turn in range(lm_scoring.ROUNDS):
+        list(lm_scoring._train(vocabulary, lm_scoring.flat(lm_scoring.start()), turn)([pa.RecordBatch.from_pydict({"text": [text]})]))
+    assert seen == Counter(range(500))
+
+
 def test_licenses(spark, docs, none):
     mit, gpl = "Released under the MIT License.", "This work is licensed under the GNU General Public License, version 3."
     rows = [(1, "p/LICENSE", mit), (2, "p/a/b/x.txt", "nothing"), (3, "p/a/COPYING", f"title\n{gpl}\nmore"), (4, "p/a/y.txt", f"intro\n{mit}\n" + "z " * 5000), (5, "q/x", None), (6, None, mit), (7, "pp/x", "the license of this work is under discussion"), (8, "p/a/b/c/d", ""), (8, "p/a/b/c/d", ""), (9, "LICENSE", mit), (10, "/abs/x", "")]
