@@ -16,7 +16,7 @@ from keysweep.llm import lm_scoring
 from keysweep.llm.common import shared_dir, word_hashes
 from keysweep.llm.components import components
 from keysweep.llm.decontamination import contaminated
-from keysweep.llm.html_text import blocks, main_text
+from keysweep.llm.html_text import MAIN, blocks, main_text
 from keysweep.llm.licenses import scan_licenses
 from keysweep.llm.lm_scoring import score_documents
 from keysweep.llm.ngram_join import near_duplicates
@@ -161,6 +161,11 @@ def test_html(spark):
     assert blocks("") == []
 
 
+@pytest.mark.parametrize("before", ["<svg-icon name=x></svg-icon>", "<svg class=i/>", "<svg class=i>", "<iframe src=x />", "<datalist><option value=a><option value=b>x</datalist>", "<option>x", "<button>", "<button>x</button>", "<button><div>x</div></button>", "<button-bar></button-bar>", "<title-card></title-card>", "<textarea>", "<select><option>x<option>x</select>", "<template>x</template>", "<script>x < y</script >", "<svg><title>x</title></svg>"])
+def test_html_reads_on_after(before):
+    assert [t for z, t in blocks(f"<article>{before}<p>real text</p></article>") if z == MAIN] == ["real text"]
+
+
 def test_urls(spark):
     rules = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/es/", "allow"), (None, "/", "block"), ("a.net", None, "block")]
     urls = ["http://www.example.com/en/1", "http://x.EXAMPLE.com/en/1?q", "https://example.com/fr", "http://notexample.com/en/", "http://q.net/es/1", "http://a.net", "http://b.a.net/es/", "nothing", None, "http://example.com", "http://", "x://com/://", "http://example.com/en/"] * 3
