@@ -166,6 +166,20 @@ def test_html_reads_on_after(before):
     assert [t for z, t in blocks(f"<article>{before}<p>real text</p></article>") if z == MAIN] == ["real text"]
 
 
+def test_html_keeps_what_page_copies_share(spark):
+    menu = "home about contact products services support careers news events press"
+    other = [(i, f"http://p.q/{i}", f"<div>{menu}</div><div>{text_of(i, 30)}</div>") for i in range(12)]
+    article = f"<div>{menu}</div><div>{text_of(90, 60)}</div>"
+    copies = [(20, "http://p.q/a", article), (21, "http://p.q/a?print", article), (22, "http://p.q/a", article), (23, "http://p.q/a/amp", f"<div>{text_of(90, 60)}</div>"), (23, "http://p.q/a/amp", f"<div>{text_of(91, 20)}</div>")]
+    alone = [(30, "http://r.s/1", article), (31, "http://r.s/2", article)]
+    got = defaultdict(list)
+    for r in main_text(spark.createDataFrame([*other, *copies, *alone], "page_id long, url string, html string")).collect():
+        got[r.page_id].append(r.text)
+    assert [got[i] for i in range(12)] == [[text_of(i, 30)] for i in range(12)]
+    assert got[20] == got[21] == got[22] == [text_of(90, 60)] and sorted(got[23]) == sorted([text_of(90, 60), text_of(91, 20)])
+    assert got[30] == got[31] == [f"{menu}\n{text_of(90, 60)}"]
+
+
 def test_urls(spark):
     rules = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/es/", "allow"), (None, "/", "block"), ("a.net", None, "block")]
     urls = ["http://www.example.com/en/1", "http://x.EXAMPLE.com/en/1?q", "https://example.com/fr", "http://notexample.com/en/", "http://q.net/es/1", "http://a.net", "http://b.a.net/es/", "nothing", None, "http://example.com", "http://", "x://com/://", "http://example.com/en/"] * 3
