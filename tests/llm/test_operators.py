@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from keysweep.llm.bpe_transducer import Merges, Transducer, encode_decode, token_digests
-from keysweep.llm import lm_scoring
+from keysweep.llm import licenses, lm_scoring
 from keysweep.llm.common import shared_dir, word_hashes
 from keysweep.llm.components import components
 from keysweep.llm.decontamination import contaminated
@@ -345,6 +345,18 @@ def test_licenses(spark, docs, none):
     assert scan_licenses(df.limit(0)).count() == 0
 
 
+def test_licence_texts_headers_and_tags(spark):
+    texts = {k: v[0] for k, v in licenses.full_texts().items()}
+    comment = "\n".join(f"# {x}" for x in licenses.HEADERS["GPL-3.0"][1].replace(". ", ".\n").split("\n"))
+    rows = [(f"{k}/LICENSE", f"Copyright (c) 2020 Some Body\n\n{x}", k) for k, x in texts.items()]
+    rows += [("s1/a.py", f"#!/usr/bin/python\n{comment}\nimport os\n" + "x = compute(y)\n" * 300, "GPL-3.0"), ("s2/a.c", "/* SPDX-License-Identifier: GPL-2.0-or-later */\nint x;", "GPL-2.0"), ("s3/a.rs", "// SPDX-License-Identifier: MIT OR Apache-2.0\n", "MIT OR Apache-2.0")]
+    rows += [("s4/a.md", "A tool. Released under the MIT\nLicense. It prints words.", "MIT"), ("s5/LICENSE", "MIT License", "MIT"), ("s6/a.md", "This project has never been released under the well known MIT License by its owners.", None), ("s7/b.txt", text_of(3, 500), None)]
+    rows += [("s8/a.js", "/*\n * " + licenses.HEADERS["Apache-2.0"][0].replace("; ", ";\n * ") + "\n */\nvar a;", "Apache-2.0")]
+    df = spark.createDataFrame([(i, p, t) for i, (p, t, _) in enumerate(rows)], "file_id long, path string, text string")
+    got = {r.path: r.license for r in scan_licenses(df).collect()}
+    assert {p: got[p] for p, *_ in rows} == {p: want for p, _, want in rows}
+
+
 def test_pipeline_against_its_stages(spark, sf):
     import corpus_pipeline
 
