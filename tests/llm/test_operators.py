@@ -204,6 +204,20 @@ def test_decontamination(spark):
     assert contaminated(docs.limit(0), bench).count() == 0 and contaminated(docs, bench.limit(0)).count() == 0
 
 
+def test_decontamination_of_documents_shorter_than_the_item(spark):
+    item = text_of(70, 40).split()
+    rows = [(1, item[:36]), (2, item[4:]), (3, item[:39]), (4, [*item[:38], *item[39:]]), (5, item[:31]), (6, item[:30]), (7, item[2:37])]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    got = {r.doc_id: r for r in contaminated(docs, spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")).collect()}
+
+    def shingles(w):
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+
+    alike = {i: len(shingles(w) & shingles(item)) / len(shingles(w) | shingles(item)) for i, w in rows}
+    assert {i: r.similarity for i, r in got.items()} == pytest.approx({i: x for i, x in alike.items() if x >= 0.75}) and set(got) == {1, 2, 3, 4, 5, 7}
+    assert all((got[i].start_word, got[i].n_words) == (0, len(w)) for i, w in rows if i in got)
+
+
 def brute_counts(text):
     import re
 
