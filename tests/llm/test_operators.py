@@ -218,6 +218,13 @@ def test_decontamination_of_documents_shorter_than_the_item(spark):
     assert all((got[i].start_word, got[i].n_words) == (0, len(w)) for i, w in rows if i in got)
 
 
+def test_decontamination_finds_borderline_windows(spark):
+    item = text_of(71, 40).split()
+    rows = [(i, " ".join([*item[: 6 + i % 28], f"changed{i}", *item[7 + i % 28 :]])) for i in range(1500)]
+    got = contaminated(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")).collect()
+    assert sorted(r.doc_id for r in got) == list(range(1500)) and max(r.hamming for r in got) > 31
+
+
 def brute_counts(text):
     import re
 
