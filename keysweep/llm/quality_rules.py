@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import U_WINDOW3, WHITE, mix, word_hashes, written
+from .common import U_WINDOW3, WHITE, lowest_hashes, mix, word_hashes, written
 
 FIT_ROWS = 20_000
 SYMBOLS = "#*$%&|<>"
@@ -155,6 +155,7 @@ def base_failed() -> Column:
 def fit_rules(stats: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> list[Rule]:
     lab = labels.filter("quality is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "quality")
     rows = stats.join(lab, "doc_id").filter(~base_failed()).select("quality", *[c.alias(k) for k, c in features().items()], F.xxhash64("doc_id").alias("h"), "doc_id")
+    rows = lowest_hashes(written(rows, "fit"), "h", fit_rows)
     rows = rows.orderBy("h", "doc_id", "quality", *FEATURES).limit(fit_rows).select("quality", *FEATURES).toPandas()
     bad = rows["quality"].to_numpy() == 0
     if not len(rows) or bad.all() or not bad.any():

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import lowest_hashes, written
 
 FIT_ROWS = 12_000
 TERMS = 4096
@@ -214,7 +214,8 @@ def learn(docs: DataFrame, labels: DataFrame, fit_rows: int) -> tuple[dict[str,
     spark = docs.sparkSession
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     fit = labels.filter("toxic in (0, 1) and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
-    fit = fit.filter(~held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(fit_rows)
+    fit = fit.filter(~held_out(F.col("doc_id"))).withColumn("h", F.xxhash64("doc_id"))
+    fit = lowest_hashes(fit, "h", fit_rows).orderBy("h", "doc_id", "toxic").limit(fit_rows)
     rows = [(r.doc_id, r.toxic) for r in fit.collect()]
     sample = F.broadcast(spark.createDataFrame(rows, "doc_id long, toxic int"))  # fit_rows rows at most
     train = written(text.join(sample, "doc_id").select("doc_id", "text", "toxic"), "train")

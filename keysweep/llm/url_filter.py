@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions
+from .common import lowest_hashes, partitions
 
 UPPER, LOWERED = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PER_RANGE = 50  # sampled keys for each range
@@ -112,7 +112,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow") -> Da
     host, path = url_parts(F.col("url"))
     urls = pages.select(F.col("page_id").cast("long").alias("page_id"), host.alias("host"), path.alias("path"), F.xxhash64("page_id", "url").alias("salt"))
     urls = urls.select(F.lit(1).alias("kind"), "page_id", "host", "path", F.lit(None).cast("string").alias("verdict"), "salt", host_key(F.col("host")).alias("key"))
-    sample = sorted((r.key, r.salt) for r in urls.select("key", "salt").orderBy("salt").limit(PER_RANGE * n).collect())
+    sample = sorted((r.key, r.salt) for r in lowest_hashes(urls.select("key", "salt"), "salt", PER_RANGE * n).orderBy("salt").limit(PER_RANGE * n).collect())
     bounds = sample[PER_RANGE::PER_RANGE]
     rules = rules.filter("host is not null and verdict is not null").select(F.lit(0).alias("kind"), F.lit(None).cast("long").alias("page_id"), F.translate("host", UPPER, LOWERED).alias("host"), F.coalesce("path", F.lit("")).alias("path"), "verdict")
     rules = rules.select("*", F.lit(-(2**63)).cast("long").alias("salt"), host_key(F.col("host")).alias("key"))

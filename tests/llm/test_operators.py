@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 
 from keysweep.llm.bpe_transducer import Merges, Transducer, encode_decode, token_digests
 from keysweep.llm import licenses, lm_scoring
-from keysweep.llm.common import shared_dir, word_hashes
+from keysweep.llm.common import lowest_hashes, shared_dir, word_hashes
 from keysweep.llm.components import components
 from keysweep.llm.decontamination import contaminated
 from keysweep.llm.html_text import MAIN, blocks, main_text
@@ -180,6 +180,16 @@ def test_html_keeps_what_page_copies_share(spark):
     assert got[30] == got[31] == [f"{menu}\n{text_of(90, 60)}"]
 
 
+def test_lowest_hashes_bound_what_an_ordered_limit_reads(spark):
+    rows = spark.range(0, 60_000, 1, 40).select("id", F.xxhash64("id").alias("h"))
+    cut = lowest_hashes(rows, "h", 1000)
+    assert 1000 <= cut.count() <= 1600
+    assert [r.id for r in cut.orderBy("h").limit(1000).collect()] == [r.id for r in rows.orderBy("h").limit(1000).collect()]
+    assert lowest_hashes(rows.limit(30), "h", 1000).count() == 30 and lowest_hashes(rows.limit(0), "h", 5).count() == 0
+    crowded = rows.select("id", F.greatest(F.col("h"), F.lit(0)).alias("h"))
+    assert lowest_hashes(crowded, "h", 1000).count() >= 1000
+
+
 def test_urls(spark):
     rules = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/es/", "allow"), (None, "/", "block"), ("a.net", None, "block")]
     urls = ["http://www.example.com/en/1", "http://x.EXAMPLE.com/en/1?q", "https://example.com/fr", "http://notexample.com/en/", "http://q.net/es/1", "http://a.net", "http://b.a.net/es/", "nothing", None, "http://example.com", "http://", "x://com/://", "http://example.com/en/"] * 3
