@@ -187,21 +187,31 @@ def survivors(df: DataFrame, keys: DataFrame, key_cols: list[str] | None = None,
 
 def rows_in_partitions(df: DataFrame, partitions: DataFrame, partition_cols: list[str],
                        broadcast_partitions: bool | None = None) -> DataFrame:
-    """Rows of the listed partitions, as a null-safe semi-join on the
-    partition columns (the join strategy is Spark's unless the caller checked
-    the list's size). The purge job itself uses literal specs instead (see
-    ``scan_partitions``), which prune statically."""
+    """Rows of the listed partitions (a NULL value lists the NULL partition).
+
+    Two branches, so that both prune. Partitions without a NULL are an equi-semi-join: with a broadcast list
+    (the caller's word, or Spark's estimate) Spark hands the listed values to the scan, which opens only
+    those partitions. Partitions with a NULL are joined null-safely to the rows that have one, a static
+    filter on the partition columns; where no NULL is listed, adaptive execution drops that branch unread.
+    """
     p = partitions.select(*partition_cols).distinct()
-    p = _hinted(p, broadcast_partitions)
-    cond = reduce(lambda a, b: a & b, [df[c].eqNullSafe(p[c]) for c in partition_cols])
-    return df.join(p, cond, "left_semi")
+    # "is not null" written as a comparison: run-time pruning is planned only behind a filter that may leave rows out
+    whole = reduce(lambda a, b: a & b, [F.length(F.col(c).cast("string")) >= 0 for c in partition_cols])
+    out = df.join(_hinted(p.where(whole), broadcast_partitions), on=partition_cols, how="left_semi").select(*df.columns)
+    if not any(df.schema[c].nullable for c in partition_cols):
+        return out
+    some_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in partition_cols])
+    other = p.where(some_null).select(*[F.col(c).alias(f"_of_{i}") for i, c in enumerate(partition_cols)])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_of_{i}")) for i, c in enumerate(partition_cols)])
+    return out.unionAll(df.where(some_null).join(_hinted(other, broadcast_partitions), same, "left_semi").select(*df.columns))
 
 
 def survivors_in_partitions(df: DataFrame, keys: DataFrame, partitions: DataFrame, partition_cols: list[str],
                             key_cols: list[str] | None = None, match: str = "tuple",
-                            scope: Column | None = None, broadcast_keys: bool | None = None) -> DataFrame:
+                            scope: Column | None = None, broadcast_keys: bool | None = None,
+                            broadcast_partitions: bool | None = None) -> DataFrame:
     """J6 (reordered as J5 then J2): survivors of the impacted partitions only."""
-    return survivors(rows_in_partitions(df, partitions, partition_cols), keys, key_cols, match, scope, broadcast_keys)
+    return survivors(rows_in_partitions(df, partitions, partition_cols, broadcast_partitions), keys, key_cols, match, scope, broadcast_keys)
 
 
 def keys_found(df: DataFrame, keys: DataFrame, key_cols: list[str] | None = None, match: str = "tuple",

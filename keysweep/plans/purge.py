@@ -30,7 +30,8 @@ stage, so a broken commit can only be detected),
 ``dynamic`` (split into backup + stage, verify, then dynamic partition
 overwrite from the stage; also the non-partitioned path), ``static`` (one ``INSERT OVERWRITE ... PARTITION`` per
 partition), ``move`` (staged partition folders renamed into the partitions'
-own locations, no second copy), ``set_location`` (repoint partitions at the
+own locations, no second copy), ``files`` (only the files that hold a match are
+rewritten, each replaced under its own name by one rename; also for plain tables), ``set_location`` (repoint partitions at the
 stage, no second copy), ``side_impacted`` / ``side_full`` (survivors of the impacted partitions
 / of the whole table to a side folder; the live table is not changed).
 """
@@ -46,22 +47,25 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from keysweep.functions.text import key_text
 from keysweep.operators.match import MATCH_MODES, KeySpec, flag_matches
-from keysweep.session import child_session, new_run_id, work_root
+from keysweep.session import child_session, new_run_id, session_conf, work_root
 from keysweep.plans.repair import RepairError, repair_record
 from keysweep.sinks import fs, journal, publish
 from keysweep.sinks.observe import observed
 from keysweep.sinks.audit import (STATUS_DONE, STATUS_DRY_RUN, STATUS_FAILED, STATUS_NOOP, STATUS_SIDE,
                                   audit_row, keys_location, write_audit)
-from keysweep.sources.catalog import TableInfo, column_refs, describe_table, files_fingerprint, spec_predicate
+from keysweep.sources.catalog import TableInfo, column_refs, describe_table, spec_predicate
+from keysweep.sources.files import changed_files, files_fingerprint, folder_of, list_folders, with_file
 from keysweep.sources.keys import read_key_list, type_keys
 from keysweep.sources.stage import read_stage
 
-STRATEGIES = ("auto", "dynamic", "direct", "static", "move", "set_location", "side_impacted", "side_full")
+STRATEGIES = ("auto", "dynamic", "direct", "static", "move", "files", "set_location", "side_impacted", "side_full")
 SIDE_STRATEGIES = ("side_impacted", "side_full")
 # File systems whose folder rename is one atomic metadata operation.
 ATOMIC_RENAME = ("hdfs", "file")
 # The hot keys of a shuffle join are broadcast; they may take this much even where key lists may not be.
 HOT_KEYS_BYTES = 8 << 20
+# Size that compaction on rewrite (W16) packs files to.
+TARGET_FILE_BYTES = 128 << 20
 # Runs of this driver that are publishing now.
 _ACTIVE: set[str] = set()
 # Partition column that marks Type-2 history versions; by default only its
@@ -280,9 +284,13 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
                 backup: bool = True, audit_dir: str | None = None, side_dir: str | None = None,
                 input_name: str | None = None, broadcast_max_bytes: int | None = None,
                 verify: bool = True, rebalance: bool | None = None,
-                hot_key_rows: int | None = None, explain: bool = False) -> PurgeResult:
+                hot_key_rows: int | None = None, compact: bool | None = None,
+                target_file_bytes: int = TARGET_FILE_BYTES, explain: bool = False) -> PurgeResult:
     """O1: delete from ``table`` every row whose key is listed (see module doc).
 
+    ``compact`` (W16) deals the rewritten rows into files of about ``target_file_bytes``, counted for each
+    partition from the sizes of its files; by default where its files are more than twice as many.
+
     Runs in a private child session (the caller's settings copied), so the
     session-scoped settings and temporary views a publish needs never touch
     the caller's session; the caller's view of the table is refreshed at the end.
@@ -302,7 +310,7 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
     audit_dir = audit_dir or f"{root}/_AUDIT"
     res = PurgeResult(run_id=run_id, table=info.name, status=STATUS_FAILED, strategy=strategy,
                       partition_cols=parts, run_dir=run_dir, audit_dir=audit_dir)
-    if strategy in ("move", "set_location") and (info.provider or "").lower() != "parquet":
+    if strategy in ("move", "files", "set_location") and (info.provider or "").lower() != "parquet":
         raise ValueError(f"{strategy} puts Parquet folders into the table, but {info.name} is {info.provider}; use dynamic or direct")
     if not dry_run and strategy not in SIDE_STRATEGIES:
         _recover(spark, info, base)
@@ -336,16 +344,17 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
     prune = bool(scope_col is not None and parts and column_refs(source, scope_col) <= set(parts))
     if prune:
         source = source.where(in_scope)
-    slim = source.select(*parts, *all_keys, in_scope.alias("_in_scope"))
+    slim = with_file(source).select(*parts, *all_keys, in_scope.alias("_in_scope"), "_file", "_size", "_mtime")
+    of_file = [F.max("_size").alias("_size"), F.max("_mtime").alias("_mtime")]
     if all(p.broadcast for p in prepared):
         base_df = slim.withColumn("_n", F.lit(1).cast("long"))
     else:
-        base_df = slim.groupBy(*parts, *all_keys, "_in_scope").agg(F.count(F.lit(1)).alias("_n"))
+        base_df = slim.groupBy(*parts, *all_keys, "_in_scope", "_file").agg(F.count(F.lit(1)).alias("_n"), *of_file)
     specs = [KeySpec(p.df(spark), p.key_cols, p.match, p.broadcast, distinct=False) for p in prepared]
     flagged = flag_matches(base_df, specs, scope=F.col("_in_scope"))
     hit_cols = [f"_hit_{i}" for i in range(len(prepared))]
-    detail = (flagged.groupBy(*parts, "_hit", *hit_cols, *[F.when(F.col("_hit"), F.col(k)).alias(k) for k in all_keys])
-              .agg(F.sum("_n").alias("_n")))
+    detail = (flagged.groupBy(*parts, "_file", "_hit", *hit_cols, *[F.when(F.col("_hit"), F.col(k)).alias(k) for k in all_keys])
+              .agg(F.sum("_n").alias("_n"), *of_file))
     detail_path = f"{run_dir}/effect"
     if explain:
         res.plans["effect"] = _plan(detail)
@@ -439,20 +448,54 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
     if dry_run:
         return finish(STATUS_DRY_RUN)
 
+    # Files of the impacted partitions with their rows (from the effect pass), and the partitions' folders.
+    per_file = detail.groupBy(*parts, "_file").agg(
+        F.sum("_n").alias("rows_before"), F.sum(F.when(F.col("_hit"), F.col("_n")).otherwise(0)).alias("rows_deleted"), *of_file)
+    if parts:
+        per_file = per_file.where(spec_predicate(impacted_specs, parts))
+    per_file.write.mode("overwrite").parquet(f"{run_dir}/files")
+    files = spark.read.parquet(f"{run_dir}/files")
+    kept_bytes = F.col("_size") * (F.col("rows_before") - F.col("rows_deleted")) / F.col("rows_before")
+    folder_rows = (files.groupBy(*parts, folder_of(F.col("_file")).alias("_folder"))
+                   .agg(F.count(F.lit(1)).alias("files"), F.sum(kept_bytes).alias("bytes")).collect())   # bounded by partitions
+    known: dict = {}
+    for r in folder_rows:
+        known.setdefault(tuple(r[c] for c in parts), []).append(fs.from_uri(spark, r["_folder"]))
+    seen_folders = sorted({f for found in known.values() for f in found})
+    known = {k: v[0] for k, v in known.items() if len(v) == 1}
+    bins = _bins(spark, info, folder_rows, target_file_bytes, compact, limit) if strategy not in ("files", "direct", "side_full") else None
+    lap("files")
+
+    before_fp = files_fingerprint(files)
+
+    def unchanged() -> bool:
+        """Optimistic concurrency: the impacted partitions still hold exactly the files the effect pass read."""
+        return files_fingerprint(list_folders(spark, seen_folders)) == before_fp or changed_files(spark, files, seen_folders) == 0
+
     # Step 4: one pass over the impacted partitions (or the whole table).
     table_df = spark.table(info.name)
     if parts and strategy != "side_full":
         source = table_df.where(spec_predicate(impacted_specs, parts))
     else:
         source = table_df
-    rewritten = flag_matches(source, found_specs, scope_col)
     any_shuffle = not all(s.broadcast for s in found_specs)
     expected_kept = sum(r["rows_before"] - r["rows_deleted"] for r in res.impacted)
+    by_file = strategy == "files"
+    reading: dict = {}
+    if by_file:
+        source, reading, stage_rows = _matched_file_rows(source, files)
+    rewritten = flag_matches(source, found_specs, scope_col)
+    if by_file:
+        if any_shuffle:      # else every file is read, and so written, by one task
+            rewritten = rewritten.repartition(max(1, stage_rows["files"]), "_file")
+        rewritten = rewritten.withColumn(publish.OF_FILE, F.when(~F.col("_hit"), F.md5("_file")))
+    if bins is not None:
+        rewritten = publish.into_bins(rewritten, *bins)
 
     if strategy in SIDE_STRATEGIES:
         res.side_dir = side_dir or f"{base}/side_{run_id}"
         out = rewritten.where(~F.col("_hit")).select(*info.columns)
-        if rebalance or (rebalance is None and any_shuffle and parts):
+        if bins is None and (rebalance or (rebalance is None and any_shuffle and parts)):
             out = out.hint("rebalance", *parts)
         obs = Observation("side")                 # after the last exchange: exact (see write_split)
         out = out.observe(obs, F.count(F.lit(1)).alias("n"))
@@ -464,53 +507,58 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
         return finish(STATUS_SIDE, f"survivors written to {res.side_dir}")
 
     split = f"{run_dir}/split"
-    snap_specs = impacted_specs if parts else None
-    before_fp = files_fingerprint(spark, info.name, snap_specs, parts, refresh=False)   # the listing the effect read
-    want_rebalance = bool(rebalance) if rebalance is not None else (any_shuffle and bool(parts))
+    want_rebalance = not by_file and (bool(rebalance) if rebalance is not None else (any_shuffle and bool(parts)))
     if strategy == "direct" and parts:
         return _direct(spark, info, res, source, found_specs, scope_col, impacted_specs, expected_kept,
-                       before_fp, backup, base, run_id, want_rebalance, explain, lap, finish)
+                       unchanged, known, backup, base, run_id, want_rebalance, explain, lap, finish)
     if explain:
         res.plans["rewrite"] = _plan(rewritten)
-    got = publish.write_split(rewritten, split, info, rebalance=want_rebalance)
+    with session_conf(spark, **reading):
+        got = publish.write_split(rewritten, split, info, rebalance=want_rebalance and bins is None)
     lap("split_write")
-    want_kept = expected_kept if parts else res.rows_after
+    want_all = expected_kept if parts else res.rows_after
+    want_kept = stage_rows["kept"] if by_file else want_all
     if int(got["d"]) != res.rows_deleted or int(got["n"]) - int(got["d"]) != want_kept:
         publish.cleanup(spark, split)
         res.rows_after = res.rows_before
         return finish(STATUS_FAILED, f"rewrite counts {dict(got)} differ from the effect "
                                      f"({res.rows_deleted} deleted, {want_kept} kept): table changed, nothing published")
 
-    # Optimistic concurrency: the impacted partitions must still hold exactly the files we read.
-    if files_fingerprint(spark, info.name, snap_specs, parts) != before_fp:
+    stage_dir, swaps = publish.stage_path(split), f"{run_dir}/swaps"
+    problem = None if unchanged() else "impacted partitions changed while the purge ran"
+    if by_file and problem is None:
+        problem = _write_swaps(spark, files, stage_dir, swaps, parts, res.emptied)
+    if problem:
         publish.cleanup(spark, split)
         res.rows_after = res.rows_before
-        return finish(STATUS_FAILED, "impacted partitions changed while the purge ran; nothing published")
+        return finish(STATUS_FAILED, f"{problem}; nothing published")
     if backup:
         res.backup_dir = f"{base}/_BACKUP/backup_{run_id}"
-        if fs.exists(spark, res.backup_dir) or not fs.rename(spark, publish.deleted_path(split), res.backup_dir):
+        if fs.exists(spark, res.backup_dir) or not fs.rename(spark, publish.deleted_path(split, by_file), res.backup_dir):
             publish.cleanup(spark, split)
             res.rows_after = res.rows_before
             return finish(STATUS_FAILED, f"no backup could be put at {res.backup_dir}; nothing published")
-    stage_dir = publish.stage_path(split)
-    stage = read_stage(spark, stage_dir, info.schema) if want_kept > 0 else None
+    stage = read_stage(spark, stage_dir, info.schema) if want_kept > 0 and not by_file else None
 
     # Step 5: publish.
     trash, replaced = f"{run_dir}/replaced", []
-    old = publish.partition_locations(spark, info, surviving_specs) if strategy == "set_location" else []
+    old = publish.partition_locations(spark, info, surviving_specs, known) if strategy == "set_location" else []
     try:
-        _begin(spark, info, base, res, stage_dir, trash=trash, old=old)
-        if strategy == "dynamic" or not parts:
+        _begin(spark, info, base, res, stage_dir, trash=trash, old=old, swaps=swaps)
+        if by_file:
+            publish.publish_files(spark, spark.read.parquet(swaps))
+        elif strategy == "dynamic" or not parts:
             publish.publish_dynamic(spark, info, stage)
         elif strategy == "static":
             publish.publish_static(spark, info, stage, surviving_specs)
         elif strategy == "set_location":
-            replaced = publish.publish_set_location(spark, info, stage_dir, surviving_specs)
+            replaced = publish.publish_set_location(spark, info, stage_dir, surviving_specs, known)
         elif strategy == "move":
-            publish.publish_move(spark, info, stage_dir, surviving_specs, trash)
+            publish.publish_move(spark, info, stage_dir, surviving_specs, trash, known=known)
             replaced = [trash]
         lap("publish")
-        publish.drop_emptied(spark, info, res.emptied)
+        if parts:
+            publish.drop_emptied(spark, info, res.emptied, known)
         publish.refresh(spark, info)
         lap("drop_emptied")
     except Exception as exc:  # the journal, stage and backup stay: a rerun repairs the publish
@@ -521,9 +569,9 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
 
     if verify:
         now = publish.count_partitions(spark, info, impacted_specs if parts else None)
-        if now != want_kept:
+        if now != want_all:
             _ACTIVE.discard(run_id)
-            finish(STATUS_FAILED, f"after publish the impacted partitions hold {now} rows, expected {want_kept}")
+            finish(STATUS_FAILED, f"after publish the impacted partitions hold {now} rows, expected {want_all}")
             raise PurgeError(f"verification of {info.name} failed", res)
         lap("verify")
     for path in replaced:                          # the replaced folders hold the erased rows
@@ -531,14 +579,63 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
     if not backup:
         fs.delete(spark, publish.deleted_path(split))
     if strategy != "set_location":
-        publish.cleanup(spark, stage_dir)
+        publish.cleanup(spark, split)
     journal.end(spark, base, run_id)
     _ACTIVE.discard(run_id)
     return finish(STATUS_DONE)
 
 
+def _bins(spark: SparkSession, info: TableInfo, rows: list, target: int, compact: bool | None, limit: int) -> tuple | None:
+    """How many files each impacted partition should have, from the bytes that stay of its present ones:
+    (bins, partition columns, number of bins, whether the bins fit a broadcast); None to leave files as they fall."""
+    parts = info.partition_cols
+    if compact is False:
+        return None
+    found: dict = {}
+    for r in rows:
+        n, size = found.get(tuple(r[c] for c in parts), (0, 0.0))
+        found[tuple(r[c] for c in parts)] = n + r["files"], size + float(r["bytes"] or 0)
+    wanted = {k: max(1, -(-int(size) // target)) for k, (_, size) in found.items()}
+    total = sum(wanted.values())
+    if compact is None and sum(n for n, _ in found.values()) <= 2 * total:
+        return None
+    first, table = 0, []
+    for k, n in wanted.items():
+        table.append((*k, first, n))
+        first += n
+    schema = StructType([*[StructField(c, info.dtype(c), True) for c in parts], StructField("_first", LongType()), StructField("_bins", LongType())])
+    return spark.createDataFrame(table, schema), parts, total, len(table) * (64 + 32 * len(parts)) <= max(limit, HOT_KEYS_BYTES)
+
+
+def _matched_file_rows(source: DataFrame, files: DataFrame) -> tuple[DataFrame, dict, dict]:
+    """Rows of the files that hold a match, the settings under which one task reads a file whole, and what the files hold.
+    The filter is on file metadata, so other files are pruned from the listing and never opened."""
+    hit = files.where(F.col("rows_deleted") > 0)
+    paths = [r[0] for r in hit.select("_file").collect()]          # metadata: bounded by the number of files
+    sums = hit.agg(F.max("_size").alias("largest"), F.sum(F.col("rows_before") - F.col("rows_deleted")).alias("kept")).first()
+    rows = with_file(source.where(F.col("_metadata.file_path").isin(paths)))
+    reading = {"spark.sql.files.maxPartitionBytes": str(int(sums["largest"])), "spark.sql.files.minPartitionNum": "1"}
+    return rows, reading, {"files": len(paths), "kept": int(sums["kept"])}
+
+
+def _write_swaps(spark: SparkSession, files: DataFrame, stage_dir: str, path: str, parts: list[str], emptied: list[dict]) -> str | None:
+    """Which staged file replaces which file of the table (written: ``file``, ``staged``; NULL for a file without a row left).
+    Files of partitions that are dropped whole are left out. A text says what is wrong."""
+    staged = list_folders(spark, [stage_dir]).select(F.regexp_extract("file_path", f"/{publish.OF_FILE}=([0-9a-f]{{32}})/", 1).alias("_of"),
+                                                     F.col("file_path").alias("staged"))
+    hit = files.where(F.col("rows_deleted") > 0)
+    if parts and emptied:
+        hit = hit.where(~F.coalesce(spec_predicate(emptied, parts), F.lit(False)))
+    joined = hit.join(staged, F.md5("_file") == F.col("_of"), "left")
+    joined.select(F.col("_file").alias("file"), (F.col("rows_before") > F.col("rows_deleted")).alias("stays"), "staged") \
+        .write.mode("overwrite").parquet(path)
+    wrong = (spark.read.parquet(path).groupBy("file").agg(F.count("staged").alias("n"), F.first("stays").alias("stays"))
+             .where(F.col("n") != F.col("stays").cast("int")).count())
+    return f"{wrong} files were not rewritten to one file each" if wrong else None
+
+
 def _direct(spark, info: TableInfo, res: PurgeResult, source: DataFrame, found_specs, scope_col, specs,
-            expected_kept: int, before_fp, backup: bool, base: str, run_id: str, rebalance: bool, explain: bool,
+            expected_kept: int, unchanged, known: dict, backup: bool, base: str, run_id: str, rebalance: bool, explain: bool,
             lap, finish) -> PurgeResult:
     """``strategy="direct"``: survivors are written once, straight into the table.
 
@@ -567,7 +664,7 @@ def _direct(spark, info: TableInfo, res: PurgeResult, source: DataFrame, found_s
             res.backup_dir, res.rows_after = None, res.rows_before
             return finish(STATUS_FAILED, f"backup holds {n_backup} rows, the effect found {res.rows_deleted}: "
                                          "table changed, nothing published")
-    if files_fingerprint(spark, info.name, specs, parts) != before_fp:
+    if not unchanged():
         res.rows_after = res.rows_before
         return finish(STATUS_FAILED, "impacted partitions changed while the purge ran; nothing published")
     kept = flag_matches(spark.table(info.name).where(spec_predicate(specs, parts)), found_specs, scope_col) \
@@ -583,7 +680,7 @@ def _direct(spark, info: TableInfo, res: PurgeResult, source: DataFrame, found_s
         publish.publish_dynamic(spark, info, kept)
         lap("publish")
         emptied = [r["spec"] for r in res.impacted if r["rows_before"] == r["rows_deleted"]]
-        publish.drop_emptied(spark, info, emptied)
+        publish.drop_emptied(spark, info, emptied, known)
         publish.refresh(spark, info)
     except Exception as exc:
         _ACTIVE.discard(run_id)

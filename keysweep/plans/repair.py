@@ -54,6 +54,8 @@ def repair_record(spark: SparkSession, info: TableInfo, base: str, record: dict)
     if record["strategy"] == "move":
         publish.publish_move(spark, info, record["stage"], surviving, record["trash"], resume=True)
         replaced = [record["trash"]]
+    elif record["strategy"] == "files":
+        publish.publish_files(spark, spark.read.parquet(record["swaps"]))
     elif record["strategy"] == "set_location":
         publish.publish_set_location(spark, info, record["stage"], surviving)
     else:

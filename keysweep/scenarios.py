@@ -37,6 +37,7 @@ from keysweep.plans.purge import dry_run, purge_table
 from keysweep.plans.restore import restore_backup
 from keysweep.scratch import Scratch
 from keysweep.sources import catalog as C
+from keysweep.sources import files as L
 from keysweep.sources import keys as K
 from keysweep.sources.stage import read_backup, read_stage
 
@@ -314,8 +315,8 @@ def read_key_values(spark, d):                                 # S6 + F7
 
 
 # ---------------------------------------------------------------- catalog tables
-def _copy(spark, df, base, parts=(), external=False):
-    return Scratch(spark).table(df, base, list(parts), external=external)
+def _copy(spark, df, base, parts=(), external=False, **how):
+    return Scratch(spark).table(df, base, list(parts), external=external, **how)
 
 
 def scan_table(spark, d):                                      # S1
@@ -328,6 +329,38 @@ def scan_partitions(spark, d):                                 # S2, P5
     return C.scan_partitions(spark, t, specs)
 
 
+def returned_p(spark, d):
+    """Line items by ship month; those never returned are in the NULL partition."""
+    month = F.when(F.col("l_returnflag") != "N", F.date_format("l_shipdate", "yyyy-MM"))
+    return _t(spark, d, "lineitem").withColumn("ship_month", month)
+
+
+def scan_partitions_table(spark, d):                           # S2 with a table of specs, NULL among them
+    t = _copy(spark, returned_p(spark, d), "returned_p", ["ship_month"])
+    specs = _impacted_months(spark, d).unionAll(spark.createDataFrame([(None,)], "ship_month string"))
+    return C.scan_partitions(spark, t, specs)
+
+
+def survivors_in_null_partition(spark, d):                     # J5, J6 with a NULL partition
+    t = _copy(spark, returned_p(spark, d), "returned_p", ["ship_month"])
+    keys = k_q1_items(spark, d)
+    hit = M.match_keys(spark.table(t), keys, _LI_KEYS, ["ship_month"])
+    return M.survivors_in_partitions(spark.table(t), keys, hit.select("ship_month").distinct(), ["ship_month"], _LI_KEYS)
+
+
+def list_table_files(spark, d):                                # S14
+    t = _copy(spark, lineitem_p(spark, d), "lineitem_p", ["ship_month"])
+    month = F.regexp_extract("file_path", "/ship_month=([^/]+)/[^/]+[.]parquet$", 1)
+    return L.table_files(spark, t).groupBy(month.alias("ship_month")).agg(F.count(F.lit(1)).alias("files"))
+
+
+def list_matched_files(spark, d):                              # S14, A7 by file
+    t = _copy(spark, lineitem_p(spark, d), "lineitem_p", ["ship_month"])
+    found = L.matched_files(spark.table(t), k_returned_jan95(spark, d), _LI_KEYS, ["ship_month"])
+    folder = F.regexp_extract("file_path", "/(ship_month=[^/]+)/[^/]+[.]parquet$", 1)
+    return found.select("ship_month", folder.alias("folder"), "rows_before", "rows_deleted", "rows_after")
+
+
 def partition_list(spark, d):                                  # A10, F5
     t = _copy(spark, lineitem_p(spark, d), "lineitem_p", ["ship_month"])
     return C.partition_list(spark, t)
@@ -415,6 +448,28 @@ def purge_move(spark, d):                                      # O3 as a folder
     return _purged(spark, t)
 
 
+def purge_file_level(spark, d):                                # O1 by file: S14, W1, W5, W10
+    t = _copy(spark, lineitem_p(spark, d), "lineitem_p", ["ship_month"], spread=8, cluster_by=["l_orderkey"])
+    purge_table(spark, t, k_q1_items(spark, d), strategy="files")
+    return _purged(spark, t)
+
+
+def purge_plain_by_file(spark, d):                             # W5: a plain table by file
+    t = _copy(spark, _t(spark, d, "conversations"), "conversations_plain", spread=4, cluster_by=["conv_id"])
+    purge_table(spark, t, k_system_turns(spark, d), strategy="files")
+    return _purged(spark, t)
+
+
+def compact_on_rewrite(spark, d):                              # W16: files and rows of the rewritten partitions
+    t = _copy(spark, lineitem_p(spark, d), "lineitem_p", ["ship_month"], spread=6)
+    r = purge_table(spark, t, k_returned_jan95(spark, d))
+    months = [x["spec"]["ship_month"] for x in r.impacted]
+    month = F.regexp_extract("file_path", "/ship_month=([^/]+)/[^/]+[.]parquet$", 1)
+    files = L.table_files(spark, t, [x["spec"] for x in r.impacted], ["ship_month"]).groupBy(month.alias("ship_month")).agg(F.count(F.lit(1)).alias("files"))
+    rows = spark.table(t).where(F.col("ship_month").isin(months)).groupBy("ship_month").agg(F.count(F.lit(1)).alias("rows_after"))
+    return files.join(rows, "ship_month").select("ship_month", "files", "rows_after")
+
+
 def rebuild_impacted_side(spark, d):                           # O5, W12
     t = _copy(spark, lineitem_p(spark, d), "lineitem_p", ["ship_month"])
     r = purge_table(spark, t, k_returned_jan95(spark, d), strategy="side_impacted")
@@ -440,6 +495,7 @@ def restore_after_purge(spark, d):                             # O10
     return _purged(spark, t)
 
 
+_LI_KEYS = ["l_orderkey", "l_linenumber"]
 _AUDIT_COLS = ["status", "total_records_before_deletion", "total_records_deleted", "total_records_after_deletion",
                "keys_requested", "keys_rejected", "keys_found", "partitions_impacted", "partitions_emptied"]
 
@@ -503,7 +559,6 @@ def purge_manifest_move(spark, d):                             # O3 from a manif
 
 
 # ---------------------------------------------------------------- oracle SQL
-_LI_KEYS = ["l_orderkey", "l_linenumber"]
 _IMPACTED = (_with(t=SQL_TABLES["lineitem_p"], k=SQL_KEYS["returned_jan95"])
              + f"SELECT DISTINCT ship_month FROM t WHERE {_match_tuple(_LI_KEYS)}")
 _EFFECT = (_with(t=SQL_TABLES["lineitem_p"], k=SQL_KEYS["returned_jan95"])
@@ -521,6 +576,8 @@ _MANIFEST_AFTER = (
       "UNION ALL SELECT 'documents_p', count(*), CAST(sum(doc_id) AS BIGINT) FROM documents "
       "WHERE doc_id NOT IN (SELECT doc_id FROM x)")
 
+_RETURNED_P = "SELECT *, CASE WHEN l_returnflag <> 'N' THEN strftime(l_shipdate, '%Y-%m') END AS ship_month FROM lineitem"
+
 ORACLE_SQL: dict[str, str] = {
     "scan_matched": _matched_sql("orders", "automobile", ["o_custkey"]),
     "scan_matched_keys": _with(t=SQL_TABLES["orders_p"], k=SQL_KEYS["automobile"])
@@ -559,6 +616,18 @@ ORACLE_SQL: dict[str, str] = {
     "read_key_values": f"SELECT DISTINCT o_custkey FROM ({SQL_KEYS['automobile']})",
     "scan_table": SQL_TABLES["orders_p"],
     "scan_partitions": _with(t=SQL_TABLES["lineitem_p"]) + f"SELECT * FROM t WHERE ship_month IN ({_IMPACTED})",
+    "scan_partitions_table": _with(t=_RETURNED_P) + f"SELECT * FROM t WHERE ship_month IN ({_IMPACTED}) OR ship_month IS NULL",
+    "survivors_in_null_partition": _with(t=_RETURNED_P, k=SQL_KEYS["q1_items"])
+    + "SELECT * FROM t WHERE EXISTS (SELECT 1 FROM t m WHERE m.ship_month IS NOT DISTINCT FROM t.ship_month "
+      "AND EXISTS (SELECT 1 FROM k WHERE k.l_orderkey = m.l_orderkey AND k.l_linenumber = m.l_linenumber)) "
+      f"AND {_survive_tuple(_LI_KEYS)}",
+    "list_table_files": "SELECT strftime(l_shipdate, '%Y-%m') AS ship_month, CAST(1 AS BIGINT) AS files FROM lineitem "
+                        "GROUP BY strftime(l_shipdate, '%Y-%m')",
+    "list_matched_files": f"SELECT ship_month, 'ship_month=' || ship_month AS folder, rows_before, rows_deleted, rows_after FROM ({_EFFECT}) "
+                          "WHERE rows_deleted > 0",
+    "purge_file_level": _survivors_sql("lineitem_p", "q1_items", _LI_KEYS),
+    "purge_plain_by_file": _survivors_sql("conversations", "system_turns", ["conv_id", "turn"]),
+    "compact_on_rewrite": f"SELECT ship_month, CAST(1 AS BIGINT) AS files, rows_after FROM ({_EFFECT}) WHERE rows_deleted > 0 AND rows_after > 0",
     "partition_list": "SELECT DISTINCT 'ship_month=' || strftime(l_shipdate, '%Y-%m') AS partition, "
                       "'ship_month' AS partition_column FROM lineitem",
     "purge_single_key": _survivors_sql("orders_p", "automobile", ["o_custkey"]),

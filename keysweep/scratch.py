@@ -27,12 +27,19 @@ class Scratch:
     def path(self, name: str) -> str:
         return f"{self.root}/scratch/{name}_{uuid.uuid4().hex[:8]}"
 
-    def table(self, df: DataFrame, base: str, partition_by: list[str] | tuple = (), external: bool = False) -> str:
-        """Write ``df`` as a new catalog table; one file per partition value
+    def table(self, df: DataFrame, base: str, partition_by: list[str] | tuple = (), external: bool = False,
+              spread: int | None = None, cluster_by: list[str] | None = None) -> str:
+        """Write ``df`` as a new catalog table; one file per partition value, or with ``spread`` up to that many
+        (rows dealt by ranges of ``cluster_by``, or by hash)
         (setup only: the copy is sized for tests, not part of a purge)."""
         name = f"{self.database}.{base}_{uuid.uuid4().hex[:8]}"
         parts = list(partition_by)
-        out = df.repartition(*parts) if parts else df
+        if spread and cluster_by:
+            out = df.repartitionByRange(spread, *cluster_by)
+        elif spread:
+            out = df.repartition(spread, *[c for c in df.columns if c not in parts][:2])
+        else:
+            out = df.repartition(*parts) if parts else df
         w = out.write.format("parquet").mode("error")
         if parts:
             w = w.partitionBy(*parts)

@@ -5,6 +5,9 @@ Only paths are handled here; no data passes through the driver.
 
 from __future__ import annotations
 
+from collections import deque
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import SparkSession
 
 
@@ -37,6 +40,30 @@ def rename(spark: SparkSession, src: str, dst: str) -> bool:
     return bool(fs.rename(s, d))
 
 
+def replace(spark: SparkSession, src: str, dst: str) -> None:
+    """Rename a file over another one. On HDFS one atomic step: a reader finds the old file or the new one."""
+    jvm = spark._jvm
+    s, fs = _path(spark, src)
+    d, _ = _path(spark, dst)
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration()).rename(s, d, how)
+
+
+def in_parallel(call, items, workers: int = 16) -> None:
+    """``call(item)`` for every item, on a few driver threads (each call waits for the name node, not for this process);
+    items are drawn as they are needed. The first error is raised when the calls under way have ended."""
+    with ThreadPoolExecutor(workers) as pool:
+        waiting: deque = deque()
+        for item in items:
+            waiting.append(pool.submit(call, item))
+            if len(waiting) >= 4 * workers:
+                waiting.popleft().result()
+        for done in waiting:
+            done.result()
+
+
 def from_uri(spark: SparkSession, uri: str) -> str:
     """The path of a URL-encoded file name such as ``_metadata.file_path``."""
     jvm = spark._jvm

@@ -14,28 +14,47 @@ complete and counted):
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from keysweep.functions.text import partition_path, partition_spec_sql, quote_ident, sql_literal
+from keysweep.functions.text import NULL_PARTITION_DIR, partition_path, partition_spec_sql, quote_ident, sql_literal
 from keysweep.session import session_conf
 from keysweep.sinks import fs
 from keysweep.sinks.observe import observed
 from keysweep.sources.catalog import TableInfo, spec_predicate
 
 DELETED = "_deleted"
+OF_FILE = "_of_file"
 DYNAMIC = {"spark.sql.sources.partitionOverwriteMode": "dynamic"}
 
 
+def into_bins(rows: DataFrame, bins: DataFrame, partition_cols: list[str], total: int, broadcast: bool) -> DataFrame:
+    """Deal rows into the bins of their partition (``bins``: partition, ``_first``, ``_bins``), a task for each bin.
+
+    A row's bin comes from a hash of its values, so a task that runs again writes the same rows; with
+    ``repartitionById`` no two bins share a task, so a partition gets at most ``_bins`` files, and a
+    partition of any size is spread over as many tasks as its bytes need."""
+    cols = rows.columns
+    named = bins.select(*[F.col(c).alias(f"_of_{i}") for i, c in enumerate(partition_cols)], "_first", "_bins")
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_of_{i}")) for i, c in enumerate(partition_cols)], F.lit(True))
+    joined = rows.join(F.broadcast(named) if broadcast else named, same, "left")
+    atomic = [c for c in cols if rows.schema[c].dataType.typeName() not in ("map", "array", "struct", "variant")]
+    own = F.coalesce(F.col("_first") + F.pmod(F.xxhash64(*atomic), F.col("_bins")), F.lit(0)).cast("int")
+    return joined.withColumn("_bin", own).repartitionById(total, "_bin").select(*cols)
+
+
 def write_split(flagged: DataFrame, path: str, info: TableInfo, rebalance: bool = False) -> dict:
     """W1 + W3 in one write: rows of the impacted partitions, split by ``_deleted``.
 
     Partitioned by ``_deleted`` and then the table's own partition columns
-    (W2: just ``_deleted`` for a non-partitioned table). ``rebalance`` adds a
-    REBALANCE on the partition columns (W16) so a shuffle-join output does not
-    write one small file per task and partition.
+    (W2: just ``_deleted`` for a non-partitioned table); with an ``OF_FILE`` column (rewrite by file) survivors lie
+    below their file's folder. ``rebalance`` adds a REBALANCE on the partition columns so a shuffle-join output
+    does not write one small file per task and partition.
     """
-    out = flagged.select(*info.columns, F.col("_hit").alias(DELETED))
+    of_file = [OF_FILE] if OF_FILE in flagged.columns else []
+    out = flagged.select(*info.columns, F.col("_hit").alias(DELETED), *of_file)
     if rebalance:
         out = out.hint("rebalance", DELETED, *info.partition_cols)
     # Observed after the last exchange, i.e. in the write's result stage, where
@@ -43,7 +62,7 @@ def write_split(flagged: DataFrame, path: str, info: TableInfo, rebalance: bool
     obs = Observation("split")
     out = out.observe(obs, F.count(F.lit(1)).alias("n"), F.count_if(F.col(DELETED)).alias("d"))
     (out.write.mode("overwrite").format("parquet")
-        .partitionBy(DELETED, *info.partition_cols).save(path))
+        .partitionBy(DELETED, *of_file, *info.partition_cols).save(path))
     return observed(obs, n=0, d=0)
 
 
@@ -51,8 +70,8 @@ def stage_path(split_path: str) -> str:
     return f"{split_path}/{DELETED}=false"
 
 
-def deleted_path(split_path: str) -> str:
-    return f"{split_path}/{DELETED}=true"
+def deleted_path(split_path: str, by_file: bool = False) -> str:
+    return f"{split_path}/{DELETED}=true" + (f"/{OF_FILE}={NULL_PARTITION_DIR}" if by_file else "")
 
 
 def refresh(spark: SparkSession, info: TableInfo) -> None:
@@ -63,7 +82,7 @@ def refresh(spark: SparkSession, info: TableInfo) -> None:
 DROP_BATCH = 500
 
 
-def drop_emptied(spark: SparkSession, info: TableInfo, specs: list[dict]) -> list[str]:
+def drop_emptied(spark: SparkSession, info: TableInfo, specs: list[dict], known: dict | None = None) -> list[str]:
     """W4 + W18 for partitions that lost every row.
 
     Dynamic overwrite never touches such a partition, so it would keep its
@@ -77,7 +96,7 @@ def drop_emptied(spark: SparkSession, info: TableInfo, specs: list[dict]) -> lis
     """
     if not specs:
         return []
-    locations = partition_locations(spark, info, specs)
+    locations = partition_locations(spark, info, specs, known)
     for i in range(0, len(specs), DROP_BATCH):
         chunk = specs[i:i + DROP_BATCH]
         body = ", ".join(f"PARTITION ({partition_spec_sql(spec)})" for spec in chunk)
@@ -135,14 +154,15 @@ def publish_static(spark: SparkSession, info: TableInfo, stage: DataFrame | None
         spark.catalog.dropTempView(view)
 
 
-def partition_locations(spark: SparkSession, info: TableInfo, specs: list[dict]) -> list[str | None]:
-    """Folder of each listed (non-empty) partition, in one metadata-only job:
-    the parent directory of the partition's data files. A partition whose
-    files sit in more than one folder, or that has none, is looked up in the
-    catalog instead."""
+def partition_locations(spark: SparkSession, info: TableInfo, specs: list[dict], known: dict | None = None) -> list[str | None]:
+    """Folder of each listed (non-empty) partition: the parent directory of the partition's data files, as a purge's
+    effect pass has ``known`` it, else from one pass over the partitions' rows that reads no column of them. A partition
+    whose files sit in more than one folder, or that has none, is looked up in the catalog instead."""
     if not specs:
         return []
     parts = info.partition_cols
+    if known is not None:
+        return [known.get(tuple(spec[c] for c in parts)) or partition_location(spark, info, spec) for spec in specs]
     folders = (spark.table(info.name).where(spec_predicate(specs, parts))
                .select(*parts, F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("_dir"))
                .groupBy(*parts).agg(F.min("_dir").alias("_dir"), F.count_distinct("_dir").alias("_n")))
@@ -156,7 +176,8 @@ def partition_location(spark: SparkSession, info: TableInfo, spec: dict) -> str
     return rows[0][0] if rows else None
 
 
-def publish_set_location(spark: SparkSession, info: TableInfo, stage_dir: str, specs: list[dict]) -> list[str]:
+def publish_set_location(spark: SparkSession, info: TableInfo, stage_dir: str, specs: list[dict],
+                         known: dict | None = None) -> list[str]:
     """Zero-copy publish -- each surviving impacted partition is pointed at
     its staged directory. The stage becomes table data and must never be cleaned up.
 
@@ -164,7 +185,7 @@ def publish_set_location(spark: SparkSession, info: TableInfo, stage_dir: str, s
     deletes them once the published rows are verified.
     """
     replaced = []
-    for spec, old in zip(specs, partition_locations(spark, info, specs)):
+    for spec, old in zip(specs, partition_locations(spark, info, specs, known)):
         new = f"{stage_dir}/{partition_path(spark, spec)}"
         spark.sql(f"ALTER TABLE {info.quoted} PARTITION ({partition_spec_sql(spec)}) "
                   f"SET LOCATION '{fs.qualify(spark, new)}'")
@@ -174,20 +195,22 @@ def publish_set_location(spark: SparkSession, info: TableInfo, stage_dir: str, s
 
 
 def publish_move(spark: SparkSession, info: TableInfo, stage_dir: str, specs: list[dict], trash_dir: str,
-                 resume: bool = False) -> None:
+                 resume: bool = False, known: dict | None = None) -> None:
     """W10 as a file move: each surviving impacted partition's staged folder
     replaces the partition's own folder (rename old -> trash, stage -> old
     location), so the catalog entry stays valid and no second copy is
     written. The replaced folders hold the erased rows; the caller deletes
     ``trash_dir`` once the published rows are verified. With ``resume``, partitions
     whose staged folder is gone were swapped by an earlier attempt.
-    Renames are metadata operations on HDFS; on object stores they copy.
+    Renames are metadata operations on HDFS; on object stores they copy. Partitions
+    are swapped by several threads, each one on its own.
     """
-    for spec, loc in zip(specs, partition_locations(spark, info, specs)):
+    def swap(item) -> None:
+        spec, loc = item
         rel = partition_path(spark, spec)
         staged = f"{stage_dir}/{rel}"
         if resume and not fs.exists(spark, staged):
-            continue
+            return
         if not loc or not fs.exists(spark, staged):
             raise RuntimeError(f"cannot move partition {spec}: location {loc}, stage {staged}")
         # an attempt that broke off between the two renames left the old folder in the trash
@@ -197,6 +220,22 @@ def publish_move(spark: SparkSession, info: TableInfo, stage_dir: str, specs: li
             fs.rename(spark, f"{trash_dir}/{rel}", loc)          # put the old data back
             raise RuntimeError(f"could not move {staged} to {loc}")
 
+    fs.in_parallel(swap, zip(specs, partition_locations(spark, info, specs, known)))
+
+
+def publish_files(spark: SparkSession, swaps: DataFrame) -> None:
+    """W5 / W10 by file: each rewritten file replaces the file it was made from, under the same name; a file that lost every
+    row is deleted. A replacement is one rename over the old file: readers find either, never neither or both.
+    ``swaps`` (written: URIs ``file``, ``staged`` or NULL) also serves a repeated run: a staged file that is gone was put in place."""
+    def swap(row) -> None:
+        file = fs.from_uri(spark, row["file"])
+        if row["staged"] is None:
+            fs.delete(spark, file)
+        elif fs.exists(spark, staged := fs.from_uri(spark, row["staged"])):
+            fs.replace(spark, staged, file)
+
+    fs.in_parallel(swap, swaps.select("file", "staged").toLocalIterator())
+
 
 def append(spark: SparkSession, info: TableInfo, rows: DataFrame) -> None:
     """W6 / W7 (restore): append through the catalog; new partitions are registered."""
@@ -219,4 +258,4 @@ def cleanup(spark: SparkSession, path: str) -> bool:
 
 __all__ = ["write_split", "stage_path", "deleted_path", "refresh", "drop_emptied", "publish_dynamic",
            "publish_static", "publish_set_location", "append", "count_partitions", "cleanup",
-           "partition_location", "partition_locations", "publish_move", "remove_folder"]
+           "partition_location", "partition_locations", "publish_move", "publish_files", "into_bins", "remove_folder"]

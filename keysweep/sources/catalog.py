@@ -1,4 +1,4 @@
-"""Catalog lookups and scans of a target table.
+"""Catalog lookups and scans of a target table.
 
 Everything here asks the catalog, never the file system layout: partition
 columns come with all their levels and types, and scans go through
@@ -8,6 +8,7 @@ are Catalyst's.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -16,6 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from keysweep.functions.text import quote_ident, split_partition
+from keysweep.operators.match import rows_in_partitions
+
+SESSION_CATALOG = "spark_catalog"
 
 
 @dataclass
@@ -45,11 +49,21 @@ class TableInfo:
         return f"{quote_ident(self.database)}.{quote_ident(self.table)}"
 
 
+_NAME_PART = re.compile(r"`((?:[^`]|``)*)`|([^.`]+)")
+
+
 def _split_name(spark: SparkSession, name: str) -> tuple[str, str]:
-    if "." in name:
-        db, tbl = name.split(".", 1)
-        return db.strip("`"), tbl.strip("`")
-    return spark.catalog.currentDatabase(), name
+    """Database and table of ``table``, ``db.table`` or ``catalog.db.table`` (the session's own catalog only);
+    parts may be quoted with back-quotes."""
+    parts = [(quoted.replace("``", "`") if whole.startswith("`") else plain)
+             for whole, quoted, plain in ((m.group(0), m.group(1), m.group(2)) for m in _NAME_PART.finditer(name))]
+    if len(parts) == 3:
+        if parts[0] != SESSION_CATALOG:
+            raise ValueError(f"{name}: tables of catalog {parts[0]} are not purged, only those of {SESSION_CATALOG}")
+        parts = parts[1:]
+    if not 1 <= len(parts) <= 2:
+        raise ValueError(f"{name!r} is no table name")
+    return (parts[0], parts[1]) if len(parts) == 2 else (spark.catalog.currentDatabase(), parts[0])
 
 
 def partition_columns(spark: SparkSession, name: str) -> list[str]:
@@ -137,50 +151,21 @@ def spec_predicate(specs: list[dict], partition_cols: list[str]) -> Column:
     return reduce(lambda a, b: a | b, terms)
 
 
-def scan_partitions(spark: SparkSession, name: str, specs: list[dict],
-                    partition_cols: list[str] | None = None) -> DataFrame:
-    """Only the listed partitions (literal specs, so pruning is certain)."""
+def scan_partitions(spark: SparkSession, name: str, specs: list[dict] | DataFrame,
+                    partition_cols: list[str] | None = None, broadcast_specs: bool | None = None) -> DataFrame:
+    """Only the listed partitions. A list becomes literals (static pruning); a table of specs stays
+    one: it is joined and prunes when the query runs, so no literal per partition passes through the driver."""
     parts = partition_cols if partition_cols is not None else partition_columns(spark, name)
     df = spark.table(name)
     if not parts:
         return df
+    if isinstance(specs, DataFrame):
+        return rows_in_partitions(df, specs, parts, broadcast_specs)
     return df.where(spec_predicate(specs, parts))
 
 
 def partition_list(spark: SparkSession, name: str) -> DataFrame:
     """A10: ``SHOW PARTITIONS`` as a DataFrame (column ``partition``), plus the column name."""
-    return (spark.sql(f"SHOW PARTITIONS {name}").distinct()
+    db, tbl = _split_name(spark, name)
+    return (spark.sql(f"SHOW PARTITIONS {quote_ident(db)}.{quote_ident(tbl)}").distinct()
             .withColumn("partition_column", split_partition("partition")))
-
-
-def files_fingerprint(spark: SparkSession, name: str, specs: list[dict] | None,
-                      partition_cols: list[str], refresh: bool = True) -> tuple[int, int]:
-    """(number of files, hash of their paths, sizes and modification times)
-    for the listed partitions (whole table when ``specs`` is None).
-
-    Files are immutable, so an unchanged fingerprint means unchanged data.
-    Only file metadata is read (no data columns). With ``refresh`` the table
-    is re-listed first: other applications' writes are not in this session's
-    cached listing. Without it, the fingerprint is of the listing this session
-    already uses (e.g. the one a purge read).
-    """
-    if refresh:
-        spark.catalog.refreshTable(name)
-    df = spark.table(name)
-    if partition_cols and specs is not None:
-        df = df.where(spec_predicate(specs, partition_cols))
-    m = "_metadata"
-    files = df.select(F.col(f"{m}.file_path").alias("p"), F.col(f"{m}.file_size").alias("s"),
-                      F.col(f"{m}.file_modification_time").alias("t")).distinct()
-    row = files.agg(F.count(F.lit(1)).alias("n"),
-                    F.sum(F.pmod(F.xxhash64("p", "s", "t"), F.lit(2147483647))).alias("h")).first()
-    return int(row["n"]), int(row["h"] or 0)
-
-
-def data_files(df: DataFrame) -> DataFrame:
-    """Distinct data files behind a DataFrame read from a file table.
-
-    Applied after a semi-join it lists only files that hold matched rows.
-    Nested stage or backup folders are never part of a catalog scan.
-    """
-    return df.select(F.col("_metadata.file_path").alias("file_path")).distinct()
