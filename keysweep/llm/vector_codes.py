@@ -29,6 +29,7 @@ ignored; a table without kept rows gives no rows.
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -46,11 +47,11 @@ LIMB = 31
 
 
 def whole_numbers(values: np.ndarray) -> np.ndarray:
-    """floor(256 x) of finite doubles: 64-bit integers, or Python integers where one is beyond 2^53."""
+    """floor(256 x) of finite doubles: 64-bit integers, or Python integers where one has 53 bits or more."""
     scaled = np.abs(values) < 2.0**45
     if scaled.all():
         return np.floor(values * 256).astype(np.int64)
-    exact = [int(np.floor(x * 256)) if ok else int(x) * 256 for x, ok in zip(values.ravel(), scaled.ravel())]
+    exact = [math.floor(x * 256) if abs(x) < 2.0**1000 else int(x) * 256 for x in values.ravel().tolist()]
     return np.array(exact, object).reshape(values.shape)
 
 
