@@ -46,11 +46,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import slices
+from .token_codes import PieceCache
 
 NEVER = 1 << 62
-BLOCK = 1 << 18  # code points encoded at once
-CACHE_PIECES, CACHE_PAIRS, LONGEST_CACHED = 150_000, 300_000, 256
-SHORT = 64  # bytes of a piece whose prefixes are worked out on demand
+BLOCK = 1 << 19  # code points encoded at once
+SHORT = 64  # bytes of a piece that is worked out together with others
+CACHE_HEADS, CACHE_WORDS, CACHE_PAIRS, PAIR_BITS = 50_000, 500_000, 300_000, 18
 
 
 class Vocabulary:
@@ -74,6 +75,11 @@ class Vocabulary:
                     node = self.step[key] = len(self.ends)
                     self.ends.append(-1)
             self.ends[node] = rank
+        keys = np.fromiter(self.step, np.int64, len(self.step))
+        order = np.argsort(keys)
+        self._keys, self._next = keys[order], np.fromiter(self.step.values(), np.int64, len(keys))[order]
+        self._ends, self._sizes = np.array(self.ends), np.array([len(t) for t in self.tokens])
+        self._seen = np.full(1 << PAIR_BITS, -1), np.zeros(1 << PAIR_BITS, bool)
         self._right: dict[int, tuple[int, ...]] = {}
         self._left: dict[int, tuple[int, ...]] = {}
         self._pairs: dict[int, bool] = {}
@@ -150,34 +156,80 @@ class Vocabulary:
                     last.append(token)
                     break
 
-    def ids(self, data: bytes) -> list[int]:
-        """Ids of a piece: of its prefixes, only those are worked out that the way back from its end asks for."""
-        if len(data) > SHORT:
-            last: list[int] = []
-            self.extend(data, last)
-            return self.walk(last)
-        out, at, last = [], len(data), [-1] * (len(data) + 1)
-        while at:
-            token = self._last(data, at, last)
-            out.append(token)
-            at -= len(self.tokens[token])
-        return out[::-1]
-
-    def _last(self, data: bytes, at: int, last: list[int]) -> int:
-        """The last token of the prefix of length ``at``, kept in ``last``."""
-        if last[at] < 0:
-            step, ends, node, fits = self.step, self.ends, 0, []
-            for j in range(at - 1, -1, -1):
-                node = step.get(node << 8 | data[j], 0)
-                if not node:
-                    break
-                if ends[node] >= 0:
-                    fits.append((j, ends[node]))
-            for j, token in reversed(fits):
-                if j == 0 or self.may_follow(self._last(data, j, last), token):
-                    last[at] = token
-                    break
-        return last[at]
+    def ids(self, pieces: list[bytes]) -> list[list[int]]:
+        """Ids of many pieces. The last tokens of all short ones are worked out together, one prefix length at a time."""
+        out: list[list[int]] = [[]] * len(pieces)
+        short = [i for i, p in enumerate(pieces) if 0 < len(p) <= SHORT]
+        for i, p in enumerate(pieces):
+            if len(p) > SHORT:
+                last: list[int] = []
+                self.extend(p, last)
+                out[i] = self.walk(last)
+        if short:
+            sizes = np.array([len(pieces[i]) for i in short])
+            last = self._last_tokens(np.frombuffer(b"".join(pieces[i] for i in short), np.uint8).astype(np.int64), sizes)
+            ends = np.cumsum(sizes)
+            starts, at, piece, found = ends - sizes, ends - 1, np.arange(len(short)), []
+            while len(piece):  # all pieces walk back side by side
+                token = last[at]
+                found.append((piece, token))
+                at = at - self._sizes[token]
+                piece, at = piece[at >= starts[piece]], at[at >= starts[piece]]
+            piece, token = np.concatenate([f[0] for f in found[::-1]]), np.concatenate([f[1] for f in found[::-1]])
+            ids = token[np.argsort(piece, kind="stable")].tolist()
+            edges = np.concatenate(([0], np.cumsum(np.bincount(piece, minlength=len(short))))).tolist()
+            for k, i in enumerate(short):
+                out[i] = ids[edges[k] : edges[k + 1]]
+        return out
+
+    def _last_tokens(self, data: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The last token of every prefix of pieces that lie one after another in ``data``."""
+        n = len(data)
+        length = np.arange(1, n + 1) - np.repeat(np.cumsum(sizes) - sizes, sizes)  # of the prefix that ends here
+        ends_at, node, fits = np.arange(n), np.zeros(n, np.int64), []
+        for back in range(self.longest):  # down the trie of reversed tokens from every end
+            key = node << 8 | data[ends_at - back]
+            place = np.minimum(np.searchsorted(self._keys, key), len(self._keys) - 1)
+            there = self._keys[place] == key
+            ends_at, node = ends_at[there], self._next[place[there]]
+            token = self._ends[node]
+            is_token = token >= 0
+            fits.append((ends_at[is_token], np.full(int(is_token.sum()), back + 1), token[is_token]))
+            more = length[ends_at] > back + 1
+            ends_at, node = ends_at[more], node[more]
+            if not len(ends_at):
+                break
+        at, size, token = (np.concatenate([f[k] for f in fits[::-1]]) for k in range(3))  # longest first
+        order = np.argsort(at, kind="stable")
+        size, token = size[order], token[order]
+        first = np.searchsorted(at[order], np.arange(n))
+        last = np.full(n, -1)
+        by_length = np.argsort(length, kind="stable")
+        edges = np.searchsorted(length[by_length], np.arange(1, int(length.max()) + 2))
+        for lo, hi in zip(edges[:-1], edges[1:]):
+            rest, choice = by_length[lo:hi], 0
+            while len(rest):  # a prefix has exactly one fitting token
+                c = first[rest] + choice
+                t, whole = token[c], size[c] == length[rest]
+                fit = whole.copy()
+                fit[~whole] = self._may_follow(last[rest[~whole] - size[c[~whole]]], t[~whole])
+                last[rest[fit]] = t[fit]
+                rest, choice = rest[~fit], choice + 1
+        return last
+
+    def _may_follow(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """``may_follow`` of many pairs, through a table that keeps the pair it met last in each slot."""
+        keys, known = self._seen
+        key = first << 32 | second
+        slot = key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - PAIR_BITS)
+        new = np.flatnonzero(keys[slot] != key)
+        out = known[slot]
+        if len(new):
+            pairs, inverse = np.unique(key[new], return_inverse=True)
+            fresh = np.fromiter((self.may_follow(int(p) >> 32, int(p) & 0xFFFFFFFF) for p in pairs), bool, len(pairs))
+            out[new] = fresh[inverse]
+            keys[slot[new]], known[slot[new]] = key[new], fresh[inverse]
+        return out
 
     def walk(self, last, at: int | None = None) -> list[int]:
         """Ids of the prefix of length ``at`` (all) from its last tokens."""
@@ -254,21 +306,6 @@ class Splitter:
         return self.pattern.findall(text) if shown is text else [text[a:b] for a, b in self.cuts(text)]
 
 
-class Ids(dict):
-    """Ids of strings as ``make`` has them, in a dict of bounded size."""
-
-    def __init__(self, make):
-        self.make = make
-
-    def __missing__(self, key: str) -> list[int]:
-        ids = self.make(key)
-        if len(key) <= LONGEST_CACHED:
-            if len(self) >= CACHE_PIECES:
-                self.clear()
-            self[key] = ids
-        return ids
-
-
 #: A space between two other characters that are not white space: a piece always starts there.
 LONE = re.compile(r" (?<=\S )(?=\S)")
 
@@ -286,18 +323,43 @@ def blocks(text: str) -> Iterator[str]:
 class Coder:
     def __init__(self, path: str, pattern: str):
         self.vocabulary, self.splitter = Vocabulary(path), Splitter(pattern)
-        self.of_piece = Ids(lambda piece: self.vocabulary.ids(piece.encode("utf-8")))
-        self.of_word = Ids(lambda word: self.run(" " + word))
+        self.heads, self.words = PieceCache(self.encode, CACHE_HEADS), PieceCache(lambda words: self.encode([" " + w for w in words]), CACHE_WORDS)
         self.names = [str(i) for i in range(len(self.vocabulary.tokens))]
 
-    def run(self, text: str) -> list[int]:
-        return list(chain.from_iterable(map(self.of_piece.__getitem__, self.splitter.pieces(text))))
-
-    def parts(self, text: str | None) -> Iterator[list[int]]:
-        """The ids of ``text``, a block at a time."""
-        for block in blocks(text or ""):
-            first, *words = LONE.split(block)
-            yield self.run(first) + list(chain.from_iterable(map(self.of_word.__getitem__, words)))
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        """Ids of each text, all their distinct pieces together."""
+        cut = [self.splitter.pieces(t) for t in texts]
+        pieces = list(dict.fromkeys(chain.from_iterable(cut)))
+        ids = dict(zip(pieces, self.vocabulary.ids([p.encode("utf-8") for p in pieces])))
+        return [ids[c[0]] if len(c) == 1 else list(chain.from_iterable(map(ids.__getitem__, c))) for c in cut]
+
+    def parts(self, texts: list[str | None]) -> Iterator[tuple[int, np.ndarray]]:
+        """(place of the text, ids) in order; a long text in several parts. Words between lone spaces come from a table."""
+        group, size = [], 0
+
+        def flush():
+            heads, n_heads = self.heads.ids([words[0] for _, words in group])
+            ids, sizes = self.words.ids([w for _, words in group for w in words[1:]])
+            edges = np.concatenate(([0], np.cumsum(sizes)))[np.cumsum([0, *(len(words) - 1 for _, words in group)])]
+            at = np.concatenate(([0], np.cumsum(n_heads)))
+            for k, (i, _) in enumerate(group):
+                yield i, np.concatenate((heads[at[k] : at[k + 1]], ids[edges[k] : edges[k + 1]]))
+
+        for i, text in enumerate(texts):
+            for block in blocks(text or ""):
+                group.append((i, LONE.split(block)))
+                size += len(block)
+                if size >= BLOCK:
+                    yield from flush()
+                    group, size = [], 0
+        if group:
+            yield from flush()
+
+    def ids(self, texts: list[str | None]) -> list[np.ndarray]:
+        found: list[list[np.ndarray]] = [[] for _ in texts]
+        for i, ids in self.parts(texts):
+            found[i].append(ids)
+        return [np.concatenate(f) if f else np.empty(0, np.uint32) for f in found]
 
     def decoded(self, ids: list[int]) -> bytes:
         return b"".join(map(self.vocabulary.tokens.__getitem__, ids))
@@ -361,17 +423,13 @@ def _digests(path: str, pattern: str):
         c = coder(path, pattern)
         for batch in batches:
             for rows in slices(batch, "text", rows=512, size=1 << 22):
-                counts, ids_sha, decoded_sha = [], [], []
-                for text in rows.column("text").to_pylist():
-                    n, ids_hash, decoded_hash = 0, hashlib.sha256(), hashlib.sha256()
-                    for ids in c.parts(text):
-                        ids_hash.update(("," if n else "").encode() + ",".join(map(c.names.__getitem__, ids)).encode())
-                        decoded_hash.update(c.decoded(ids))
-                        n += len(ids)
-                    counts.append(n)
-                    ids_sha.append(ids_hash.hexdigest())
-                    decoded_sha.append(decoded_hash.hexdigest())
-                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(decoded_sha, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                made = [[0, hashlib.sha256(), hashlib.sha256()] for _ in range(len(rows))]
+                for i, part in c.parts(rows.column("text").to_pylist()):
+                    ids, row = part.tolist(), made[i]
+                    row[1].update(("," if row[0] and ids else "").encode() + ",".join(map(c.names.__getitem__, ids)).encode())
+                    row[2].update(c.decoded(ids))
+                    row[0] += len(ids)
+                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array([m[0] for m in made], pa.int64()), *(pa.array([m[k].hexdigest() for m in made], pa.string()) for k in (1, 2))], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return run
 
@@ -387,7 +445,7 @@ def _encode(path: str, pattern: str):
         c = coder(path, pattern)
         for batch in batches:
             for rows in slices(batch, "text", rows=512, size=1 << 22):
-                ids = [list(chain.from_iterable(c.parts(t))) for t in rows.column("text").to_pylist()]
+                ids = [x.astype(np.int32) for x in c.ids(rows.column("text").to_pylist())]
                 yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
     return run

@@ -45,7 +45,7 @@ def samples(seed, n, longest=40):
 
 
 def ids_of(coder, text):
-    return [i for part in coder.parts(text) for i in part]
+    return coder.ids([text])[0].tolist()
 
 
 def test_ids_are_the_librarys(coder, library):
