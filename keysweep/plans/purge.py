@@ -32,7 +32,8 @@ overwrite from the stage; also the non-partitioned path), ``static`` (one ``INSE
 partition), ``move`` (staged partition folders renamed into the partitions'
 own locations, no second copy), ``files`` (only the files that hold a match are
 rewritten, each replaced under its own name by one rename; also for plain tables), ``set_location`` (repoint partitions at the
-stage, no second copy), ``side_impacted`` / ``side_full`` (survivors of the impacted partitions
+stage, no second copy), ``pointer`` (survivors written once into a version folder beside the table, then the
+catalog is pointed at it: one statement for a plain table, one for each partition else; readers see no gap), ``side_impacted`` / ``side_full`` (survivors of the impacted partitions
 / of the whole table to a side folder; the live table is not changed).
 """
 
@@ -45,11 +46,12 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from keysweep.functions.text import key_text
+from keysweep.functions.text import KEY_PART_SEPARATOR, key_text
 from keysweep.operators.match import MATCH_MODES, KeySpec, flag_matches
 from keysweep.session import child_session, new_run_id, session_conf, work_root
 from keysweep.plans.repair import RepairError, repair_record
 from keysweep.sinks import fs, journal, publish
+from keysweep.sinks.lease import SECONDS, Lease, LeaseError
 from keysweep.sinks.observe import observed
 from keysweep.sinks.audit import (STATUS_DONE, STATUS_DRY_RUN, STATUS_FAILED, STATUS_NOOP, STATUS_SIDE,
                                   audit_row, keys_location, write_audit)
@@ -58,7 +60,7 @@ from keysweep.sources.files import changed_files, files_fingerprint, folder_of,
 from keysweep.sources.keys import read_key_list, type_keys
 from keysweep.sources.stage import read_stage
 
-STRATEGIES = ("auto", "dynamic", "direct", "static", "move", "files", "set_location", "side_impacted", "side_full")
+STRATEGIES = ("auto", "dynamic", "direct", "static", "move", "files", "set_location", "pointer", "side_impacted", "side_full")
 SIDE_STRATEGIES = ("side_impacted", "side_full")
 # File systems whose folder rename is one atomic metadata operation.
 ATOMIC_RENAME = ("hdfs", "file")
@@ -257,7 +259,10 @@ def _auto_strategy(spark: SparkSession, info: TableInfo, root: str) -> str:
 def _recover(spark: SparkSession, info: TableInfo, base: str) -> None:
     """Finish or roll back earlier publishes of this driver that broke off; those of other
     drivers may still run, so they are left to ``repair_publish``."""
-    for record in journal.unfinished(spark, base):
+    records = journal.unfinished(spark, base)
+    if not records:
+        return
+    for record in records:
         run, app = record["run_id"], record["app"]
         if run in _ACTIVE or app != spark.sparkContext.applicationId:
             raise PurgeError(f"publish {run} of {info.name} by application {app} is not finished; "
@@ -285,11 +290,14 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
                 input_name: str | None = None, broadcast_max_bytes: int | None = None,
                 verify: bool = True, rebalance: bool | None = None,
                 hot_key_rows: int | None = None, compact: bool | None = None,
-                target_file_bytes: int = TARGET_FILE_BYTES, explain: bool = False) -> PurgeResult:
+                target_file_bytes: int = TARGET_FILE_BYTES, lease_wait: float = 60.0,
+                lease_seconds: float = SECONDS, explain: bool = False) -> PurgeResult:
     """O1: delete from ``table`` every row whose key is listed (see module doc).
 
     ``compact`` (W16) deals the rewritten rows into files of about ``target_file_bytes``, counted for each
     partition from the sizes of its files; by default where its files are more than twice as many.
+    Publishing holds the table's lease (``sinks/lease.py``), renewed within ``lease_seconds``; another run's is
+    waited for up to ``lease_wait`` seconds.
 
     Runs in a private child session (the caller's settings copied), so the
     session-scoped settings and temporary views a publish needs never touch
@@ -310,7 +318,7 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
     audit_dir = audit_dir or f"{root}/_AUDIT"
     res = PurgeResult(run_id=run_id, table=info.name, status=STATUS_FAILED, strategy=strategy,
                       partition_cols=parts, run_dir=run_dir, audit_dir=audit_dir)
-    if strategy in ("move", "files", "set_location") and (info.provider or "").lower() != "parquet":
+    if strategy in ("move", "files", *publish.STAGE_STAYS) and (info.provider or "").lower() != "parquet":
         raise ValueError(f"{strategy} puts Parquet folders into the table, but {info.name} is {info.provider}; use dynamic or direct")
     if not dry_run and strategy not in SIDE_STRATEGIES:
         _recover(spark, info, base)
@@ -394,7 +402,8 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
         loc = keys_location(audit_dir, run_id, p.index)
         found = (detail.where(F.col(f"_hit_{p.index}")).groupBy(*p.key_cols)
                  .agg(F.sum("_n").cast("bigint").alias("rows_deleted"))
-                 .withColumn("key_text", key_text(*p.key_cols)))
+                 .withColumn("key_text", key_text(*p.key_cols))
+                 .withColumn("key_columns", F.lit(KEY_PART_SEPARATOR.join(p.key_cols))))
         obs = Observation(f"found_{p.index}")
         found.observe(obs, F.count(F.lit(1)).alias("n"),
                       F.count_if(F.col("rows_deleted") >= hot_rows).alias("hot")).write.mode("overwrite").parquet(loc)
@@ -470,7 +479,7 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
 
     def unchanged() -> bool:
         """Optimistic concurrency: the impacted partitions still hold exactly the files the effect pass read."""
-        return files_fingerprint(list_folders(spark, seen_folders)) == before_fp or changed_files(spark, files, seen_folders) == 0
+        return files_fingerprint(seen_folders, spark) == before_fp or changed_files(spark, files, seen_folders) == 0
 
     # Step 4: one pass over the impacted partitions (or the whole table).
     table_df = spark.table(info.name)
@@ -506,11 +515,20 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
             return finish(STATUS_FAILED, f"side copy counts {got} differ from the effect ({res.rows_deleted} deleted)")
         return finish(STATUS_SIDE, f"survivors written to {res.side_dir}")
 
-    split = f"{run_dir}/split"
+    split = publish.version_folder(info, run_id) if strategy == "pointer" else f"{run_dir}/split"
     want_rebalance = not by_file and (bool(rebalance) if rebalance is not None else (any_shuffle and bool(parts)))
+    lease = Lease(spark, base, run_id, lease_seconds)
     if strategy == "direct" and parts:
-        return _direct(spark, info, res, source, found_specs, scope_col, impacted_specs, expected_kept,
-                       unchanged, known, backup, base, run_id, want_rebalance, explain, lap, finish)
+        try:
+            lease.take(lease_wait)
+        except LeaseError as exc:
+            res.rows_after = res.rows_before
+            return finish(STATUS_FAILED, f"{exc}; nothing published")
+        try:
+            return _direct(spark, info, res, source, found_specs, scope_col, impacted_specs, expected_kept,
+                           unchanged, known, lease, backup, base, run_id, want_rebalance, explain, lap, finish)
+        finally:
+            lease.release()
     if explain:
         res.plans["rewrite"] = _plan(rewritten)
     with session_conf(spark, **reading):
@@ -525,64 +543,85 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
                                      f"({res.rows_deleted} deleted, {want_kept} kept): table changed, nothing published")
 
     stage_dir, swaps = publish.stage_path(split), f"{run_dir}/swaps"
-    problem = None if unchanged() else "impacted partitions changed while the purge ran"
-    if by_file and problem is None:
-        problem = _write_swaps(spark, files, stage_dir, swaps, parts, res.emptied)
-    if problem:
-        publish.cleanup(spark, split)
-        res.rows_after = res.rows_before
-        return finish(STATUS_FAILED, f"{problem}; nothing published")
-    if backup:
-        res.backup_dir = f"{base}/_BACKUP/backup_{run_id}"
-        if fs.exists(spark, res.backup_dir) or not fs.rename(spark, publish.deleted_path(split, by_file), res.backup_dir):
+
+    def publishing() -> PurgeResult:
+        """From the look at the live files to the re-count, under the table's lease."""
+        problem = None if unchanged() else "impacted partitions changed while the purge ran"
+        if by_file and problem is None:
+            problem = _write_swaps(spark, files, stage_dir, swaps, parts, res.emptied)
+        if problem:
             publish.cleanup(spark, split)
             res.rows_after = res.rows_before
-            return finish(STATUS_FAILED, f"no backup could be put at {res.backup_dir}; nothing published")
-    stage = read_stage(spark, stage_dir, info.schema) if want_kept > 0 and not by_file else None
-
-    # Step 5: publish.
-    trash, replaced = f"{run_dir}/replaced", []
-    old = publish.partition_locations(spark, info, surviving_specs, known) if strategy == "set_location" else []
-    try:
-        _begin(spark, info, base, res, stage_dir, trash=trash, old=old, swaps=swaps)
-        if by_file:
-            publish.publish_files(spark, spark.read.parquet(swaps))
-        elif strategy == "dynamic" or not parts:
-            publish.publish_dynamic(spark, info, stage)
-        elif strategy == "static":
-            publish.publish_static(spark, info, stage, surviving_specs)
-        elif strategy == "set_location":
-            replaced = publish.publish_set_location(spark, info, stage_dir, surviving_specs, known)
-        elif strategy == "move":
-            publish.publish_move(spark, info, stage_dir, surviving_specs, trash, known=known)
-            replaced = [trash]
-        lap("publish")
-        if parts:
-            publish.drop_emptied(spark, info, res.emptied, known)
-        publish.refresh(spark, info)
-        lap("drop_emptied")
-    except Exception as exc:  # the journal, stage and backup stay: a rerun repairs the publish
+            return finish(STATUS_FAILED, f"{problem}; nothing published")
+        if backup:
+            res.backup_dir = f"{base}/_BACKUP/backup_{run_id}"
+            if fs.exists(spark, res.backup_dir) or not fs.rename(spark, publish.deleted_path(split, by_file), res.backup_dir):
+                publish.cleanup(spark, split)
+                res.rows_after = res.rows_before
+                return finish(STATUS_FAILED, f"no backup could be put at {res.backup_dir}; nothing published")
+        stage = read_stage(spark, stage_dir, info.schema) if want_kept > 0 and not by_file else None
+
+        # Step 5: publish.
+        trash, replaced = f"{run_dir}/replaced", []
+        old = publish.partition_locations(spark, info, surviving_specs, known) if strategy in publish.STAGE_STAYS and parts else []
+        emptied_dirs = publish.partition_locations(spark, info, res.emptied, known) if parts else []
+        try:
+            _begin(spark, info, base, res, stage_dir, trash=trash, old=old, swaps=swaps, files=f"{run_dir}/files", emptied_dirs=emptied_dirs)
+            if by_file:
+                publish.publish_files(spark, spark.read.parquet(swaps), lease)
+            elif strategy == "pointer":
+                replaced = publish.publish_pointer(spark, info, stage_dir, surviving_specs, known, lease)
+            elif strategy == "dynamic" or not parts:
+                lease.check()
+                publish.publish_dynamic(spark, info, stage)
+            elif strategy == "static":
+                lease.check()
+                publish.publish_static(spark, info, stage, surviving_specs)
+            elif strategy == "set_location":
+                replaced = publish.publish_set_location(spark, info, stage_dir, surviving_specs, known, lease)
+            elif strategy == "move":
+                publish.publish_move(spark, info, stage_dir, surviving_specs, trash, known=known, lease=lease)
+                replaced = [trash]
+            lap("publish")
+            if parts:
+                publish.drop_emptied(spark, info, res.emptied, known)
+            publish.refresh(spark, info)
+            lap("drop_emptied")
+        except Exception as exc:  # the journal, stage and backup stay: a rerun repairs the publish
+            _ACTIVE.discard(run_id)
+            finish(STATUS_FAILED, f"publish failed: {exc}")
+            raise PurgeError(f"publish of {info.name} failed; stage {stage_dir} and backup {res.backup_dir} kept",
+                             res) from exc
+
+        if verify:
+            now = publish.count_partitions(spark, info, impacted_specs if parts else None)
+            if now != want_all:
+                _ACTIVE.discard(run_id)
+                finish(STATUS_FAILED, f"after publish the impacted partitions hold {now} rows, expected {want_all}")
+                raise PurgeError(f"verification of {info.name} failed", res)
+            lap("verify")
+        for path in replaced:                          # the replaced folders hold the erased rows
+            publish.remove_folder(spark, path)
+        if strategy == "pointer" and not parts:
+            publish.remove_files(spark, files)
+        if not backup:
+            fs.delete(spark, publish.deleted_path(split))
+        if strategy not in publish.STAGE_STAYS:
+            publish.cleanup(spark, split)
+        journal.end(spark, base, run_id)
         _ACTIVE.discard(run_id)
-        finish(STATUS_FAILED, f"publish failed: {exc}")
-        raise PurgeError(f"publish of {info.name} failed; stage {stage_dir} and backup {res.backup_dir} kept",
-                         res) from exc
+        return finish(STATUS_DONE)
 
-    if verify:
-        now = publish.count_partitions(spark, info, impacted_specs if parts else None)
-        if now != want_all:
-            _ACTIVE.discard(run_id)
-            finish(STATUS_FAILED, f"after publish the impacted partitions hold {now} rows, expected {want_all}")
-            raise PurgeError(f"verification of {info.name} failed", res)
-        lap("verify")
-    for path in replaced:                          # the replaced folders hold the erased rows
-        publish.remove_folder(spark, path)
-    if not backup:
-        fs.delete(spark, publish.deleted_path(split))
-    if strategy != "set_location":
+    try:
+        lease.take(lease_wait)
+    except LeaseError as exc:
         publish.cleanup(spark, split)
-    journal.end(spark, base, run_id)
-    _ACTIVE.discard(run_id)
-    return finish(STATUS_DONE)
+        res.rows_after = res.rows_before
+        return finish(STATUS_FAILED, f"{exc}; nothing published")
+    try:
+        return publishing()
+    finally:
+        lease.release()
 
 
 def _bins(spark: SparkSession, info: TableInfo, rows: list, target: int, compact: bool | None, limit: int) -> tuple | None:
@@ -612,9 +651,15 @@ def _matched_file_rows(source: DataFrame, files: DataFrame) -> tuple[DataFrame,
     The filter is on file metadata, so other files are pruned from the listing and never opened."""
     hit = files.where(F.col("rows_deleted") > 0)
     paths = [r[0] for r in hit.select("_file").collect()]          # metadata: bounded by the number of files
-    sums = hit.agg(F.max("_size").alias("largest"), F.sum(F.col("rows_before") - F.col("rows_deleted")).alias("kept")).first()
+    sums = hit.agg(F.max("_size").alias("largest"), F.sum("_size").alias("size"),
+                   F.sum(F.col("rows_before") - F.col("rows_deleted")).alias("kept")).first()
     rows = with_file(source.where(F.col("_metadata.file_path").isin(paths)))
-    reading = {"spark.sql.files.maxPartitionBytes": str(int(sums["largest"])), "spark.sql.files.minPartitionNum": "1"}
+    spark = source.sparkSession
+    conf = spark._jsparkSession.sessionState().conf()
+    # a task reads whole files: at least the largest one, else as much as keeps every core busy
+    share = (int(sums["size"]) + len(paths) * conf.filesOpenCostInBytes()) // spark.sparkContext.defaultParallelism + 1
+    most = max(int(sums["largest"]), min(conf.filesMaxPartitionBytes(), share))
+    reading = {"spark.sql.files.maxPartitionBytes": str(most), "spark.sql.files.minPartitionNum": "1"}
     return rows, reading, {"files": len(paths), "kept": int(sums["kept"])}
 
 
@@ -635,7 +680,7 @@ def _write_swaps(spark: SparkSession, files: DataFrame, stage_dir: str, path: st
 
 
 def _direct(spark, info: TableInfo, res: PurgeResult, source: DataFrame, found_specs, scope_col, specs,
-            expected_kept: int, unchanged, known: dict, backup: bool, base: str, run_id: str, rebalance: bool, explain: bool,
+            expected_kept: int, unchanged, known: dict, lease: Lease, backup: bool, base: str, run_id: str, rebalance: bool, explain: bool,
             lap, finish) -> PurgeResult:
     """``strategy="direct"``: survivors are written once, straight into the table.
 
@@ -677,6 +722,7 @@ def _direct(spark, info: TableInfo, res: PurgeResult, source: DataFrame, found_s
     kept = kept.observe(obs_k, F.count(F.lit(1)).alias("n"))
     try:
         _begin(spark, info, base, res, None)
+        lease.check()
         publish.publish_dynamic(spark, info, kept)
         lap("publish")
         emptied = [r["spec"] for r in res.impacted if r["rows_before"] == r["rows_deleted"]]

@@ -12,8 +12,9 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from keysweep.session import work_root
-from keysweep.sinks import fs, journal, publish
+from keysweep.session import new_run_id, work_root
+from keysweep.sinks import journal, publish
+from keysweep.sinks.lease import Lease
 from keysweep.sources.catalog import TableInfo, describe_table, spec_predicate
 from keysweep.sources.stage import read_stage
 
@@ -50,35 +51,46 @@ def repair_record(spark: SparkSession, info: TableInfo, base: str, record: dict)
         publish.refresh(spark, info)
         journal.end(spark, base, record["run_id"])
         return FINISHED if now == kept else ROLLED_BACK
-    replaced = list(record.get("old") or [])
+    # a run that broke off may have dropped partitions and not their folders yet
+    replaced = [*(record.get("old") or []), *(d for d in record.get("emptied_dirs") or [] if d)]
     if record["strategy"] == "move":
         publish.publish_move(spark, info, record["stage"], surviving, record["trash"], resume=True)
-        replaced = [record["trash"]]
+        replaced.append(record["trash"])
     elif record["strategy"] == "files":
         publish.publish_files(spark, spark.read.parquet(record["swaps"]))
-    elif record["strategy"] == "set_location":
-        publish.publish_set_location(spark, info, record["stage"], surviving)
+    elif record["strategy"] in publish.STAGE_STAYS:
+        publish.publish_pointer(spark, info, record["stage"], surviving)
     else:
         stage = read_stage(spark, record["stage"], info.schema)
         if stage.count() != sum(kept):
             raise RepairError(f"{what} and its stage {record['stage']} is not complete; backup {record['backup']} kept")
         publish.publish_dynamic(spark, info, stage)
-    publish.drop_emptied(spark, info, emptied)
+    if parts:
+        publish.drop_emptied(spark, info, emptied)
     publish.refresh(spark, info)
     if _counts(spark, info, specs) != kept:
         raise RepairError(f"{what}; publishing its stage {record['stage']} again did not give the expected rows")
     for path in replaced:
         publish.remove_folder(spark, path)
-    if record["strategy"] != "set_location":
+    if record["strategy"] == "pointer" and not parts:
+        publish.remove_files(spark, spark.read.parquet(record["files"]))
+    if record["strategy"] not in publish.STAGE_STAYS:
         publish.cleanup(spark, record["stage"])
     journal.end(spark, base, record["run_id"])
     return FINISHED
 
 
-def repair_publish(spark: SparkSession, table: str, run_id: str | None = None, work_dir: str | None = None) -> dict[str, str]:
+def repair_publish(spark: SparkSession, table: str, run_id: str | None = None, work_dir: str | None = None,
+                   wait: float = 0.0) -> dict[str, str]:
     """Repair the unfinished publishes of a table (or the one of ``run_id``): {run id: outcome}.
-    The caller vouches that no such purge still runs."""
+    The caller vouches that no such purge still runs; one that holds the table's lease is waited for up to ``wait`` seconds."""
     info = describe_table(spark, table)
     base = f"{(work_dir or work_root(spark)).rstrip('/')}/{info.database}/{info.table}"
     records = [r for r in journal.unfinished(spark, base) if run_id in (None, r["run_id"])]
-    return {r["run_id"]: repair_record(spark, info, base, r) for r in records}
+    if not records:
+        return {}
+    lease = Lease(spark, base, f"repair-{new_run_id(spark)}").take(wait)
+    try:
+        return {r["run_id"]: repair_record(spark, info, base, r) for r in records}
+    finally:
+        lease.release()

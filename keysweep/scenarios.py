@@ -36,6 +36,7 @@ from keysweep.plans.manifest import purge_manifest
 from keysweep.plans.purge import dry_run, purge_table
 from keysweep.plans.restore import restore_backup
 from keysweep.scratch import Scratch
+from keysweep.sinks.audit import compact_audit_keys, erased_when
 from keysweep.sources import catalog as C
 from keysweep.sources import files as L
 from keysweep.sources import keys as K
@@ -460,6 +461,49 @@ def purge_plain_by_file(spark, d):                             # W5: a plain tab
     return _purged(spark, t)
 
 
+def purge_plain_pointer(spark, d):                             # W5, W10: a plain table switched by its location
+    t = _copy(spark, _t(spark, d, "conversations"), "conversations_plain")
+    purge_table(spark, t, k_system_turns(spark, d), strategy="pointer")
+    return _purged(spark, t)
+
+
+def purge_pointer(spark, d):                                   # W10: partitions switched by their locations, twice
+    t = _copy(spark, lineitem_p(spark, d), "lineitem_p", ["ship_month"])
+    purge_table(spark, t, k_returned_jan95(spark, d), strategy="pointer")
+    purge_table(spark, t, k_q1_items(spark, d), strategy="pointer")
+    return _purged(spark, t)
+
+
+def restore_map_column(spark, d):                              # O10 on a table with a map column
+    e = events_p(spark, d)
+    e = e.withColumn("tags", F.create_map(F.lit("kind"), F.col("event_type"), F.lit("user"), F.col("user_id").cast("string")))
+    t = _copy(spark, e.select(*[c for c in e.columns if c != "event_type"], "event_type"), "events_map", ["event_type"])
+    r = purge_table(spark, t, k_errors(spark, d))
+    restore_backup(spark, t, r.backup_dir).collect()
+    now = spark.table(t)
+    return now.select(*[c for c in now.columns if c != "tags"], F.col("tags")["kind"].alias("kind"), F.col("tags")["user"].alias("user_tag"))
+
+
+def restore_report(spark, d):                                  # O10, A11: the report, run twice
+    t = _copy(spark, orders_p(spark, d), "orders_p", ["order_month"])
+    r = purge_table(spark, t, k_automobile(spark, d))
+    cols = ["rows_before", "rows_in_backup", "rows_restored", "rows_after", "status"]
+    first = restore_backup(spark, t, r.backup_dir, delete_backup=False).select(F.lit(1).alias("call"), *cols)
+    return first.unionByName(restore_backup(spark, t, r.backup_dir).select(F.lit(2).alias("call"), *cols))
+
+
+def audit_lookup(spark, d):                                    # O11, W13: when was a key erased (two runs, one compacted)
+    t = _copy(spark, events_p(spark, d), "events_p", ["event_type"])
+    audit = Scratch(spark).path("audit")
+    events = _t(spark, d, "events")
+    first = purge_table(spark, t, k_errors(spark, d), audit_dir=audit)
+    compact_audit_keys(spark, audit)
+    purge_table(spark, t, events.where(F.col("event_type").isin("signup", "error")).select("event_id"), audit_dir=audit)
+    found = erased_when(spark, audit, events.select("event_id"), t)
+    run = F.when(F.col("run_id") == first.run_id, 1).otherwise(2)
+    return found.select("event_id", run.alias("run"), "rows_deleted")
+
+
 def compact_on_rewrite(spark, d):                              # W16: files and rows of the rewritten partitions
     t = _copy(spark, lineitem_p(spark, d), "lineitem_p", ["ship_month"], spread=6)
     r = purge_table(spark, t, k_returned_jan95(spark, d))
@@ -627,6 +671,16 @@ ORACLE_SQL: dict[str, str] = {
                           "WHERE rows_deleted > 0",
     "purge_file_level": _survivors_sql("lineitem_p", "q1_items", _LI_KEYS),
     "purge_plain_by_file": _survivors_sql("conversations", "system_turns", ["conv_id", "turn"]),
+    "purge_plain_pointer": _survivors_sql("conversations", "system_turns", ["conv_id", "turn"]),
+    "purge_pointer": _with(t=SQL_TABLES["lineitem_p"], k=f"{SQL_KEYS['returned_jan95']} UNION {SQL_KEYS['q1_items']}")
+    + f"SELECT * FROM t WHERE {_survive_tuple(_LI_KEYS)}",
+    "restore_map_column": "SELECT *, event_type AS kind, CAST(user_id AS VARCHAR) AS user_tag FROM events",
+    "restore_report": _with(k=SQL_KEYS["automobile"], t="SELECT count(*) AS n FROM orders",
+                            b="SELECT count(*) AS n FROM orders WHERE o_custkey IN (SELECT o_custkey FROM k)")
+    + "SELECT 1 AS call, t.n - b.n AS rows_before, b.n AS rows_in_backup, b.n AS rows_restored, t.n AS rows_after, 'DONE' AS status FROM t, b "
+      "UNION ALL SELECT 2, t.n, b.n, CAST(0 AS BIGINT), t.n, 'DONE' FROM t, b",
+    "audit_lookup": "SELECT event_id, CASE WHEN event_type = 'error' THEN 1 ELSE 2 END AS run, CAST(1 AS BIGINT) AS rows_deleted "
+                    "FROM events WHERE event_type IN ('error', 'signup')",
     "compact_on_rewrite": f"SELECT ship_month, CAST(1 AS BIGINT) AS files, rows_after FROM ({_EFFECT}) WHERE rows_deleted > 0 AND rows_after > 0",
     "partition_list": "SELECT DISTINCT 'ship_month=' || strftime(l_shipdate, '%Y-%m') AS partition, "
                       "'ship_month' AS partition_column FROM lineitem",

@@ -40,6 +40,11 @@ def rename(spark: SparkSession, src: str, dst: str) -> bool:
     return bool(fs.rename(s, d))
 
 
+def mkdirs(spark: SparkSession, path: str) -> None:
+    p, fs = _path(spark, path)
+    fs.mkdirs(p)
+
+
 def replace(spark: SparkSession, src: str, dst: str) -> None:
     """Rename a file over another one. On HDFS one atomic step: a reader finds the old file or the new one."""
     jvm = spark._jvm

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +28,8 @@ from keysweep.sources.catalog import TableInfo, spec_predicate
 
 DELETED = "_deleted"
 OF_FILE = "_of_file"
+VERSIONS = "__versions"
+STAGE_STAYS = ("set_location", "pointer")       # the stage becomes table data
 DYNAMIC = {"spark.sql.sources.partitionOverwriteMode": "dynamic"}
 
 
@@ -171,31 +174,83 @@ def partition_locations(spark: SparkSession, info: TableInfo, specs: list[dict],
 
 
 def partition_location(spark: SparkSession, info: TableInfo, spec: dict) -> str | None:
-    rows = (spark.sql(f"DESCRIBE FORMATTED {info.quoted} PARTITION ({partition_spec_sql(spec)})")
-            .where(F.col("col_name") == "Location").select("data_type").collect())
+    """A partition's location in the catalog; None where the catalog has no such partition (any more)."""
+    try:
+        rows = (spark.sql(f"DESCRIBE FORMATTED {info.quoted} PARTITION ({partition_spec_sql(spec)})")
+                .where(F.col("col_name") == "Location").select("data_type").collect())
+    except AnalysisException as exc:
+        if exc.getCondition() != "PARTITIONS_NOT_FOUND":
+            raise
+        return None
     return rows[0][0] if rows else None
 
 
 def publish_set_location(spark: SparkSession, info: TableInfo, stage_dir: str, specs: list[dict],
-                         known: dict | None = None) -> list[str]:
+                         known: dict | None = None, lease=None) -> list[str]:
     """Zero-copy publish -- each surviving impacted partition is pointed at
     its staged directory. The stage becomes table data and must never be cleaned up.
 
     Returns the replaced locations. They still hold the erased rows: the caller
     deletes them once the published rows are verified.
     """
-    replaced = []
-    for spec, old in zip(specs, partition_locations(spark, info, specs, known)):
-        new = f"{stage_dir}/{partition_path(spark, spec)}"
-        spark.sql(f"ALTER TABLE {info.quoted} PARTITION ({partition_spec_sql(spec)}) "
-                  f"SET LOCATION '{fs.qualify(spark, new)}'")
-        if old and fs.qualify(spark, old) != fs.qualify(spark, new):
-            replaced.append(old)
-    return replaced
+    pairs = list(zip(specs, partition_locations(spark, info, specs, known)))
+
+    def point(item) -> None:
+        spec, _ = item
+        alter(spark, f"ALTER TABLE {info.quoted} PARTITION ({partition_spec_sql(spec)}) "
+                     f"SET LOCATION {sql_literal(fs.qualify(spark, new_folder(spec)))}", lease)
+
+    def new_folder(spec: dict) -> str:
+        return f"{stage_dir}/{partition_path(spark, spec)}"
+
+    fs.in_parallel(point, pairs)
+    return [old for spec, old in pairs if old and fs.qualify(spark, old) != fs.qualify(spark, new_folder(spec))]
+
+
+def alter(spark: SparkSession, statement: str, lease=None) -> None:
+    """One catalog switch: readers see the state before it or after it."""
+    if lease is not None:
+        lease.check()
+    spark.sql(statement)
+
+
+def version_folder(info: TableInfo, run_id: str) -> str:
+    """Where ``pointer`` writes a table's next version: beside the table's folder, on the same file system."""
+    return f"{info.location.split(VERSIONS + '/')[0].rstrip('/').removesuffix(VERSIONS)}{VERSIONS}/{run_id}"
+
+
+def publish_pointer(spark: SparkSession, info: TableInfo, stage_dir: str, specs: list[dict],
+                    known: dict | None = None, lease=None) -> list[str]:
+    """W5 / W10 by pointer: the survivors already lie in a version folder of their own; the catalog is pointed at it.
+    A plain table is switched by one statement. A partitioned one by one statement for each partition, several at a
+    time, as SQL has none for many: each partition is old or new at any moment, never absent, and the location in
+    the catalog says which, so a repeated run only points again. No file is moved. Returns the replaced folders."""
+    if info.partition_cols:
+        return publish_set_location(spark, info, stage_dir, specs, known, lease)
+    fs.mkdirs(spark, stage_dir)                        # no row may be left
+    alter(spark, f"ALTER TABLE {info.quoted} SET LOCATION {sql_literal(fs.qualify(spark, stage_dir))}", lease)
+    return []
+
+
+def remove_files(spark: SparkSession, files: DataFrame) -> None:
+    """Delete the listed files (``_file``, URIs) of a replaced version, and their folders where nothing else is left."""
+    gone: set[str] = set()
+
+    def remove(row) -> None:
+        file = fs.from_uri(spark, row["_file"])
+        fs.delete(spark, file)
+        if fs.exists(spark, file):
+            raise RuntimeError(f"erased rows are still at {file}: the file could not be deleted")
+        gone.add(file.rsplit("/", 1)[0])
+
+    fs.in_parallel(remove, files.select("_file").toLocalIterator())
+    for folder in gone:
+        if not fs.has_data_files(spark, folder):
+            fs.delete(spark, folder)
 
 
 def publish_move(spark: SparkSession, info: TableInfo, stage_dir: str, specs: list[dict], trash_dir: str,
-                 resume: bool = False, known: dict | None = None) -> None:
+                 resume: bool = False, known: dict | None = None, lease=None) -> None:
     """W10 as a file move: each surviving impacted partition's staged folder
     replaces the partition's own folder (rename old -> trash, stage -> old
     location), so the catalog entry stays valid and no second copy is
@@ -211,6 +266,8 @@ def publish_move(spark: SparkSession, info: TableInfo, stage_dir: str, specs: li
         staged = f"{stage_dir}/{rel}"
         if resume and not fs.exists(spark, staged):
             return
+        if lease is not None:
+            lease.check()
         if not loc or not fs.exists(spark, staged):
             raise RuntimeError(f"cannot move partition {spec}: location {loc}, stage {staged}")
         # an attempt that broke off between the two renames left the old folder in the trash
@@ -223,12 +280,14 @@ def publish_move(spark: SparkSession, info: TableInfo, stage_dir: str, specs: li
     fs.in_parallel(swap, zip(specs, partition_locations(spark, info, specs, known)))
 
 
-def publish_files(spark: SparkSession, swaps: DataFrame) -> None:
+def publish_files(spark: SparkSession, swaps: DataFrame, lease=None) -> None:
     """W5 / W10 by file: each rewritten file replaces the file it was made from, under the same name; a file that lost every
     row is deleted. A replacement is one rename over the old file: readers find either, never neither or both.
     ``swaps`` (written: URIs ``file``, ``staged`` or NULL) also serves a repeated run: a staged file that is gone was put in place."""
     def swap(row) -> None:
         file = fs.from_uri(spark, row["file"])
+        if lease is not None:
+            lease.check()
         if row["staged"] is None:
             fs.delete(spark, file)
         elif fs.exists(spark, staged := fs.from_uri(spark, row["staged"])):
@@ -258,4 +317,5 @@ def cleanup(spark: SparkSession, path: str) -> bool:
 
 __all__ = ["write_split", "stage_path", "deleted_path", "refresh", "drop_emptied", "publish_dynamic",
            "publish_static", "publish_set_location", "append", "count_partitions", "cleanup",
-           "partition_location", "partition_locations", "publish_move", "publish_files", "into_bins", "remove_folder"]
+           "partition_location", "partition_locations", "publish_move", "publish_files", "publish_pointer",
+           "version_folder", "remove_files", "into_bins", "remove_folder"]

@@ -75,10 +75,12 @@ def matched_files(df: DataFrame, keys: DataFrame, key_cols: list[str] | None = N
     return out.where(F.col("rows_deleted") > 0) if matched_only else out
 
 
-def files_fingerprint(files: DataFrame) -> tuple[int, int]:
+def files_fingerprint(files: DataFrame | list[str], spark: SparkSession | None = None) -> tuple[int, int]:
     """(number of files, hash of their paths, sizes and modification times) of a listing
-    (``_file, _size, _mtime`` or ``file_path, file_size, modified``). Files are immutable, so an unchanged fingerprint
-    means unchanged data."""
+    (``_file, _size, _mtime`` or ``file_path, file_size, modified``), or of what folders hold at the time of the call.
+    Files are immutable, so an unchanged fingerprint means unchanged data."""
+    if isinstance(files, list):
+        files = list_folders(spark, files)
     names = ("_file", "_size", "_mtime") if "_file" in files.columns else ("file_path", "file_size", "modified")
     with session_conf(files.sparkSession, **_ANY_SIZE):
         row = files.agg(F.count(F.lit(1)).alias("n"), F.sum(F.pmod(F.xxhash64(*names), F.lit(2147483647))).alias("h")).first()
