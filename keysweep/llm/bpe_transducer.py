@@ -38,12 +38,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import release
 from .token_codes import TEXT_BYTES, PieceCache, WordCache, byte_letters, simple
 
 END = "</w>"
 #: The pre-tokenizer's pattern, with white space spelled as the Unicode property.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+"
 NO_RANK = 1 << 30
+CACHE_PIECES, CACHE_EXACT = 600_000, 50_000
 
 
 class Merges:
@@ -211,12 +213,32 @@ def _coder(path: str):
             known.learn(chain.from_iterable(found))
             return [known[x[0]] if len(x) == 1 else [t for w in x for t in known[w]] for x in found]
 
+        exact = PieceCache(words, CACHE_EXACT), _library_cut(path)
         special = re.compile("(" + "|".join(map(re.escape, sorted(merges.special, key=len, reverse=True))) + ")") if merges.special else None
-        _CODERS[path] = merges, PieceCache(encode), special
+        _CODERS[path] = merges, PieceCache(encode, CACHE_PIECES), special, exact
     return _CODERS[path]
 
 
 _CONTROL = re.compile("[\x1c-\x1f]")
+#: Characters of which the modules used here are known to agree with the library (a test tries them all). Other scripts and
+#: signs, and all that newer tables name, are normalised and cut by the library itself.
+_ODD = re.compile("[^\x00-\u052f\u2010-\u2027\u2030-\u205e\u20ac\u2122\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3\U0001f300-\U0001f64f]")
+
+
+def _library_cut(path: str):
+    """The words of a text as the tokenizer's own normaliser and pre-tokenizer have them."""
+    from tokenizers import Regex, Tokenizer
+    from tokenizers.pre_tokenizers import Split
+
+    with open(path, encoding="utf-8") as f:
+        steps = json.load(f)["pre_tokenizer"]
+    pattern = next(x["pattern"]["Regex"] for x in steps.get("pretokenizers", [steps]) if x["type"] == "Split")
+    normalise, split = Tokenizer.from_file(path).normalizer.normalize_str, Split(Regex(pattern), "removed", invert=True).pre_tokenize_str
+
+    def cut(text: str) -> list[str]:
+        return [word for word, _ in split(normalise(text))]
+
+    return cut
 
 
 def _pieces(text: str) -> list[str]:
@@ -233,9 +255,12 @@ def _pieces(text: str) -> list[str]:
 
 def encode_texts(texts: list, path: str) -> list[np.ndarray]:
     """Ids of every text (null: empty)."""
-    merges, cache, special = _coder(path)
+    merges, cache, special, (exact, cut) = _coder(path)
     out, group, size = [], [], 0
 
+    def alone(text: str) -> np.ndarray:
+        return (exact.ids(cut(text)) if _ODD.search(text) else cache.ids(_pieces(text)))[0]
+
     def flush() -> None:
         nonlocal group, size
         if group:
@@ -248,9 +273,13 @@ def encode_texts(texts: list, path: str) -> list[np.ndarray]:
         t = t or ""
         if special and special.search(t):
             flush()
-            parts = [np.array([merges.special[x]], np.uint32) if x in merges.special else cache.ids(_pieces(x))[0] for x in special.split(t)]
+            parts = [np.array([merges.special[x]], np.uint32) if x in merges.special else alone(x) for x in special.split(t)]
             out.append(np.concatenate(parts).astype(np.uint32))
             continue
+        if not t.isascii() and _ODD.search(t):
+            flush()
+            out.append(alone(t).astype(np.uint32))
+            continue
         group.append(_pieces(t))
         size += len(t)
         if size > TEXT_BYTES:
@@ -269,7 +298,15 @@ def decoded_sha256(ids: np.ndarray, merges: Merges, step: int = 1 << 16) -> str:
 
 def _digests(path: str):
     def run(batches):
-        merges = _coder(path)[0]
+        merges, cache, _, (exact, _) = _coder(path)
+        try:
+            yield from digests(batches, merges)
+        finally:  # the worker goes on to other stages; the pieces of this task are of no use there
+            cache.reset()
+            exact.reset()
+            release()
+
+    def digests(batches, merges):
         for b in batches:
             for i in range(0, len(b), 512):
                 rows = b.slice(i, 512)

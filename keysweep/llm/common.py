@@ -8,10 +8,13 @@ computed with numpy over whole buffers.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +50,29 @@ def written(df: DataFrame, name: str, partition_by: list[str] | None = None) ->
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release() -> None:
+    """Give memory that is no longer used back to the system: a Python worker lives on after its task, beside an
+    executor that then runs other stages, and allocators keep what large arrays and texts took."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def lean(run):
+    """``run`` (a function of batches for ``mapInArrow``) that releases its memory when the task ends."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return wrapped
+
+
 def lowest_hashes(rows: DataFrame, key: str, n: int) -> DataFrame:
     """The rows with the lowest values of the 64-bit hash ``key``: at least ``n`` (or all there are), about 1.25 n,
     so that an ordered limit on them does not send ``n`` rows of every task to the driver."""
