@@ -158,6 +158,19 @@ class PurgeResult:
         found = self.found_keys(spark, index).select(*req.columns)
         return req.join(found, on=req.columns, how="left_anti")
 
+    def forget(self, spark: SparkSession) -> None:
+        """Delete the run folder with the requested keys and rejects (they name erased persons too). Afterwards
+        ``requested_keys``, ``not_found`` and ``rejects`` have nothing to read; backup, audit and table stay. The
+        stage of ``set_location`` is table data, so its run folder keeps that."""
+        if self.status == STATUS_FAILED:
+            raise PurgeError("a failed run keeps its folder for repair", self)
+        for path, _ in self.key_paths:
+            fs.delete(spark, path)
+        for i in range(len(self.key_paths)):
+            fs.delete(spark, f"{self.run_dir}/rejects_{i}")
+        if self.strategy != "set_location":
+            fs.delete(spark, self.run_dir)
+
     def rejects(self, spark: SparkSession, index: int = 0) -> DataFrame:
         """Key lines that were blank or did not cast to the key type, as text."""
         schema = StructType([StructField("key_text", StringType(), True)])
@@ -448,6 +461,9 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
             "message": message or (f"{res.rows_deleted} rows would be deleted" if status == STATUS_DRY_RUN else ""),
         }), audit_dir)
         caller.catalog.refreshTable(info.name)
+        if status != STATUS_FAILED:                # W14: what only this run needed; a failed one keeps all for repair
+            for name in ("effect", "files", "swaps", "replaced"):
+                fs.delete(spark, f"{run_dir}/{name}")
         lap("audit")
         return res
 

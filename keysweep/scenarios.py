@@ -562,7 +562,7 @@ _MANIFEST_TABLES = {"orders_p": (orders_p, ["order_month"], "o_orderkey"),
                     "documents_p": (documents_p, ["lang"], "doc_id")}
 
 
-def _manifest_purge(spark, d, strategy, stream=False):
+def _manifest_purge(spark, d, strategy, stream=False, survivors=False):
     sc = Scratch(spark)
     names = {}
     m = manifest_df(spark, d)
@@ -579,7 +579,11 @@ def _manifest_purge(spark, d, strategy, stream=False):
     else:
         purge_manifest(spark, path, strategy=strategy)
     out = None
-    for logical, (_, _, key) in _MANIFEST_TABLES.items():
+    for logical, (_, parts, key) in _MANIFEST_TABLES.items():
+        if survivors:
+            s = spark.table(names[logical]).select(F.lit(logical).alias("target"), F.col(parts[0]).alias("partition"), F.col(key).alias("key"))
+            out = s if out is None else out.unionByName(s)
+            continue
         s = spark.table(names[logical]).agg(F.lit(logical).alias("target"), F.count(F.lit(1)).alias("rows_after"),
                                             F.sum(key).cast("bigint").alias("key_sum"))
         out = s if out is None else out.unionByName(s)
@@ -602,6 +606,14 @@ def purge_manifest_move(spark, d):                             # O3 from a manif
     return _manifest_purge(spark, d, "move")
 
 
+def purge_manifest_survivors(spark, d):                        # O2: every surviving row of every table
+    return _manifest_purge(spark, d, "auto", survivors=True)
+
+
+def purge_manifest_by_file(spark, d):                          # O3 by file: every surviving row of every table
+    return _manifest_purge(spark, d, "files", survivors=True)
+
+
 # ---------------------------------------------------------------- oracle SQL
 _IMPACTED = (_with(t=SQL_TABLES["lineitem_p"], k=SQL_KEYS["returned_jan95"])
              + f"SELECT DISTINCT ship_month FROM t WHERE {_match_tuple(_LI_KEYS)}")
@@ -622,6 +634,13 @@ _MANIFEST_AFTER = (
 
 _RETURNED_P = "SELECT *, CASE WHEN l_returnflag <> 'N' THEN strftime(l_shipdate, '%Y-%m') END AS ship_month FROM lineitem"
 
+_MANIFEST_ROWS = (
+    _with(a=SQL_KEYS["automobile"], e=SQL_KEYS["errors"], x=SQL_KEYS["toxic"])
+    + "SELECT 'orders_p' AS target, strftime(o_orderdate, '%Y-%m') AS partition, o_orderkey AS key FROM orders "
+      "WHERE o_custkey NOT IN (SELECT o_custkey FROM a) AND NOT (o_orderpriority = '1-URGENT' AND o_orderstatus = 'P') "
+      "UNION ALL SELECT 'events_p', event_type, event_id FROM events WHERE event_id NOT IN (SELECT event_id FROM e) "
+      "UNION ALL SELECT 'documents_p', lang, doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM x)")
+
 ORACLE_SQL: dict[str, str] = {
     "scan_matched": _matched_sql("orders", "automobile", ["o_custkey"]),
     "scan_matched_keys": _with(t=SQL_TABLES["orders_p"], k=SQL_KEYS["automobile"])
@@ -644,8 +663,8 @@ ORACLE_SQL: dict[str, str] = {
     + f"SELECT DISTINCT l_orderkey, l_linenumber FROM t WHERE {_match_tuple(_LI_KEYS)}",
     "purge_effect": f"SELECT * FROM ({_EFFECT}) WHERE rows_deleted > 0",
     "impacted_partitions": _IMPACTED,
-    "emptied_partitions": "SELECT 'error' AS event_type FROM events WHERE event_type = 'error' "
-                          "GROUP BY event_type HAVING count(*) > 0",
+    "emptied_partitions": _with(k=SQL_KEYS["errors"]) + "SELECT event_type FROM events GROUP BY event_type "
+                          "HAVING count(*) FILTER (WHERE event_id NOT IN (SELECT event_id FROM k)) = 0",
     "surviving_partitions": f"SELECT ship_month FROM ({_EFFECT}) WHERE rows_deleted > 0 AND rows_after > 0",
     "key_text_found": _with(t=SQL_TABLES["lineitem_ml"], k=SQL_KEYS["returned_jan95"])
     + "SELECT DISTINCT l_orderkey, l_linenumber, "
@@ -724,6 +743,8 @@ ORACLE_SQL: dict[str, str] = {
     "purge_manifest_insert": _MANIFEST_AFTER,
     "purge_manifest_move": _MANIFEST_AFTER,
     "purge_manifest_stream": _MANIFEST_AFTER,
+    "purge_manifest_survivors": _MANIFEST_ROWS,
+    "purge_manifest_by_file": _MANIFEST_ROWS,
 }
 
 SCENARIOS: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -225,3 +225,28 @@ def test_erased_when_over_runs(spark, scratch):
     assert compact_audit_keys(spark, audit) == 2
     assert found() == want
     assert erased_when(spark, audit, spark.createDataFrame([("0",)], "v string")).count() == 0     # another key column
+
+
+def test_audit_time_and_user(spark, scratch):
+    from datetime import datetime, timedelta, timezone
+
+    t = _table(spark, scratch, "who_and_when")
+    start = datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0)
+    row = purge_table(spark, t, _keys(spark, 0)).audit.first()
+    assert row.created_by == spark.sql("SELECT current_user()").first()[0] != ""
+    at = datetime.strptime(row.created_datetime, "%Y-%m-%d %H:%M:%S")           # the session's zone is UTC
+    assert start <= at <= start + timedelta(minutes=10)
+
+
+def test_a_finished_run_leaves_no_keys(spark, scratch):
+    t = _table(spark, scratch, "forgotten")
+    r = purge_table(spark, t, spark.createDataFrame([("0",), ("77",), ("x",)], "k string"))
+    assert r.keys_rejected == 1 and [x.k for x in r.not_found(spark).collect()] == [77]
+    for name in ("effect", "files", "swaps", "replaced", "split"):
+        assert not fs.exists(spark, f"{r.run_dir}/{name}"), name
+    r.forget(spark)
+    assert not fs.exists(spark, r.run_dir)
+    assert restore_backup(spark, t, r.backup_dir).first().rows_restored == 1
+    located = purge_table(spark, t, _keys(spark, 1), strategy="set_location")
+    located.forget(spark)
+    assert _ids(spark.table(t)) == [0, *range(2, 30), 500]
