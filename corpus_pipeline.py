@@ -1,10 +1,19 @@
 """A training-data pipeline over ``documents``: quality rules, toxicity, near duplicates,
-benchmark decontamination, BPE encoding. Every stage works on all its predecessor kept."""
+benchmark decontamination, BPE encoding. Every stage works on all its predecessor kept.
+
+Stages decide about *rows*, not ids. Where a decision has to come back from an operator that works on ids, a
+row is known by a hash of its id and text. Defined cases: null and empty texts fail the quality rules and go
+there; rows with a null ``doc_id`` are rows like others; of rows that share an id each one is judged by its own
+text, so copies under one id leave one row and other texts of that id stay; identical rows (id and text) are
+copies too; of a group of near duplicates the row with the smallest id stays (null ids last; of equal ids the one
+whose hash is smallest); columns beside ``doc_id`` and ``text`` pass through, whatever their names; texts of any
+length are read whole; an empty table gives an empty one.
+"""
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keysweep.llm.bpe_transducer import token_digests
@@ -29,17 +38,40 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return filter_toxicity(docs, _table(spark, sf_dir, "labels"))
 
 
+def _row() -> Column:
+    """What a row is known by. Two different rows with one value do no harm: see the stages."""
+    return F.xxhash64("doc_id", "text")
+
+
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the smallest id."""
-    keep = near_duplicates(docs).filter("doc_id <=> component_id").select("doc_id").distinct()
-    kept = docs.join(keep.withColumnRenamed("doc_id", "kept_id"), F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "text"])
+    """One row of each group of near duplicates, the one with the smallest id. (Of two rows that share a hash value
+    both stay if one does, so no row without duplicates is lost.)"""
+    row, copies = _free(docs, "row_of"), _free(docs, "copies_of")
+    found = near_duplicates(docs.select(_row().alias("doc_id"), "text")).select(F.col("doc_id").alias(row), "component_id").distinct()
+    named = docs.select(_row().alias(row), "doc_id").groupBy(row).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias(copies))
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", row, copies)).alias("least")
+    keep = written(found.join(named, row).groupBy("component_id").agg(least).select(f"least.{row}", f"least.{copies}"), "kept-rows")
+    once, more = keep.filter(F.col(copies) == 1).select(row), keep.filter(F.col(copies) > 1).select(row)
+    kept = docs.join(once, _row() == F.col(row), "left_semi")
+    if more.isEmpty():
+        return kept
+    return kept.unionByName(docs.join(more, _row() == F.col(row), "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark passage."""
-    found = contaminated(docs, _table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("found_id")).distinct()
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("found_id")), "left_anti")
+    """Rows without a benchmark passage. (A row goes only if both its hash and its id are those of a row with one.)"""
+    row, of_id = _free(docs, "row_of"), _free(docs, "id_of")
+    hit = contaminated(docs.select(_row().alias("doc_id"), "text"), _table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias(row)).distinct()
+    hit = written(docs.select(_row().alias(row), F.col("doc_id").alias(of_id)).join(hit, row).distinct(), "contaminated-rows")
+    return docs.join(hit, (_row() == F.col(row)) & F.col("doc_id").eqNullSafe(F.col(of_id)), "left_anti")
 
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
