@@ -37,17 +37,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lowered, mix, partitions, shingles, slices, word_hashes, written
+from .common import lean, lowered, mix, partitions, shingles, slices, word_hashes, written
 from .components import components
 
 U = np.uint64
 BLOCK = 512  # classes of one block in step 5
+AT_ONCE = 1 << 21  # bytes of text held as words at once
 RANGE_ITEMS = 2_000_000  # shingles a range task holds on average
 HOT_FREQUENCY = 2**31 - 1
 
 
-def _sets(texts: list, k: int) -> list[np.ndarray]:
-    return [np.unique(shingles(w, k)) for w in word_hashes(lowered(texts))]
+def _sets(rows: pa.RecordBatch, k: int) -> list[np.ndarray]:
+    """The sets of a slice; texts and words of a few megabytes at a time."""
+    return [np.unique(shingles(w, k)) for part in slices(rows, "text", size=AT_ONCE) for w in word_hashes(lowered(part.column("text").to_pylist()))]
 
 
 def _signature(s: np.ndarray) -> int:
@@ -63,7 +65,7 @@ def _distinct(sets: list[np.ndarray]) -> dict[int, np.ndarray]:
 def _scan(k: int, hot_share: int):
     def run(batches):
         for b in (x for whole in batches for x in slices(whole, "text")):
-            sets = _sets(b.column("text").to_pylist(), k)
+            sets = _sets(b, k)
             sigs = [_signature(s) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays([pa.array([0] * len(sets), pa.int8()), b.column("doc_id").cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(sigs, pa.int64())], names=["kind", "doc_id", "n", "sig"])
             own = {s: x for s, x in zip(sigs, sets) if s is not None}
@@ -93,10 +95,11 @@ def _unpack(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     """Batch, place in the batch, token and frequency of all entries."""
     whole = lambda c, kind: np.frombuffer(b"".join(t.column(c).to_pylist()), kind)
     own, high = whole("own", np.uint16), whole("high", np.uint16)
-    eight = np.zeros((len(own), 8), np.uint8)
-    eight[:, :6] = whole("low", np.uint8).reshape(-1, 6)
+    eight = np.empty((len(own), 4), np.uint16)  # three parts of the low 48 bits, then the high 16
+    eight[:, :3] = whole("low", np.uint16).reshape(-1, 3)
+    eight[:, 3] = high
     sizes = [len(x) // 2 for x in t.column("own").to_pylist()]
-    return np.repeat(t.column("batch").to_numpy(), sizes), own, eight.reshape(-1).view("<u8") | high.astype(U) << U(48), whole("freqs", np.int32)
+    return np.repeat(t.column("batch").to_numpy(), sizes), own, eight.reshape(-1).view("<u8"), whole("freqs", np.int32)
 
 
 _NONE = np.empty(0, np.int32)
@@ -108,26 +111,32 @@ def _emit(k: int, hot: bytes, ranges: int):
 
         hots, number = np.frombuffer(hot, U), TaskContext.get().partitionId() << 32
         for b in (x for whole in batches for x in slices(whole, "text")):
-            own = _distinct(_sets(b.column("text").to_pylist(), k))
+            own = _distinct(_sets(b, k))
             if not own:
                 continue
             number += 1
-            sizes = np.array([len(s) for s in own.values()])
+            sizes, sigs = np.array([len(s) for s in own.values()]), np.fromiter(own, np.int64, len(own))
             tokens, place = np.concatenate(list(own.values())), np.repeat(np.arange(len(own), dtype=np.uint16), sizes)
+            own.clear()  # arrays of the slice are let go as soon as the next form is there
             by = np.argsort(tokens, kind="stable")
             tokens, place = tokens[by], place[by]
-            rows = [{"kind": 2, "to": number, "batch": number, "high": b"", "low": np.fromiter(own, np.int64, len(own)).tobytes(), "own": b"", "freqs": sizes.astype(np.int32).tobytes()}]
+            del by
+            rows = [{"kind": 2, "to": number, "batch": number, "high": b"", "low": sigs.tobytes(), "own": b"", "freqs": sizes.astype(np.int32).tobytes()}]
             if len(hots):
                 is_hot = np.isin(tokens, hots)
                 if is_hot.any():
                     rows.append(_packed(1, number, number, tokens[is_hot], place[is_hot], np.full(int(is_hot.sum()), HOT_FREQUENCY)))
                     tokens, place = tokens[~is_hot], place[~is_hot]
+                del is_hot
+            yield pa.RecordBatch.from_pylist(rows, schema=_ARROW)
             # the top 32 bits deal the ranges, in rising order
-            at = ((tokens >> U(32)) * U(ranges) >> U(32)).astype(np.int64)
-            edges = np.flatnonzero(np.diff(at, prepend=-1, append=-1)) if len(at) else []
-            rows += [_packed(0, int(at[lo]), number, tokens[lo:hi], place[lo:hi], _NONE) for lo, hi in zip(edges[:-1], edges[1:])]
-            for i in range(0, len(rows), 256):
-                yield pa.RecordBatch.from_pylist(rows[i : i + 256], schema=_ARROW)
+            at = ((tokens >> U(32)) * U(ranges) >> U(32)).astype(np.int32)
+            heads = np.flatnonzero(np.diff(at, prepend=-1)) if len(at) else np.empty(0, np.int64)
+            to, edges = at[heads], np.append(heads, len(tokens))
+            del at
+            for i in range(0, len(heads), 16):
+                part = range(i, min(i + 16, len(heads)))
+                yield pa.RecordBatch.from_pylist([_packed(0, int(to[e]), number, tokens[edges[e] : edges[e + 1]], place[edges[e] : edges[e + 1]], _NONE) for e in part], schema=_ARROW)
 
     return run
 
@@ -137,14 +146,19 @@ def _shared_only(t: pa.Table) -> pa.Table:
     if t.column("kind")[0].as_py():  # hot shingles and classes go on to their batch
         return t
     batch, place, tokens, _ = _unpack(t)
+    names, batch = np.unique(batch, return_inverse=True)
+    batch = batch.astype(np.int32)
     by = np.argsort(tokens, kind="stable")
     batch, place, tokens = batch[by], place[by], tokens[by]
+    del by
     head = np.flatnonzero(np.diff(tokens, prepend=tokens[:1] ^ U(1)))
-    freqs = np.diff(head, append=len(tokens))
-    freqs = np.repeat(np.minimum(freqs, HOT_FREQUENCY - 1), freqs)
-    keep = np.flatnonzero(freqs > 1)
-    keep = keep[np.argsort(batch[keep], kind="stable")]  # tokens stay in rising order inside a batch
-    batch, place, tokens, freqs = batch[keep], place[keep], tokens[keep], freqs[keep]
+    times = np.diff(head, append=len(tokens))
+    several = np.repeat(times > 1, times)
+    freqs = np.repeat(np.minimum(times, HOT_FREQUENCY - 1).astype(np.int32)[times > 1], times[times > 1])
+    batch, place, tokens = batch[several], place[several], tokens[several]
+    del several
+    by = np.argsort(batch, kind="stable")  # tokens stay in rising order inside a batch
+    batch, place, tokens, freqs = names[batch[by]], place[by], tokens[by], freqs[by]
     edges = np.flatnonzero(np.diff(batch, prepend=-1, append=-1)) if len(batch) else []
     rows = [_packed(1, int(batch[lo]), int(batch[lo]), tokens[lo:hi], place[lo:hi], freqs[lo:hi]) for lo, hi in zip(edges[:-1], edges[1:])]
     return pa.Table.from_pylist(rows, schema=_ARROW)
@@ -254,7 +268,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, hot_share: int = 32) -> DataFra
     """``doc_id, n_shingles, component_id`` for every row of ``docs(doc_id, text, ...)``."""
     spark = docs.sparkSession
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    scan = written(text.mapInArrow(_scan(k, hot_share), "kind byte, doc_id long, n long, sig long"), "sets", ["kind"])
+    scan = written(text.mapInArrow(lean(_scan(k, hot_share)), "kind byte, doc_id long, n long, sig long"), "sets", ["kind"])
     members = scan.filter("kind = 0").select("doc_id", "n", "sig")
     stats = members.agg(F.approx_count_distinct("sig").alias("classes"), F.sum("n").alias("items")).first()
     classes, items = int(stats.classes or 0), int(stats.items or 0)
@@ -263,12 +277,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, hot_share: int = 32) -> DataFra
     hot_bytes = np.sort(np.array([r.sig for r in hot.collect()], np.int64).view(U)).tobytes()
     ranges = max(partitions(spark), -(-items // RANGE_ITEMS))
 
-    dealt = text.mapInArrow(_emit(k, hot_bytes, ranges), PACKED)
+    dealt = text.mapInArrow(lean(_emit(k, hot_bytes, ranges)), PACKED)
     shared = dealt.groupBy("kind", "to").applyInArrow(_shared_only, PACKED)
     of_batch = shared.groupBy("to").applyInArrow(_of_batch, "sig long, n long, tokens binary, freqs binary")
     # copies of a set in several batches give equal rows
     of_class = of_batch.groupBy("sig").agg(F.count("*").alias("copies"), F.first("n").alias("n"), F.first("tokens").alias("tokens"), F.first("freqs").alias("freqs"))
-    table = written(of_class.mapInArrow(_prefixes, CLASS), "classes")
+    table = written(of_class.mapInArrow(lean(_prefixes), CLASS), "classes")
 
     slim = table.select("sig", "n", "shared", "fb", "fc", F.explode("prefix").alias("token"))
     # round 1: each class against one pivot for each of its tokens, the class with the fewest unshared shingles
@@ -277,7 +291,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, hot_share: int = 32) -> DataFra
     fits = lambda na, sa, nb, sb: 7 * F.least(sa, sb) >= 3 * (na + nb)
     pairs = slim.filter((F.col("sig") != F.col("p.sig")) & fits(F.col("n"), F.col("shared"), F.col("p.n"), F.col("p.shared"))).select("sig", F.col("p.sig").alias("psig")).distinct()
     left, right = table.select("sig", "n", "tokens"), table.select(F.col("sig").alias("psig"), F.col("n").alias("pn"), F.col("tokens").alias("ptokens"))
-    first = written(pairs.join(left, "sig").join(right, "psig").select("sig", "psig", "n", "pn", "tokens", "ptokens").mapInArrow(_star, "a long, b long"), "links")
+    first = written(pairs.join(left, "sig").join(right, "psig").select("sig", "psig", "n", "pn", "tokens", "ptokens").mapInArrow(lean(_star), "a long, b long"), "links")
     roots = components(first)
 
     # round 2: token groups that still hold several components, in blocks

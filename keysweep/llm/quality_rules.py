@@ -24,9 +24,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import U_WINDOW3, WHITE, lowest_hashes, mix, word_hashes, written
+from .common import U_WINDOW3, WHITE, lean, lowest_hashes, mix, slices, word_hashes, written
 
 FIT_ROWS = 20_000
+AT_ONCE = 1 << 22  # bytes of text held as words at once
 SYMBOLS = "#*$%&|<>"
 BLANK = WHITE.decode()
 
@@ -56,7 +57,7 @@ def _text_counts(text: str, raw: bytes, words: np.ndarray) -> tuple[int, ...]:
 
 
 def _scan(batches):
-    for b in batches:
+    for b in (x for whole in batches for x in slices(whole, "text", size=AT_ONCE)):
         texts = [t or "" for t in b.column("text").to_pylist()]
         raws = [t.encode("utf-8", "surrogatepass") for t in texts]
         rows = [_text_counts(t, r, w) for t, r, w in zip(texts, raws, word_hashes(raws))]
@@ -67,7 +68,7 @@ def _scan(batches):
 def statistics(docs: DataFrame) -> DataFrame:
     """``doc_id`` and the whole-text counts of every row of ``docs``."""
     schema = "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_scan, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lean(_scan), schema)
 
 
 _PER = {"symbols_per_word": ("n_symbols", "n_words"), "dup_line_share": ("n_dup_lines", "n_lines"), "repeat_share": ("n_repeat_words", "n_words"), "distinct_share": ("n_distinct_words", "n_words"), "upper_share": ("n_upper", "word_chars"), "digit_share": ("n_digits", "word_chars"), "mark_share": ("n_marks", "n_words"), "top_word_share": ("top_word", "n_words"), "word_length": ("word_chars", "n_words"), "words_per_line": ("n_words", "n_lines"), "longest_word": ("longest_word", None), "long_word_share": ("long_words", "n_words")}
@@ -191,4 +192,4 @@ def filter_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS)
     lab = labels.filter("quality is not null").select(F.col("doc_id").cast("long").alias("doc_id"))
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(lab.distinct(), "doc_id", "left_semi")
     rules = fit_rules(written(statistics(own), "labelled-statistics"), labels, fit_rows)
-    return docs.mapInArrow(_verdicts(rules), docs.schema)
+    return docs.mapInArrow(lean(_verdicts(rules)), docs.schema)

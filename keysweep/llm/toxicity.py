@@ -31,10 +31,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lowest_hashes, written
+from .common import lean, lowest_hashes, slices, written
 
 FIT_ROWS = 12_000
 TERMS = 4096
+AT_ONCE = 1 << 22  # bytes of text read at once
 BLOCK = 32
 K = 15
 LEAST_ROWS = 4  # rows of a label a kept term occurs in
@@ -69,7 +70,7 @@ def _label_terms(batches):
 
 def _vectors(terms: dict[str, int]):
     def run(batches):
-        for b in batches:
+        for b in (x for whole in batches for x in slices(whole, "text", size=AT_ONCE)):
             rows = [sorted((terms[t], n) for t, n in term_counts(x, terms).items()) for x in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in b.schema.names if c != "text"), pa.array([[t for t, _ in r] for r in rows], pa.list_(pa.int32())), pa.array([[n for _, n in r] for r in rows], pa.list_(pa.int32()))], names=[*(c for c in b.schema.names if c != "text"), "terms", "counts"])
 
@@ -199,7 +200,7 @@ def _score(data: dict, k: int):
 def _below(data: dict, terms: dict[str, int], k: int, threshold: float):
     def run(batches):
         scorer = Scorer(data, k)
-        for b in batches:
+        for b in (x for whole in batches for x in slices(whole, "text", size=AT_ONCE)):
             keep = []
             for x in b.column("text").to_pylist():
                 row = sorted((terms[t], n) for t, n in term_counts(x, terms).items())
@@ -220,7 +221,7 @@ def learn(docs: DataFrame, labels: DataFrame, fit_rows: int) -> tuple[dict[str,
     sample = F.broadcast(spark.createDataFrame(rows, "doc_id long, toxic int"))  # fit_rows rows at most
     train = written(text.join(sample, "doc_id").select("doc_id", "text", "toxic"), "train")
     terms = {t: i for i, t in enumerate(choose_terms(train))}
-    vectors = written(text.mapInArrow(_vectors(terms), "doc_id long, terms array<int>, counts array<int>"), "vectors")
+    vectors = written(text.mapInArrow(lean(_vectors(terms)), "doc_id long, terms array<int>, counts array<int>"), "vectors")
     df = np.zeros(len(terms))
     for r in vectors.select(F.explode("terms").alias("t")).groupBy("t").count().collect():
         df[r.t] = r["count"]
@@ -244,11 +245,11 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS,
     """``doc_id, held_out, score, predicted, evidence`` (ids of the neighbours) for every row of
     ``docs(doc_id, text, ...)``; learns from ``labels(doc_id, toxic, ...)`` outside the held-out third."""
     _, data, vectors = learn(docs, labels, fit_rows)
-    scored = vectors.mapInArrow(_score(data, k), "doc_id long, score double, evidence array<long>")
+    scored = vectors.mapInArrow(lean(_score(data, k)), "doc_id long, score double, evidence array<long>")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", F.when(F.col("score") >= THRESHOLD, 1).otherwise(0).alias("predicted"), "evidence")
 
 
 def filter_toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, k: int = K) -> DataFrame:
     """The rows of ``docs``, all its columns, that score below the threshold; no text is moved."""
     terms, data, _ = learn(docs, labels, fit_rows)
-    return docs.mapInArrow(_below(data, terms, k, THRESHOLD), docs.schema)
+    return docs.mapInArrow(lean(_below(data, terms, k, THRESHOLD)), docs.schema)

@@ -402,3 +402,47 @@ def test_pipeline_against_its_stages(spark, sf):
     a = a.filter(F.col("doc_id").isin(list(left)))
     left -= {r.doc_id for r in contaminated(a, bench).collect()}
     assert {r.doc_id for r in corpus_pipeline.run(spark, sf).collect()} == left and left
+
+
+def test_pipeline_stages_judge_rows(spark, tmp_path):
+    """Repeated and null ids, identical rows, clashing names of further columns, no rows."""
+    import corpus_pipeline
+
+    stages = dict(corpus_pipeline.STAGES)
+    t, third, passage = text_of(21, 120), text_of(22, 120), text_of(23, 60)
+    near, other = t + " tail", text_of(24, 120)
+    kinds = "doc_id long, text string, row_of string, copies_of int, kept_id long, found_id long, id_of string"
+    extra = ("r", 1, 2, 3, "i")
+    rows = [(5, t), (7, near), (7, other), (None, t), (None, third), (9, third), (9, third), (8, "alone " + text_of(25, 90)), (8, "alone " + text_of(25, 90))]
+    docs = spark.createDataFrame([(*r, *extra) for r in rows], kinds).repartition(3)
+    got = stages["n-gram Jaccard join"](spark, docs, "")
+    assert got.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter([(5, t), (7, other), (9, third), (8, "alone " + text_of(25, 90))])
+    assert stages["n-gram Jaccard join"](spark, docs.limit(0), "").count() == 0
+
+    spark.createDataFrame([(1, passage)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    leak = text_of(26, 100) + " " + passage + " " + text_of(27, 100)
+    rows = [(1, leak), (1, t), (None, leak), (None, other), (2, None), (2, ""), (3, third)]
+    docs = spark.createDataFrame([(*r, *extra) for r in rows], kinds).repartition(3)
+    got = stages["benchmark decontamination"](spark, docs, str(tmp_path))
+    assert got.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter([(1, t), (None, other), (2, None), (2, ""), (3, third)])
+    assert stages["benchmark decontamination"](spark, docs.limit(0), str(tmp_path)).count() == 0
+
+
+def test_bpe_of_every_character():
+    """All code points, with marks after them and beside letters, digits and signs."""
+    from keysweep.llm.bpe_transducer import _ODD, encode_texts
+
+    tok = Tokenizer.from_file(WORD)
+    points = [c for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000]
+    agreed = [c for c in points if not _ODD.match(chr(c))]
+    rng = np.random.default_rng(11)
+    marks = [chr(c) for c in range(0x300, 0x370)]
+    texts = ["".join(f"a{chr(c)}1{chr(c)}!{chr(c)}{marks[int(i)]}{marks[int(j)]} {chr(c)}" for c, (i, j) in zip(part, rng.integers(0, len(marks), (len(part), 2)))) for part in (agreed[k : k + 200] for k in range(0, len(agreed), 200))]
+    others = [c for c in points if _ODD.match(chr(c))]
+    texts += ["".join(f"{chr(c)}a 1{chr(c)}" for c in others[k : k + 500]) for k in range(0, len(others), 500 * 7)]
+    texts += ["\u058ca", "a\u0897\u0301", "\u1acf\u0323e", "x\u2028y\u2003z\x85w", "ΑΣ ΣΑΣ. σς"]
+    want = [e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]
+    got = encode_texts(texts, WORD)
+    assert [i for i, (g, w) in enumerate(zip(got, want)) if g.tolist() != w] == []
