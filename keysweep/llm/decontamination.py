@@ -2,11 +2,13 @@
 
 A benchmark item of ``n`` words is compared with windows of ``n`` words of every document.
 
-1. Windows: a window can only reach the similarity if it shares shingles with the item, so
-   each shared 5-word shingle proposes the window that puts it at its place in the item
-   (moved inside the document where it sticks out). A document shorter than the item, but with
-   shingles enough to reach the similarity, is one window as a whole. All shingles of all texts
-   are looked up.
+1. Windows: all shingles of all texts are looked up. Of the windows of a document and an item, the
+   leftmost of the most similar ones begins the document or ends with a shingle of the item: one that
+   does neither is no more similar than the window a word before it. So every shared shingle proposes
+   the window that it ends (the document's first where that would stick out), wherever it stands in
+   the item, and the windows that have shared shingles enough to reach the similarity are looked at:
+   no best window is left out. A document shorter than the item, but with shingles enough, is one
+   window as a whole.
 2. Fingerprints: each distinct window content gets a 128-bit SimHash of its shingles, weighted
    by their counts (bit counters summed in packed lanes).
 3. Multi-index Hamming blocks: fingerprints are cut into 8 blocks of 16 bits. Within RADIUS =
@@ -76,6 +78,18 @@ def _blocks() -> Column:
     return F.array(*[F.struct(F.lit(4 * i + j).alias("block"), F.shiftrightunsigned(F.col(f"f{i}"), BITS * j).bitwiseAND(F.lit(65535).cast("long")).alias("value")) for i in range(2) for j in range(4)])
 
 
+def windows(hits: DataFrame, w: int, similarity: float) -> DataFrame:
+    """``row, doc_id, start, n, len``: windows of ``n`` words that end with a shared shingle of ``w`` words (or begin
+    the document) and hold enough of them to reach the similarity, over ``hits(row, doc_id, size, n, pos)``."""
+    least = F.ceil(F.lit(similarity / (1 + similarity)) * (F.col("n") + F.col("len") - 2 * (w - 1)) - F.lit(1e-6))
+    own = hits.groupBy("row", "doc_id", "size", "n").agg(F.array_sort(F.collect_set("pos")).alias("p"))  # one document's places at most
+    own = own.withColumn("len", F.least("n", "size")).withColumn("least", F.greatest(F.lit(1), least).cast("int")).filter(F.size("p") >= F.col("least"))
+    # the i-th shared shingle ends a window; the one "least" places before it must be inside
+    ends = F.filter(F.sequence(F.col("least") - 1, F.size("p") - 1), lambda i: F.get("p", i - F.col("least") + 1) >= F.get("p", i) - (F.col("n") - w))
+    starts = F.array_distinct(F.transform(ends, lambda i: F.greatest(F.lit(0), F.get("p", i) - (F.col("n") - w))))
+    return own.select("row", "doc_id", F.explode(starts).alias("start"), "n", "len")
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.75) -> DataFrame:
     """``doc_id, item_id, start_word, n_words, hamming, similarity``: the best window of each
     document and benchmark item that match, over ``docs(doc_id, text, ...)`` and
@@ -95,7 +109,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.75
     for w in widths[1:]:
         placed = placed.unionByName(item_rows(w))
     placed = written(placed, "item-shingles")
-    places = placed.select("hash", "n", "at").distinct()  # Spark broadcasts it only below its own size threshold
+    places = placed.select("hash", "n").distinct()  # Spark broadcasts it only below its own size threshold
 
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("text is not null").withColumn("row", F.xxhash64("doc_id", "text"))
     found = None
@@ -103,7 +117,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.75
         here = places.filter(F.col("n") >= K if w == K else F.col("n") == w)
         own = hashed_words(text, "row", "doc_id").select("row", "doc_id", F.size("h").alias("size"), F.posexplode(runs(w)).alias("pos", "hash"))
         hits = own.join(here, "hash").filter((F.col("size") >= F.col("n")) | (F.col("size") - (w - 1) >= similarity * (F.col("n") - (w - 1)) - 1e-9))
-        hits = hits.select("row", "doc_id", F.greatest(F.lit(0), F.least(F.col("pos") - F.col("at"), F.col("size") - F.col("n"))).alias("start"), "n", F.least("n", "size").alias("len"), F.lit(w).alias("width")).distinct()
+        hits = windows(hits.select("row", "doc_id", "size", "n", "pos"), w, similarity).withColumn("width", F.lit(w))
         found = hits if found is None else found.unionByName(hits)
     found = written(found, "windows")
 

@@ -235,6 +235,44 @@ def test_decontamination_finds_borderline_windows(spark):
     assert sorted(r.doc_id for r in got) == list(range(1500)) and max(r.hamming for r in got) > 31
 
 
+def test_decontamination_looks_at_every_window(spark):
+    import random
+
+    pick = random.Random(8)
+    items = [(i, text_of(80 + i, 40).split()) for i in range(4)]
+    texts = []
+    for k in range(160):
+        words = list(items[k % 4][1])
+        for _ in range(k % 3):  # words left out, put in and changed
+            at = pick.randrange(len(words))
+            words[at : at + pick.randrange(2)] = [f"w{k}"] * pick.randrange(2)
+        if k % 2:  # its halves the other way round: no shingle stands where the best window has it
+            cut = pick.randrange(8, 32)
+            words = words[cut:] + words[:cut]
+        texts.append([f"a{k}x{j}" for j in range(pick.randrange(60))] + words + [f"b{k}x{j}" for j in range(pick.randrange(60))])
+    texts[7] = items[3][1][20:] + items[3][1][:20] + texts[8]
+
+    def shingles(w):
+        return Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
+
+    def best(words, item):
+        own = shingles(item)
+        found = []
+        for start in range(max(1, len(words) - len(item) + 1)):
+            there = shingles(words[start : start + len(item)])
+            low, high = sum((there & own).values()), sum((there | own).values())
+            if low >= 0.75 * high:
+                found.append((-low / high, start))
+        return min(found, default=None)
+
+    want = {(i, j): found for i, words in enumerate(texts) for j, item in items if (found := best(words, item))}
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): (-r.similarity, r.start_word) for r in contaminated(docs, spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")).collect()}
+    assert set(got) == set(want) and (7, 3) in want
+    assert {k: v[1] for k, v in got.items()} == {k: v[1] for k, v in want.items()}
+    assert all(got[k][0] == pytest.approx(want[k][0]) for k in want)
+
+
 def brute_counts(text):
     import re
 
