@@ -524,7 +524,8 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
             out = out.hint("rebalance", *parts)
         obs = Observation("side")                 # after the last exchange: exact (see write_split)
         out = out.observe(obs, F.count(F.lit(1)).alias("n"))
-        out.write.mode("overwrite").partitionBy(*parts).parquet(res.side_dir)
+        with session_conf(spark, **publish.UNSORTED):
+            out.write.mode("overwrite").partitionBy(*parts).parquet(res.side_dir)
         got = {"d": res.rows_deleted, "n": res.rows_deleted + int(observed(obs, n=0)["n"])}
         want = res.rows_after if (strategy == "side_full" or not parts) else expected_kept
         if int(got["d"]) != res.rows_deleted or int(got["n"]) - int(got["d"]) != want:
@@ -717,7 +718,8 @@ def _direct(spark, info: TableInfo, res: PurgeResult, source: DataFrame, found_s
             matched = matched.hint("rebalance", *parts)
         obs = Observation("backup")
         matched = matched.observe(obs, F.count(F.lit(1)).alias("d"))
-        matched.write.mode("errorifexists").partitionBy(*parts).parquet(res.backup_dir)
+        with session_conf(spark, **publish.UNSORTED):
+            matched.write.mode("errorifexists").partitionBy(*parts).parquet(res.backup_dir)
         lap("backup_write")
         n_backup = int(observed(obs, d=0)["d"])
         if n_backup != res.rows_deleted:

@@ -9,7 +9,7 @@ from keysweep.plans.purge import purge_table
 from keysweep.plans.restore import restore_backup
 from keysweep.sinks import fs, publish
 from keysweep.sources import catalog as C
-from keysweep.sources.files import files_fingerprint, list_folders, matched_files, table_files
+from keysweep.sources.files import files_fingerprint, list_folders, matched_files, table_files, with_file
 from tests.conftest import rows
 
 
@@ -190,3 +190,31 @@ def test_names_of_tables(spark, scratch):
     with pytest.raises(ValueError):
         C.describe_table(spark, f"other.{t}")
     assert purge_table(spark, f"spark_catalog.{t}", _keys(spark, 0)).status == "DONE"
+
+
+def test_copies_of_large_partitions_are_dealt_to_many_tasks(spark, scratch, monkeypatch):
+    import keysweep.scratch as scratch_module
+
+    monkeypatch.setattr(scratch_module, "TASK_BYTES", 20_000)
+    df = spark.range(4000).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 10).alias("text"),
+                                  F.when(F.col("id") % 10 < 8, "big").when(F.col("id") % 10 == 8, "small").alias("p"))
+    t = scratch.table(df, "dealt", ["p"])
+    per_file = with_file(spark.table(t)).groupBy("p", "_file").count().collect()
+    files = {p: [r["count"] for r in per_file if r.p == p] for p in ("big", "small", None)}
+    assert len(files["big"]) == 6 and max(files["big"]) < 800 and len(files["small"]) == len(files[None]) == 1
+    assert sorted(map(tuple, spark.table(t).collect()), key=repr) == sorted(map(tuple, df.collect()), key=repr)
+    for how in ({"spread": 3}, {"spread": 3, "cluster_by": ["k"]}):
+        t = scratch.table(df, "spread", ["p"], **how)
+        per_file = with_file(spark.table(t)).groupBy("p", "_file").count().collect()
+        assert all(1 <= sum(r.p == p for r in per_file) <= 3 for p in ("big", "small", None))
+        assert spark.table(t).count() == 4000 and spark.table(t).select("k").distinct().count() == 4000
+
+
+def test_partitioned_writes_do_not_sort_every_row(spark, scratch):
+    from keysweep.sinks.publish import UNSORTED
+
+    assert int(UNSORTED["spark.sql.maxConcurrentOutputFileWriters"]) > 0
+    t = _table(spark, scratch, "unsorted", spread=2)
+    r = purge_table(spark, t, spark.range(50).select(F.col("id").alias("k")), explain=True)
+    assert r.status == "DONE" and spark.table(t).count() == 351
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
