@@ -25,7 +25,7 @@ Simulated with random hashes, the radius loses 4 to 8 of 100,000 windows at simi
 
 Defined cases: null, empty and blank texts and items match nothing; an item of fewer than 5
 words is one shingle of all its words; repeated rows and equal ids give one row for each
-(doc_id, item_id); a null ``doc_id`` or ``item_id`` matches like another; extra columns are
+(doc_id, item_id); of windows equally similar the leftmost is returned; a null ``doc_id`` or ``item_id`` matches like another; extra columns are
 ignored; empty tables give empty results.
 """
 

@@ -192,7 +192,9 @@ def rows_in_partitions(df: DataFrame, partitions: DataFrame, partition_cols: lis
     Two branches, so that both prune. Partitions without a NULL are an equi-semi-join: with a broadcast list
     (the caller's word, or Spark's estimate) Spark hands the listed values to the scan, which opens only
     those partitions. Partitions with a NULL are joined null-safely to the rows that have one, a static
-    filter on the partition columns; where no NULL is listed, adaptive execution drops that branch unread.
+    filter on the partition columns; where no NULL is listed, adaptive execution drops that branch unread. That list
+    is broadcast unless the caller says no: it is as short as the table has such partitions (one row with one
+    column), and a shuffle would send all rows of the NULL partition to one task.
     """
     p = partitions.select(*partition_cols).distinct()
     # "is not null" written as a comparison: run-time pruning is planned only behind a filter that may leave rows out
@@ -203,7 +205,7 @@ def rows_in_partitions(df: DataFrame, partitions: DataFrame, partition_cols: lis
     some_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in partition_cols])
     other = p.where(some_null).select(*[F.col(c).alias(f"_of_{i}") for i, c in enumerate(partition_cols)])
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_of_{i}")) for i, c in enumerate(partition_cols)])
-    return out.unionAll(df.where(some_null).join(_hinted(other, broadcast_partitions), same, "left_semi").select(*df.columns))
+    return out.unionAll(df.where(some_null).join(_hinted(other, broadcast_partitions is not False), same, "left_semi").select(*df.columns))
 
 
 def survivors_in_partitions(df: DataFrame, keys: DataFrame, partitions: DataFrame, partition_cols: list[str],

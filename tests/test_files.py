@@ -7,6 +7,7 @@ from keysweep.operators.match import rows_in_partitions, survivors_in_partitions
 from keysweep.plans import purge as P
 from keysweep.plans.purge import purge_table
 from keysweep.plans.restore import restore_backup
+from keysweep.session import session_conf
 from keysweep.sinks import fs, publish
 from keysweep.sources import catalog as C
 from keysweep.sources.files import files_fingerprint, list_folders, matched_files, table_files, with_file
@@ -218,3 +219,13 @@ def test_partitioned_writes_do_not_sort_every_row(spark, scratch):
     r = purge_table(spark, t, spark.range(50).select(F.col("id").alias("k")), explain=True)
     assert r.status == "DONE" and spark.table(t).count() == 351
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_rows_of_the_null_partition_are_not_shuffled(spark, scratch):
+    t = _table(spark, scratch, "null_rows")
+    specs = spark.createDataFrame([(None,), ("a",)], "p string").repartition(2)
+    with session_conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}):
+        got = rows_in_partitions(spark.table(t), specs, ["p"])
+        plan = P._plan(got)
+        assert plan.count("SortMergeJoin LeftSemi") <= 2 and "Broadcast" in plan
+        assert _ids(got) == [i for i in range(400) if i % 3 != 1]
