@@ -25,8 +25,16 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (BinaryType, BooleanType, DateType, DecimalType, IntegralType, StringType, TimestampNTZType,
+                               TimestampType)
 
 MATCH_MODES = ("tuple", "per_column")
+# The bitmaps of key hashes that a shuffle join broadcasts to keep rows without a match out of it take at most this
+# much, whatever the limit for key lists is; a key gets BITS_A_KEY bits, or fewer (LEAST_BITS at least) so that all fit.
+BITMAP_BYTES = 16 << 20
+BITS_A_KEY, LEAST_BITS = 16, 4
+# Values of these types are equal exactly where their bytes are, so equal keys have equal hashes.
+PLAIN = (IntegralType, BooleanType, DateType, TimestampType, TimestampNTZType, DecimalType, BinaryType)
 
 
 @dataclass
@@ -124,6 +132,51 @@ def flag_matches(df: DataFrame, specs: list[KeySpec], scope: Column | None = Non
     return out.select(*cols, *[(F.col(f) & in_scope).alias(f) for f in flags], hit.alias(hit_col))
 
 
+def _plain(dtype) -> bool:
+    return isinstance(dtype, PLAIN) or dtype == StringType()       # a string without a collation of its own
+
+
+def may_match(df: DataFrame, specs: list[KeySpec], counts: list[int], may: str = "_may") -> DataFrame | None:
+    """Adds ``_may``: false only for rows that match no key set (``counts``: how many keys each has).
+
+    The keys' hashes are the bits of a bitmap, which is broadcast in pieces of 4 KB and looked up for each row: with
+    ``BITS_A_KEY`` bits for each key, one in so many rows without a match is taken for a candidate. None where the
+    bitmaps would not fit ``BITMAP_BYTES`` or a key's equality is not that of its bytes (floats, collated strings)."""
+    wanted = [(spec, n, on) for spec, n in zip(specs, counts) for on in _join_cols(spec)]
+    if not all(_plain(df.schema[c].dataType) and df.schema[c].dataType == spec.keys.schema[c].dataType for spec, _, on in wanted for c in on):
+        return None
+    keys = max(1, sum(n for _, n, _ in wanted))
+    each = min(BITS_A_KEY, BITMAP_BYTES * 8 // keys)
+    if each < LEAST_BITS:
+        return None
+    out, found = df, []
+    for i, (spec, n, on) in enumerate(wanted):
+        place = F.pmod(F.xxhash64(*on), F.lit(max(1, each * n)).cast("long")) + 1
+        bucket, bits = f"_bucket_{i}", f"_bits_{i}"
+        table = (spec.keys.select(place.alias("_place")).groupBy(F.bitmap_bucket_number("_place").alias(bucket))
+                 .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_place")).alias(bits)))
+        out = out.join(F.broadcast(table), F.bitmap_bucket_number(place) == F.col(bucket), "left")
+        at = F.bitmap_bit_position(place)
+        byte = F.conv(F.hex(F.substr(F.col(bits), F.shiftright(at, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        found.append((spec, F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))))
+    sets = [reduce(lambda a, b: a & b, [f for s, f in found if s is spec]) for spec in specs]
+    return out.select(*df.columns, reduce(lambda a, b: a | b, sets).alias(may))
+
+
+def flag_candidates(df: DataFrame, specs: list[KeySpec], counts: list[int], scope: Column | None = None,
+                    rebalance: list[str] | None = None) -> DataFrame | None:
+    """``flag_matches`` where only rows that may match go through its shuffle join (and a REBALANCE by the
+    ``rebalance`` columns); all others are flagged where they are read. ``df`` is read twice. None as ``may_match``."""
+    judged = may_match(df, specs, counts)
+    if judged is None:
+        return None
+    joined = flag_matches(judged.where("_may").drop("_may"), specs, scope)
+    if rebalance:
+        joined = joined.hint("rebalance", *rebalance)
+    flags = [c for c in joined.columns if c not in df.columns]
+    return judged.where("not _may").select(*df.columns, *[F.lit(False).alias(c) for c in flags]).unionAll(joined)
+
+
 def _salt_hot(out: DataFrame, spec: KeySpec, i: int, cols: list[str]) -> tuple[DataFrame, str, str]:
     """Split hot keys off a shuffle join.
 

@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from keysweep.functions.text import KEY_PART_SEPARATOR, key_text
-from keysweep.operators.match import MATCH_MODES, KeySpec, flag_matches
+from keysweep.operators.match import MATCH_MODES, KeySpec, flag_candidates, flag_matches, may_match
 from keysweep.session import child_session, new_run_id, session_conf, work_root
 from keysweep.plans.repair import RepairError, repair_record
 from keysweep.sinks import fs, journal, publish
@@ -367,15 +367,21 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
         source = source.where(in_scope)
     slim = with_file(source).select(*parts, *all_keys, in_scope.alias("_in_scope"), "_file", "_size", "_mtime")
     of_file = [F.max("_size").alias("_size"), F.max("_mtime").alias("_mtime")]
+    specs = [KeySpec(p.df(spark), p.key_cols, p.match, p.broadcast, distinct=False) for p in prepared]
+    judged = None
     if all(p.broadcast for p in prepared):
         base_df = slim.withColumn("_n", F.lit(1).cast("long"))
     else:
-        base_df = slim.groupBy(*parts, *all_keys, "_in_scope", "_file").agg(F.count(F.lit(1)).alias("_n"), *of_file)
-    specs = [KeySpec(p.df(spark), p.key_cols, p.match, p.broadcast, distinct=False) for p in prepared]
+        judged = may_match(slim, specs, [p.n_valid for p in prepared])
+        base_df = (slim if judged is None else judged.where("_may")).groupBy(*parts, *all_keys, "_in_scope", "_file").agg(F.count(F.lit(1)).alias("_n"), *of_file)
     flagged = flag_matches(base_df, specs, scope=F.col("_in_scope"))
     hit_cols = [f"_hit_{i}" for i in range(len(prepared))]
     detail = (flagged.groupBy(*parts, "_file", "_hit", *hit_cols, *[F.when(F.col("_hit"), F.col(k)).alias(k) for k in all_keys])
               .agg(F.sum("_n").alias("_n"), *of_file))
+    if judged is not None:      # rows that match nothing are only counted, not shuffled with their keys
+        others = judged.where("not _may").groupBy(*parts, "_file").agg(F.count(F.lit(1)).alias("_n"), *of_file)
+        rest = {"_hit": F.lit(False), **{c: F.lit(False) for c in hit_cols}, **{c: F.lit(None).cast(info.dtype(c)) for c in all_keys}}
+        detail = detail.unionByName(others.select("*", *[value.alias(c) for c, value in rest.items()]))
     detail_path = f"{run_dir}/effect"
     if explain:
         res.plans["effect"] = _plan(detail)
@@ -406,7 +412,7 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
     lap("effect_collect")
 
     # Step 3: found keys -> audit keys side table.
-    found_specs = []
+    found_specs, found_counts = [], []
     scope_rows = sum(r["rows_before"] for r in res.impacted) if parts else res.rows_before
     shuffle_parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     # A key is hot when its rows would overload one reducer of the shuffle join.
@@ -440,6 +446,7 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
             buckets = F.ceil(F.col("rows_deleted") / F.lit(max(hot_rows, 1))).cast("bigint")
             hot = fdf.where(F.col("rows_deleted") >= cut).select(*p.key_cols, buckets.alias("_buckets")) if fit else None
         found_specs.append(KeySpec(fdf.select(*p.key_cols), p.key_cols, "tuple", bcast, distinct=False, hot=hot))
+        found_counts.append(n_found)
     lap("found_keys")
 
     def finish(status: str, message: str = "") -> PurgeResult:
@@ -509,7 +516,15 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
     reading: dict = {}
     if by_file:
         source, reading, stage_rows = _matched_file_rows(source, files)
-    rewritten = flag_matches(source, found_specs, scope_col)
+    want_rebalance = not by_file and (bool(rebalance) if rebalance is not None else (any_shuffle and bool(parts)))
+    rewritten, rebalanced = None, want_rebalance
+    if any_shuffle and strategy != "direct":
+        # rows that match nothing are written by the task that reads them, so only the others are put together by REBALANCE
+        few = want_rebalance and not rebalance and bins is None
+        rewritten = flag_candidates(source, found_specs, found_counts, scope_col, ["_hit", *parts] if few else None)
+        rebalanced = want_rebalance and (rewritten is None or not few)
+    if rewritten is None:
+        rewritten = flag_matches(source, found_specs, scope_col)
     if by_file:
         if any_shuffle:      # else every file is read, and so written, by one task
             rewritten = rewritten.repartition(max(1, stage_rows["files"]), "_file")
@@ -520,7 +535,7 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
     if strategy in SIDE_STRATEGIES:
         res.side_dir = side_dir or f"{base}/side_{run_id}"
         out = rewritten.where(~F.col("_hit")).select(*info.columns)
-        if bins is None and (rebalance or (rebalance is None and any_shuffle and parts)):
+        if bins is None and rebalanced:
             out = out.hint("rebalance", *parts)
         obs = Observation("side")                 # after the last exchange: exact (see write_split)
         out = out.observe(obs, F.count(F.lit(1)).alias("n"))
@@ -533,7 +548,6 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
         return finish(STATUS_SIDE, f"survivors written to {res.side_dir}")
 
     split = publish.version_folder(info, run_id) if strategy == "pointer" else f"{run_dir}/split"
-    want_rebalance = not by_file and (bool(rebalance) if rebalance is not None else (any_shuffle and bool(parts)))
     lease = Lease(spark, base, run_id, lease_seconds)
     if strategy == "direct" and parts:
         try:
@@ -549,7 +563,7 @@ def purge_table(spark: SparkSession, table: str, keys: DataFrame | str | None =
     if explain:
         res.plans["rewrite"] = _plan(rewritten)
     with session_conf(spark, **reading):
-        got = publish.write_split(rewritten, split, info, rebalance=want_rebalance and bins is None)
+        got = publish.write_split(rewritten, split, info, rebalance=rebalanced and bins is None)
     lap("split_write")
     want_all = expected_kept if parts else res.rows_after
     want_kept = stage_rows["kept"] if by_file else want_all

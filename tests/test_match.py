@@ -64,3 +64,39 @@ def test_rows_in_partitions_null_safe(spark):
     t = _table(spark)
     parts = spark.createDataFrame([("a",), (None,)], "p string")
     assert M.rows_in_partitions(t, parts, ["p"]).count() == 2
+
+
+def _odd_rows(spark):
+    """3,000 rows with null keys and rows that occur twice."""
+    df = spark.range(3000).select((F.col("id") % 2000).alias("a"), F.when(F.col("id") % 7 > 0, (F.col("id") % 5).cast("int")).alias("b"),
+                                  F.concat(F.lit("k"), F.col("id") % 11).alias("c"), (F.col("id") % 3).alias("p"))
+    return df.unionAll(df.where("a % 10 = 0"))
+
+
+def test_candidates_are_flagged_as_all_rows_are(spark):
+    df = _odd_rows(spark)
+    pairs = df.where("a < 60").select("a", "b").where("b is not null").distinct()
+    texts = spark.createDataFrame([("k3",), ("none",)], "c string")
+    for specs in ([M.KeySpec(pairs, ["a", "b"], broadcast=False)], [M.KeySpec(pairs, ["a", "b"], "per_column", False)],
+                  [M.KeySpec(pairs, ["a", "b"], broadcast=False), M.KeySpec(texts, ["c"], broadcast=False)]):
+        counts = [s.keys.count() for s in specs]
+        for scope in (None, F.col("p") != 1):
+            want = M.flag_matches(df, specs, scope)
+            got = M.flag_candidates(df, specs, counts, scope, rebalance=["_hit", "p"])
+            assert got.columns == want.columns and rows(got) == rows(want)
+
+
+def test_few_rows_without_a_match_are_candidates(spark):
+    df = _odd_rows(spark).where("b is not null")
+    pairs = df.where("a < 60").select("a", "b").distinct()
+    judged = M.may_match(df, [M.KeySpec(pairs, ["a", "b"], broadcast=False)], [pairs.count()])
+    match = M.match_rows(df, pairs, ["a", "b"]).count()
+    assert 0 < match <= judged.where("_may").count() < match + df.count() // 5
+    assert rows(M.match_rows(judged.where("_may"), pairs, ["a", "b"]).drop("_may")) == rows(M.match_rows(df, pairs, ["a", "b"]))
+
+
+def test_no_bitmap_for_floats_or_too_many_keys(spark):
+    keys = spark.createDataFrame([(0.0,)], "x double")
+    assert M.may_match(keys, [M.KeySpec(keys, ["x"])], [1]) is None
+    keys = spark.range(3)
+    assert M.may_match(keys, [M.KeySpec(keys, ["id"])], [M.BITMAP_BYTES * 8]) is None
