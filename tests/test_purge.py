@@ -300,3 +300,17 @@ def test_nothing_written_inside_table_folder(spark, sf, scratch):
         entries = sorted(e for e in os.listdir(loc) if not e.startswith((".", "_")))   # hidden, as Spark reads
         assert entries and all(e.startswith("event_type=") for e in entries), (strategy, entries)
         assert not r.backup_dir.startswith(loc)
+
+
+@pytest.mark.parametrize("strategy, how, backup", [("pointer", "tuple", True), ("files", "tuple", True),
+                                                   ("dynamic", "tuple", False), ("move", "per_column", True)])
+def test_rows_without_a_match_are_not_shuffled(spark, scratch, strategy, how, backup):
+    df = spark.range(2000).select((F.col("id") % 900).alias("k"), (F.col("id") % 4).cast("int").alias("n"),
+                                  F.when(F.col("id") % 5 > 0, F.col("id") % 5).cast("string").alias("p"))
+    df = df.unionAll(spark.createDataFrame([(None, 1, "1"), (5, None, None)], "k long, n int, p string"))
+    keys = df.where("k % 40 = 0").select("k", "n").distinct()
+    want = sorted((r for r in df.collect() if r.k is None or r.n is None or r.k % 40), key=repr)
+    t = scratch.table(df, "no_shuffle", ["p"])
+    r = purge_table(spark, t, keys, match=how, strategy=strategy, backup=backup, broadcast_max_bytes=0, explain=True)
+    assert r.status == "DONE" and "getbit" in r.plans["effect"] and "getbit" in r.plans["rewrite"]
+    assert sorted(spark.table(t).collect(), key=repr) == want
