@@ -38,6 +38,7 @@ RATE = 0.1
 STEP = 512  # positions of one descent step
 V, PAD = CLASSES * IN_CLASS, CLASSES * IN_CLASS
 BLOCKS = 16  # pieces the parameters travel in
+SLOT = np.uint64(48)  # words are looked up by the bits of their hash above this one
 
 
 def _counts(batches):
@@ -51,18 +52,31 @@ class Vocabulary:
     def __init__(self, words: np.ndarray):
         order = np.argsort(words)
         self.words, self.ids = words[order], order.astype(np.int64)
+        # for the first bits of a hash, the first word that has them or greater ones
+        slots = np.arange(1 << (64 - int(SLOT)), dtype=np.uint64)
+        self.first = np.minimum(np.searchsorted(self.words >> SLOT, slots), max(0, len(words) - 1)).astype(np.int32)
 
     def encode(self, hashes: np.ndarray) -> np.ndarray:
-        shared = WORDS + (mix(hashes) % np.uint64(V - WORDS)).astype(np.int64)
+        out = WORDS + (mix(hashes) % np.uint64(V - WORDS)).astype(np.int64)
         if not len(self.words):
-            return shared
-        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-        return np.where(self.words[at] == hashes, self.ids[at], shared)
-
-
-def outside(vocabulary: Vocabulary, texts: list) -> tuple[list, list]:
-    """For each text (as word hashes) its distinct words without an id of their own, and how often each occurs."""
-    found = [np.unique(w[vocabulary.encode(w) >= WORDS], return_counts=True) for w in texts]
+            return out
+        at, left = self.first[hashes >> SLOT], np.arange(len(hashes))
+        while len(left):
+            word = self.words[at]
+            own = word == hashes[left]
+            out[left[own]] = self.ids[at[own]]
+            on = np.flatnonzero((word < hashes[left]) & (at < len(self.words) - 1))
+            at, left = at[on] + 1, left[on]
+        return out
+
+    def encode_texts(self, texts: list) -> list:
+        """The ids of each text (as word hashes)."""
+        return np.split(self.encode(np.concatenate(texts)), np.cumsum([len(t) for t in texts])[:-1]) if texts else []
+
+
+def outside(texts: list, ids: list) -> tuple[list, list]:
+    """For each text (as word hashes, with their ids) its distinct words without an id of their own, and how often each occurs."""
+    found = [np.unique(w[d >= WORDS], return_counts=True) for w, d in zip(texts, ids)]
     return [w.view(np.int64) for w, _ in found], [n for _, n in found]
 
 
@@ -102,77 +116,111 @@ def shaped(x: np.ndarray) -> dict:
 def contexts(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """(positions, 2 * SIDE) ids around each word, and the words; PAD beyond a document's ends."""
     pad = np.full(SIDE, PAD, np.int64)
-    line = np.concatenate([x for d in ids for x in (pad, d)] + [pad])
+    line = np.concatenate([x for d in ids for x in (pad, d)] + [pad]).astype(np.int16)
     own = np.flatnonzero(line != PAD)
     around = np.stack([line[own + o] for o in (*range(-SIDE, 0), *range(1, SIDE + 1))], 1)
     return around, line[own]
 
 
-def _hidden(p, around):
-    h = p["bias"] + sum(p["embed"][j][around[:, j]] for j in range(2 * SIDE))
-    h = np.tanh(h)
-    return np.concatenate([h, np.ones((len(h), 1), np.float32)], 1)
+def _places(around):
+    """Rows of the embedding tables, one below the other, of the words around each position."""
+    return (around + np.arange(2 * SIDE) * (V + 1)).astype(np.int16)
+
+
+def _hidden(p, places):
+    embed = p["embed"].reshape(-1, HIDDEN)
+    h = np.ones((len(places), HIDDEN + 1), np.float32)
+    total = p["bias"] + embed.take(places[:, 0], 0)
+    for j in range(1, 2 * SIDE):
+        total += embed.take(places[:, j], 0)
+    np.tanh(total, out=h[:, :HIDDEN])
+    return h
+
+
+def _by_class(target) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+    """The order of targets by class (positions of a class as before), and the slice of each class met."""
+    kind = (target // IN_CLASS).astype(np.int16)  # numpy sorts short integers by radix
+    order = np.argsort(kind, kind="stable")
+    edges = np.concatenate(([0], np.cumsum(np.bincount(kind, minlength=CLASSES)))).tolist()
+    return order, [(c, slice(edges[c], edges[c + 1])) for c in range(CLASSES) if edges[c] < edges[c + 1]]
 
 
-def _log_softmax(z):
-    z = z - z.max(1, keepdims=True)
-    return z - np.log(np.exp(z).sum(1, keepdims=True))
+def _logits(weights, h, spans):
+    """A row for each position: the scores of the words of its class."""
+    z = np.empty((len(h), IN_CLASS), np.float32)
+    for c, own in spans:
+        np.dot(h[own], weights[c], out=z[own])
+    return z.T.copy()
+
+
+def _softmax(z):
+    """Of each column; in place."""
+    z -= z.max(0)
+    np.exp(z, out=z)
+    z /= z.sum(0)
+    return z
+
+
+def _log_share(z, target):
+    """Log of the softmax of each column, at ``target``."""
+    z -= z.max(0)
+    own = z[target, np.arange(z.shape[1])]
+    return own - np.log(np.exp(z, out=z).sum(0))
 
 
 def log_probability(p: dict, around: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Log-probability of each target given the words around it."""
     out = np.empty(len(target))
-    for i in range(0, len(target), 1 << 15):
-        a, t = around[i : i + (1 << 15)], target[i : i + (1 << 15)]
-        h = _hidden(p, a)
-        kind = t // IN_CLASS
-        lp = _log_softmax(h @ p["classes"])[np.arange(len(t)), kind]
-        order = np.argsort(kind, kind="stable")
-        edges = np.searchsorted(kind[order], np.arange(CLASSES + 1))
-        for c in range(CLASSES):
-            at = order[edges[c] : edges[c + 1]]
-            if len(at):
-                lp[at] += _log_softmax(h[at] @ p["words"][c])[np.arange(len(at)), t[at] % IN_CLASS]
-        out[i : i + len(t)] = lp
+    for i in range(0, len(target), 1 << 13):
+        t = target[i : i + (1 << 13)]
+        order, spans = _by_class(t)
+        t = t[order]
+        h = _hidden(p, _places(around[i : i + (1 << 13)][order]))
+        lp = _log_share(p["classes"].T @ h.T, t // IN_CLASS)
+        lp += _log_share(_logits(p["words"], h, spans), t % IN_CLASS)
+        out[i + order] = lp
     return out
 
 
 def descend(p: dict, square: dict, around: np.ndarray, target: np.ndarray, rate: float = RATE) -> None:
     """One Adagrad step on a batch of masked positions."""
-    n = len(target)
-    order = np.argsort(target // IN_CLASS, kind="stable")
-    around, target = around[order], target[order]
-    kind, at = target // IN_CLASS, np.arange(n)
+    order, spans = _by_class(target)
+    around, target = _places(around[order]), target[order]
+    at = np.arange(len(target))
     h = _hidden(p, around)
-    g = np.exp(_log_softmax(h @ p["classes"]))
-    g[at, kind] -= 1
-    grads = {"classes": h.T @ g}
-    back = g @ p["classes"].T
-    edges = np.searchsorted(kind, np.arange(CLASSES + 1)).tolist()
-    spans = [(c, slice(edges[c], edges[c + 1])) for c in range(CLASSES) if edges[c] < edges[c + 1]]
-    z = np.empty((n, IN_CLASS), np.float32)
-    for c, own in spans:
-        np.dot(h[own], p["words"][c], out=z[own])
-    gw = np.exp(_log_softmax(z))
-    gw[at, target % IN_CLASS] -= 1
+    g = _softmax(p["classes"].T @ h.T)
+    g[target // IN_CLASS, at] -= 1
+    grads = {"classes": h.T @ g.T}
+    gw = _softmax(_logits(p["words"], h, spans))
+    gw[target % IN_CLASS, at] -= 1
+    gw = gw.T.copy()
+    turned = p["words"].transpose(0, 2, 1).copy()
     words = np.zeros(SHAPES["words"], np.float32)
+    back = np.empty_like(h)
     for c, own in spans:
-        np.dot(h[own].T, gw[own], out=words[c])
-        back[own] += gw[own] @ p["words"][c].T
+        mine = gw[own]
+        np.dot(h[own].T, mine, out=words[c])
+        np.dot(mine, turned[c], out=back[own])
     grads["words"] = words
+    back += g.T @ p["classes"].T
     back = (back * (1 - h * h))[:, :HIDDEN]
     grads["bias"] = back.sum(0)
     for k, x in grads.items():
         square[k] += x * x
         p[k] -= rate * x / (np.sqrt(square[k]) + 1e-6)
     # only the embeddings met have a gradient
-    places = (around + np.arange(2 * SIDE) * (V + 1)).ravel()
+    places = around.ravel()
     by = np.argsort(places, kind="stable")
-    ids, first = np.unique(places[by], return_index=True)
-    x = np.add.reduceat(back[by // (2 * SIDE)], first)
+    places = places[by]
+    last = np.append(np.flatnonzero(places[1:] != places[:-1]), len(places) - 1)
+    # sums of the rows of each place, as differences of running sums; two columns as one complex number are added at once
+    total = np.cumsum(back.take(by // (2 * SIDE), 0).astype(np.float64).view(np.complex128), 0).take(last, 0)
+    total[1:] -= total[:-1].copy()
+    x, ids = total.view(np.float64).astype(np.float32), places[last]
     embed, met = p["embed"].reshape(-1, HIDDEN), square["embed"].reshape(-1, HIDDEN)
-    met[ids] += x * x
-    embed[ids] -= rate * x / (np.sqrt(met[ids]) + 1e-6)
+    squares = met.take(ids, 0) + x * x
+    met[ids] = squares
+    embed[ids] -= rate * x / (np.sqrt(squares) + 1e-6)
 
 
 def _train(vocabulary: Vocabulary, model: np.ndarray, turn: int):
@@ -185,7 +233,7 @@ def _train(vocabulary: Vocabulary, model: np.ndarray, turn: int):
         for b in batches:
             texts = b.column("text").to_pylist()
             for i in range(0, len(texts), 256):
-                ids = [vocabulary.encode(w) for w in word_hashes(lowered(texts[i : i + 256]))]
+                ids = vocabulary.encode_texts(word_hashes(lowered(texts[i : i + 256])))
                 if not sum(map(len, ids)):
                     continue
                 around, target = contexts(ids)
@@ -237,10 +285,10 @@ def _score(vocabulary: Vocabulary, model: np.ndarray, groups: np.ndarray):
             for i in range(0, len(b), 256):
                 rows = b.slice(i, 256)
                 hashes = word_hashes(lowered(rows.column("text").to_pylist()))
-                ids = [vocabulary.encode(w) for w in hashes]
+                ids = vocabulary.encode_texts(hashes)
                 n = np.array([len(d) for d in ids], np.int64)
                 lp = log_probability(p, *contexts(ids)) + share[np.concatenate(ids)] if n.sum() else np.empty(0)
-                words, often = outside(vocabulary, hashes)
+                words, often = outside(hashes, ids)
                 total = np.add.reduceat(np.append(lp, 0.0), np.minimum(np.cumsum(n) - n, len(lp))) * (n > 0) if len(n) else np.empty(0)
                 yield pa.RecordBatch.from_arrays([rows.column("row"), rows.column("doc_id"), pa.array(n), pa.array(total.astype(float)), pa.array(words, pa.list_(pa.int64())), pa.array(often, pa.list_(pa.int64()))], names=[c.split()[0] for c in _SCORED.split(", ")])
 

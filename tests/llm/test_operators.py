@@ -389,6 +389,46 @@ def test_lm_scores_words_outside_the_softmax(spark):
         assert abs(by[doc_id].log_likelihood - lp) < 1e-2
 
 
+def test_lm_step_matches_plain_gradients_and_looks_words_up_together():
+    rng = np.random.default_rng(3)
+    hashes = rng.integers(0, 1 << 64, 3000, np.uint64, False)
+    hashes[:50] >>= np.uint64(20)  # words whose first bits are equal
+    vocabulary = lm_scoring.Vocabulary(hashes[:800])
+    ids = vocabulary.encode(hashes)
+    assert ids[:800].tolist() == list(range(800)) and (ids[800:] >= lm_scoring.WORDS).all()
+    assert [x.tolist() for x in vocabulary.encode_texts([hashes[:3], hashes[:0], hashes[3:]])] == [ids[:3].tolist(), [], ids[3:].tolist()]
+    assert (lm_scoring.Vocabulary(hashes[:0]).encode(hashes) >= lm_scoring.WORDS).all()
+
+    p = lm_scoring.start()
+    around, target = lm_scoring.contexts([rng.integers(0, lm_scoring.V, 60), rng.integers(0, 40, 40)])
+    h = np.tanh(p["bias"] + sum(p["embed"][j][around[:, j]] for j in range(4)))
+    h = np.concatenate([h, np.ones((len(h), 1))], 1)
+
+    def softmax(z):
+        e = np.exp(z - z.max())
+        return e / e.sum()
+
+    grads = {k: np.zeros(s) for k, s in lm_scoring.SHAPES.items()}
+    want = []
+    for i, t in enumerate(target):
+        c, w = divmod(int(t), lm_scoring.IN_CLASS)
+        g, gw = softmax(h[i] @ p["classes"]), softmax(h[i] @ p["words"][c])
+        want.append(np.log(g[c]) + np.log(gw[w]))
+        g[c] -= 1
+        gw[w] -= 1
+        grads["classes"] += np.outer(h[i], g)
+        grads["words"][c] += np.outer(h[i], gw)
+        back = ((p["classes"] @ g + p["words"][c] @ gw) * (1 - h[i] ** 2))[:-1]
+        grads["bias"] += back
+        for j in range(4):
+            grads["embed"][j, around[i, j]] += back
+    assert np.allclose(lm_scoring.log_probability(p, around, target), want, atol=1e-4)
+    q, square = {k: x.copy() for k, x in p.items()}, {k: np.ones_like(x) for k, x in p.items()}
+    lm_scoring.descend(q, square, around, target)
+    for k, x in grads.items():
+        assert np.allclose(square[k], 1 + x * x, rtol=1e-3, atol=1e-5) and np.allclose(q[k], p[k] - lm_scoring.RATE * x / np.sqrt(1 + x * x), atol=1e-4)
+
+
 def test_lm_trains_on_every_position_once(monkeypatch):
     import pyarrow as pa
 
