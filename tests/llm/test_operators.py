@@ -16,7 +16,7 @@ from keysweep.llm import licenses, lm_scoring
 from keysweep.llm.common import lowest_hashes, shared_dir, word_hashes
 from keysweep.llm.components import components
 from keysweep.llm.decontamination import contaminated
-from keysweep.llm.html_text import MAIN, blocks, main_text
+from keysweep.llm.html_text import DEPTH, MAIN, RUN, blocks, main_text, suffix_intervals
 from keysweep.llm.licenses import scan_licenses
 from keysweep.llm.lm_scoring import score_documents
 from keysweep.llm.ngram_join import near_duplicates
@@ -180,6 +180,47 @@ def test_html_keeps_what_page_copies_share(spark):
     assert got[30] == got[31] == [f"{menu}\n{text_of(90, 60)}"]
 
 
+@pytest.fixture()
+def many_ranges(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_html_suffix_array_against_brute_force(spark, many_ranges):
+    rng = np.random.default_rng(11)
+    menu, foot = "home about contact products services support careers news events press".split(), [f"f{i}" for i in range(40)]
+    pages = [(h, c, [*menu, *(f"{x}" for x in rng.integers(0, 2, int(rng.integers(0, 60)))), *foot]) for h in ("a", "b") for c in range(20)]
+    pages += [("c", 1, menu), ("c", 2, menu[:RUN]), ("c", 3, menu[1:]), ("c", 4, []), ("", 1, foot + foot)]
+    df = spark.createDataFrame([(h, c, " ".join(w)) for h, c, w in pages], "host string, content long, stream string")
+    got, shared = defaultdict(set), defaultdict(list)
+    ranges = set()
+    for r in suffix_intervals(df).collect():
+        got[r.host, r.part, r.interval].add((r.content, r.pos))
+        shared[r.host, r.part, r.interval] += [r.common] * (r.common is not None)
+        ranges.add(r.part)
+    want = defaultdict(list)
+    for h, c, w in pages:
+        for i in range(len(w) - RUN + 1):
+            want[h, tuple(w[i : i + RUN])].append((c, i, w[i : i + DEPTH]))
+    assert len(ranges) > 3
+    assert sorted(sorted(x) for x in got.values()) == sorted(sorted((c, i) for c, i, _ in x) for x in want.values())
+    length = {(h, c, i): next((k for k in range(DEPTH) if len({tuple(y[k : k + 1]) for *_, y in x}) > 1 or any(len(y) <= k for *_, y in x)), DEPTH) for (h, _), x in want.items() if len(x) > 1 for c, i, _ in x}
+    for key, x in got.items():
+        assert len(x) == 1 or {length[key[0], c, i] for c, i in x} == {min(shared[key])}
+
+
+def test_html_drops_what_repeats_cover(spark, many_ranges):
+    rng = np.random.default_rng(12)
+    notice = [f"n{i}" for i in range(50)]
+    texts = [[*notice[: 9 + 5 * (i % 9)], *(f"{x}" for x in rng.integers(0, 3, 40)), *notice[20 * (i % 2) :]] for i in range(16)]
+    seen = Counter(x for w in texts for x in {tuple(w[i : i + RUN]) for i in range(len(w) - RUN + 1)})
+    got = {r.page_id: r.text for r in main_text(spark.createDataFrame([(i, "http://h/", f"<p>{' '.join(w)}</p>") for i, w in enumerate(texts)], "page_id long, url string, html string")).collect()}
+    for i, w in enumerate(texts):
+        gone = {j for k in range(len(w) - RUN + 1) if seen[tuple(w[k : k + RUN])] >= 4 for j in range(k, k + RUN)}
+        assert got[i] == " ".join(x for j, x in enumerate(w) if j not in gone)
+
+
 def test_lowest_hashes_bound_what_an_ordered_limit_reads(spark):
     rows = spark.range(0, 60_000, 1, 40).select("id", F.xxhash64("id").alias("h"))
     cut = lowest_hashes(rows, "h", 1000)
