@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from .common import U_WINDOW3, WHITE, lean, lowest_hashes, mix, slices, word_hashes, written
 
@@ -56,13 +57,28 @@ def _text_counts(text: str, raw: bytes, words: np.ndarray) -> tuple[int, ...]:
     return n, chars, sum(map(text.count, SYMBOLS)), len(lines) - len(set(lines)), repeat, len(lines), len(distinct), upper, int(kinds[48:58].sum()), int(kinds[33] + kinds[63]), int(each.max()) if n else 0, int(sizes.max()), int((sizes > 15).sum())
 
 
-def _scan(batches):
+def _counted(batches):
+    """Pieces of the batches, each with the columns of its counts."""
     for b in (x for whole in batches for x in slices(whole, "text", size=AT_ONCE)):
         texts = [t or "" for t in b.column("text").to_pylist()]
         raws = [t.encode("utf-8", "surrogatepass") for t in texts]
         rows = [_text_counts(t, r, w) for t, r, w in zip(texts, raws, word_hashes(raws))]
-        columns = list(zip(*rows)) or [[]] * len(COUNTS)
-        yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), *(pa.array(c, pa.int64()) for c in columns)], names=["doc_id", *COUNTS])
+        yield b, [pa.array(c, pa.int64()) for c in list(zip(*rows)) or [[]] * len(COUNTS)]
+
+
+def _scan(batches):
+    for b, counts in _counted(batches):
+        yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), *counts], names=["doc_id", *COUNTS])
+
+
+def _beside(name: str):
+    """The rows as they are, with a struct of their counts in the column ``name``."""
+
+    def run(batches):
+        for b, counts in _counted(batches):
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.StructArray.from_arrays(counts, names=COUNTS)], names=[*b.schema.names, name])
+
+    return run
 
 
 def statistics(docs: DataFrame) -> DataFrame:
@@ -75,8 +91,9 @@ _PER = {"symbols_per_word": ("n_symbols", "n_words"), "dup_line_share": ("n_dup_
 FEATURES = tuple(_PER)
 
 
-def features() -> dict[str, Column]:
-    return {k: (F.col(a) / F.greatest(F.col(b), F.lit(1)) if b else F.col(a).cast("double")) for k, (a, b) in _PER.items()}
+def features(of: str = "") -> dict[str, Column]:
+    """``of``: what the names of the counts begin with."""
+    return {k: (F.col(of + a) / F.greatest(F.col(of + b), F.lit(1)) if b else F.col(of + a).cast("double")) for k, (a, b) in _PER.items()}
 
 
 Rule = list[tuple[str, str, float]]
@@ -138,9 +155,9 @@ def learn_list(x: np.ndarray, bad: np.ndarray, min_precision: float = 0.95, most
     return rules
 
 
-def list_expression(rules: list[Rule]) -> Column:
+def list_expression(rules: list[Rule], of: str = "") -> Column:
     """True where the list keeps a document: the first rule that fits rejects it."""
-    own, out = features(), F.lit(True)
+    own, out = features(of), F.lit(True)
     for rule in reversed(rules):
         fits = F.lit(True)
         for name, op, t in rule:
@@ -149,8 +166,8 @@ def list_expression(rules: list[Rule]) -> Column:
     return out
 
 
-def base_failed() -> Column:
-    return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+def base_failed(of: str = "") -> Column:
+    return (F.col(of + "n_words") < 50) | (100 * F.col(of + "n_repeat_words") > 50 * F.col(of + "n_words"))
 
 
 def fit_rules(stats: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> list[Rule]:
@@ -171,25 +188,13 @@ def judge_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS,
     return stats.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & list_expression(rules))
 
 
-def _verdicts(rules: list[Rule]):
-    def run(batches):
-        import pandas as pd
-
-        for b in batches:
-            stats = pd.concat([x.to_pandas() for x in _scan([b])], ignore_index=True)
-            keep = ~((stats.n_words < 50) | (100 * stats.n_repeat_words > 50 * stats.n_words)).to_numpy()
-            x = np.stack([stats[a].to_numpy(float) / (np.maximum(stats[d], 1) if d else 1) for a, d in _PER.values()], 1) if len(stats) else np.empty((0, len(_PER)))
-            for rule in rules:
-                keep &= ~_covers(rule, x)
-            yield b.filter(pa.array(keep, pa.bool_()))
-
-    return run
-
-
 def filter_quality(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
-    """The rows of ``docs``, all its columns, that ``judge_quality`` keeps: the same list, learned from
-    the statistics of the same labelled rows, applied in one pass without moving a text."""
-    lab = labels.filter("quality is not null").select(F.col("doc_id").cast("long").alias("doc_id"))
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(lab.distinct(), "doc_id", "left_semi")
-    rules = fit_rules(written(statistics(own), "labelled-statistics"), labels, fit_rows)
-    return docs.mapInArrow(lean(_verdicts(rules)), docs.schema)
+    """The rows of ``docs``, all its columns, that ``judge_quality`` keeps. Each text is read once, and written with its
+    statistics; only statistics are joined to the labels, so no text is shuffled or sorted."""
+    name = "counts"
+    while name in {c.lower() for c in docs.columns}:
+        name += "_"
+    schema = StructType([*docs.schema.fields, StructField(name, StructType([StructField(c, LongType()) for c in COUNTS]))])
+    rows = written(docs.mapInArrow(lean(_beside(name)), schema), "with-statistics")
+    rules = fit_rules(rows.select(F.col("doc_id").cast("long").alias("doc_id"), f"{name}.*"), labels, fit_rows)
+    return rows.filter(~base_failed(f"{name}.") & list_expression(rules, f"{name}.")).select(*docs.columns)

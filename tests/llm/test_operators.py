@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 
 from keysweep.llm.bpe_transducer import Merges, Transducer, encode_decode, token_digests
 from keysweep.llm import licenses, lm_scoring
-from keysweep.llm.common import lowest_hashes, shared_dir, word_hashes
+from keysweep.llm.common import lowest_hashes, shared_dir, word_hashes, written
 from keysweep.llm.components import components
 from keysweep.llm.decontamination import contaminated
 from keysweep.llm.html_text import DEPTH, MAIN, RUN, blocks, main_text, suffix_intervals
@@ -326,6 +326,19 @@ def brute_counts(text):
     return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered)
 
 
+def test_filter_quality_reads_each_text_once_and_moves_none(spark, monkeypatch):
+    from keysweep.llm import quality_rules
+
+    plans = []
+    monkeypatch.setattr(quality_rules, "written", lambda df, name: (plans.append((name, df._jdf.queryExecution().optimizedPlan().toString())), written(df, name))[1])
+    rows = [(i, " ".join(f"x{i}y{j}" for j in range(60)) if i % 3 else "buy now! " * 20 + " ".join(f"z{j}" for j in range(60)), "c") for i in range(300)]
+    docs = spark.createDataFrame([*rows, (None, rows[1][1], None), (1, None, "d")], "doc_id int, text string, counts string")
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(300)], "doc_id long, quality int")
+    got = filter_quality(docs, labels)
+    assert got.schema == docs.schema and Counter(map(tuple, got.collect())) == Counter([r for r in rows if r[0] % 3] + [(None, rows[1][1], None)])
+    assert len([p for _, p in plans if "MapInArrow" in p]) == 1 and not any("Join" in p and "MapInArrow" in p for _, p in plans)
+
+
 def test_quality(spark, docs, texts, none):
     rows = texts + [(100, "a b a b a b a\n" * 20), (101, "x\n \nx\nx y\n#*$%&|<>"), (102, "p q r p q r")]
     df = spark.createDataFrame([(*r, 1, True) for r in rows], "doc_id long, text string, n_words int, kept boolean")
