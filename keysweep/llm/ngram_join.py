@@ -44,6 +44,7 @@ U = np.uint64
 BLOCK = 512  # classes of one block in step 5
 AT_ONCE = 1 << 21  # bytes of text held as words at once
 RANGE_ITEMS = 2_000_000  # shingles a range task holds on average
+PARTS = 4  # of the hashes, in which a slice's shingles are sorted
 HOT_FREQUENCY = 2**31 - 1
 
 
@@ -62,6 +63,17 @@ def _distinct(sets: list[np.ndarray]) -> dict[int, np.ndarray]:
     return {_signature(s): s for s in sets if len(s)}
 
 
+def _by_range(sets: list[np.ndarray], ranges: int):
+    """The shingles of sorted sets and the places of their sets, a few ranges of hashes at a time (of ``ranges``, dealt
+    by the top 32 bits), so that the forms they take next are never there for all of them."""
+    firsts = np.unique(np.arange(PARTS) * ranges // PARTS)[1:]
+    cuts = np.array([-(-(int(r) << 32) // ranges) << 32 for r in firsts], U)
+    at = np.array([[0, *np.searchsorted(s, cuts), len(s)] for s in sets], np.int64).reshape(len(sets), len(cuts) + 2)
+    for lo, hi in zip(at.T[:-1], at.T[1:]):
+        if (hi > lo).any():
+            yield np.concatenate([s[i:j] for s, i, j in zip(sets, lo, hi)]), np.repeat(np.arange(len(sets), dtype=np.uint16), hi - lo)
+
+
 def _scan(k: int, hot_share: int):
     def run(batches):
         for b in (x for whole in batches for x in slices(whole, "text")):
@@ -69,8 +81,9 @@ def _scan(k: int, hot_share: int):
             sigs = [_signature(s) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays([pa.array([0] * len(sets), pa.int8()), b.column("doc_id").cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(sigs, pa.int64())], names=["kind", "doc_id", "n", "sig"])
             own = {s: x for s, x in zip(sigs, sets) if s is not None}
-            if own:
-                tokens, counts = np.unique(np.concatenate(list(own.values())), return_counts=True)
+            del sets
+            for part, _ in _by_range(list(own.values()), PARTS):
+                tokens, counts = np.unique(part, return_counts=True)
                 keep = counts >= max(3, len(own) / hot_share)
                 tokens, counts = tokens[keep].view(np.int64), counts[keep]
                 yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(tokens), np.int8)), pa.nulls(len(tokens), pa.int64()), pa.array(counts.astype(np.int64)), pa.array(tokens)], names=["kind", "doc_id", "n", "sig"])
@@ -116,27 +129,22 @@ def _emit(k: int, hot: bytes, ranges: int):
                 continue
             number += 1
             sizes, sigs = np.array([len(s) for s in own.values()]), np.fromiter(own, np.int64, len(own))
-            tokens, place = np.concatenate(list(own.values())), np.repeat(np.arange(len(own), dtype=np.uint16), sizes)
-            own.clear()  # arrays of the slice are let go as soon as the next form is there
-            by = np.argsort(tokens, kind="stable")
-            tokens, place = tokens[by], place[by]
-            del by
-            rows = [{"kind": 2, "to": number, "batch": number, "high": b"", "low": sigs.tobytes(), "own": b"", "freqs": sizes.astype(np.int32).tobytes()}]
-            if len(hots):
-                is_hot = np.isin(tokens, hots)
-                if is_hot.any():
-                    rows.append(_packed(1, number, number, tokens[is_hot], place[is_hot], np.full(int(is_hot.sum()), HOT_FREQUENCY)))
-                    tokens, place = tokens[~is_hot], place[~is_hot]
-                del is_hot
-            yield pa.RecordBatch.from_pylist(rows, schema=_ARROW)
-            # the top 32 bits deal the ranges, in rising order
-            at = ((tokens >> U(32)) * U(ranges) >> U(32)).astype(np.int32)
-            heads = np.flatnonzero(np.diff(at, prepend=-1)) if len(at) else np.empty(0, np.int64)
-            to, edges = at[heads], np.append(heads, len(tokens))
-            del at
-            for i in range(0, len(heads), 16):
-                part = range(i, min(i + 16, len(heads)))
-                yield pa.RecordBatch.from_pylist([_packed(0, int(to[e]), number, tokens[edges[e] : edges[e + 1]], place[edges[e] : edges[e + 1]], _NONE) for e in part], schema=_ARROW)
+            yield pa.RecordBatch.from_pylist([{"kind": 2, "to": number, "batch": number, "high": b"", "low": sigs.tobytes(), "own": b"", "freqs": sizes.astype(np.int32).tobytes()}], schema=_ARROW)
+            for tokens, place in _by_range(list(own.values()), ranges):
+                by = np.argsort(tokens, kind="stable")
+                tokens, place = tokens[by], place[by]
+                if len(hots):
+                    is_hot = np.isin(tokens, hots)
+                    if is_hot.any():
+                        yield pa.RecordBatch.from_pylist([_packed(1, number, number, tokens[is_hot], place[is_hot], np.full(int(is_hot.sum()), HOT_FREQUENCY))], schema=_ARROW)
+                        tokens, place = tokens[~is_hot], place[~is_hot]
+                # the top 32 bits deal the ranges, in rising order
+                at = ((tokens >> U(32)) * U(ranges) >> U(32)).astype(np.int32)
+                heads = np.flatnonzero(np.diff(at, prepend=-1)) if len(at) else np.empty(0, np.int64)
+                to, edges = at[heads], np.append(heads, len(tokens))
+                for i in range(0, len(heads), 16):
+                    part = range(i, min(i + 16, len(heads)))
+                    yield pa.RecordBatch.from_pylist([_packed(0, int(to[e]), number, tokens[edges[e] : edges[e + 1]], place[edges[e] : edges[e + 1]], _NONE) for e in part], schema=_ARROW)
 
     return run
 

@@ -99,22 +99,21 @@ class BlockMaxIndex:
         # like vectors side by side make tight bounds: order by the heaviest term, then the next
         order = sorted(range(len(vectors)), key=lambda i: vectors[i][0][np.argsort(-vectors[i][1], kind="stable")][:3].tolist())
         self.labels, self.ids = labels[order], ids[order]
-        self.vectors = [vectors[i] for i in order]
-        lengths = np.array([len(v[0]) for v in self.vectors], np.int64)
+        lengths = np.array([len(vectors[i][0]) for i in order], np.int64)
         row = np.repeat(np.arange(len(order)), lengths)
-        term = np.concatenate([v[0] for v in self.vectors]) if order else np.empty(0, np.int64)
-        weight = np.concatenate([v[1] for v in self.vectors]) if order else np.empty(0)
+        term = np.concatenate([vectors[i][0] for i in order]) if order else np.empty(0, np.int64)
+        weight = np.concatenate([vectors[i][1] for i in order]) if order else np.empty(0)
         self.blocks = -(-len(order) // BLOCK)
         by = np.lexsort((row, term))
-        self.row, self.term, self.weight = row[by], term[by], weight[by]
-        size = int(self.term.max()) + 1 if len(self.term) else 0
-        self.start = np.searchsorted(self.term, np.arange(size + 1))
-        self.block_of = self.row // BLOCK
-        head = np.flatnonzero(np.diff(self.term * (self.blocks + 1) + self.block_of, prepend=-1)) if len(self.term) else np.empty(0, np.int64)
-        self.max_block = self.block_of[head]
+        self.row, term, self.weight = row[by], term[by], weight[by]
+        size = int(term.max()) + 1 if len(term) else 0
+        self.start = np.searchsorted(term, np.arange(size + 1))
+        block_of = self.row // BLOCK
+        head = np.flatnonzero(np.diff(term * (self.blocks + 1) + block_of, prepend=-1)) if len(term) else np.empty(0, np.int64)
+        self.max_block = block_of[head]
         self.max_weight = np.maximum.reduceat(self.weight, head) if len(head) else np.empty(0)
-        self.max_at, self.max_end = head, np.append(head[1:], len(self.term))
-        self.max_start = np.searchsorted(self.term[head], np.arange(size + 1))
+        self.max_at, self.max_end = head, np.append(head[1:], len(term))
+        self.max_start = np.searchsorted(term[head], np.arange(size + 1))
 
     def search(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Rows and cosines of the ``k`` nearest examples with a cosine above 0 (ties: lower id)."""
@@ -172,7 +171,9 @@ class Scorer:
 
     def __init__(self, data: dict, k: int):
         self.data, self.k, self.seen = data, k, {}
-        self.index = BlockMaxIndex([unit(t, c, data["idf"]) for t, c in data["examples"]], data["labels"], data["ids"])
+        ends, terms, counts = data["examples"]
+        vectors = [unit(t, c, data["idf"]) for t, c in zip(np.split(terms, ends[:-1]), np.split(counts, ends[:-1]))] if len(ends) else []
+        self.index = BlockMaxIndex(vectors, data["labels"], data["ids"])
 
     def __call__(self, t: list[int], c: list[int]) -> tuple[float, list[int]]:
         if not t:
@@ -232,7 +233,7 @@ def learn(docs: DataFrame, labels: DataFrame, fit_rows: int) -> tuple[dict[str,
     without = [r.toxic for r in examples if not r.terms]
     data = {
         "idf": np.log((vectors.count() + 1) / (df + 1)) + 1,
-        "examples": [(r.terms, r.counts) for r in with_terms],
+        "examples": (np.cumsum([len(r.terms) for r in with_terms], dtype=np.int64), np.array([t for r in with_terms for t in r.terms], np.int32), np.array([n for r in with_terms for n in r.counts], np.int32)),
         "labels": np.array([r.toxic for r in with_terms], float),
         "ids": np.array([r.doc_id for r in with_terms], np.int64),
         "prior": (sum(r.toxic for r in examples) + 0.5) / (len(examples) + 1) if examples else 0.0,

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -578,3 +579,49 @@ def test_bpe_of_every_character():
     want = [e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]
     got = encode_texts(texts, WORD)
     assert [i for i, (g, w) in enumerate(zip(got, want)) if g.tolist() != w] == []
+
+
+def test_ngram_join_holds_little_beside_the_sets_of_a_slice():
+    """The forms that shingles take on their way are there for some ranges of hashes at a time, not for the whole slice."""
+    import tracemalloc
+
+    from keysweep.llm import common, ngram_join
+
+    rng = np.random.default_rng(5)
+    texts = [" ".join(map(str, rng.integers(0, 10**8, 1500))) for _ in range(600)]  # 8 MB, 900,000 shingles
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    sets = 8 * sum(len(t.split()) - 4 for t in texts)
+    common._CACHED.clear()
+    tracemalloc.start()
+    try:
+        assert sum(b.num_rows for b in ngram_join._scan(5, 32)(iter([batch]))) == len(texts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < sets + (40 << 20)
+
+
+def test_ngram_join_ranges_cut_at_the_ranges_borders():
+    from keysweep.llm.ngram_join import _by_range
+
+    rng = np.random.default_rng(6)
+    for ranges in (1, 3, 12, 51, 1000):
+        sets = [np.unique(rng.integers(0, 2**64, n, dtype=np.uint64)) for n in (0, 1, 7, 500, 3000)]
+        parts = list(_by_range(sets, ranges))
+        tokens, place = (np.concatenate(x) for x in zip(*parts))
+        for i, s in enumerate(sets):
+            assert np.array_equal(tokens[place == i], s)
+        dealt = [set(((t >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).tolist()) for t, _ in parts]
+        assert sum(map(len, dealt)) == len(set().union(*dealt))  # no range in two parts
+    assert list(_by_range([], 5)) == []
+
+
+def test_written_bounds_what_a_task_hands_to_python(spark):
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.num_rows]})
+
+    long = spark.range(0, 9000, 1, 1)
+    assert max(r.n for r in written(long.mapInArrow(sizes, "n long"), "sizes").collect()) <= 4096
+    kept = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert max(r.n for r in long.mapInArrow(sizes, "n long").collect()) > 4096 or int(kept) <= 4096
